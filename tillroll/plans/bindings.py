@@ -159,7 +159,12 @@ def raw_report(spark: SparkSession, d: str, profile: str, with_duplicate_header:
     ``date time`` (junk text) follows the first; both normalize to
     ``date_time`` and the first must win.
     """
-    tx = line_tx(spark, d)
+    return raw_report_from(line_tx(spark, d), profile, with_duplicate_header)
+
+
+def raw_report_from(tx: DataFrame, profile: str, with_duplicate_header: bool = False,
+                    keep=()) -> DataFrame:
+    """``raw_report`` over a given ``line_tx`` frame; ``keep`` columns ride along."""
     eu = profile not in ("us", "us2")
     money = _money_eu if eu else _money_us
     sep = F.when(F.col("l_linenumber") == 2, F.lit(NBSP)).otherwise(F.lit(" ")) if profile == "fr" else None
@@ -184,7 +189,7 @@ def raw_report(spark: SparkSession, d: str, profile: str, with_duplicate_header:
         cols.append(values[c].alias(raw_header(profile, c)))
         if c == "date_time" and with_duplicate_header:
             cols.append(F.lit("not a date").alias("date time"))
-    return tx.select(*cols)
+    return tx.select(*cols, *keep)
 
 
 def clean_expected_sql(profile: str, with_asin: bool = False) -> str:
@@ -246,3 +251,130 @@ SELECT sku, asin FROM (
   SELECT sku, asin, row_number() OVER (PARTITION BY sku ORDER BY row_no) AS rk FROM ({SKU_DIM_RAW_SQL})
 ) WHERE rk = 1
 """
+
+
+# -- text mirrors (DuckDB) of the report texts -------------------------------
+
+def date_text_sql(profile: str, ts: str = "ts") -> str:
+    if profile in ("us", "us2"):
+        return f"strftime({ts}, '%b %-d, %Y %-I:%M:%S %p') || ' PST'"
+    if profile == "de":
+        return f"strftime({ts}, '%d.%m.%Y %H:%M:%S') || ' UTC'"
+    months = ", ".join(f"'{m}'" for m in PROFILES[profile].months)
+    sep = "(CASE WHEN l_linenumber = 2 THEN chr(160) ELSE ' ' END)" if profile == "fr" else "' '"
+    return (f"CAST(day({ts}) AS VARCHAR) || {sep} || list_extract([{months}], month({ts})) || {sep} "
+            f"|| CAST(year({ts}) AS VARCHAR) || ' ' || strftime({ts}, '%H:%M:%S') || ' UTC'")
+
+
+def money_text_sql(cents: str, eu: bool) -> str:
+    if eu:
+        return f"translate(format('{{:,.2f}}', CAST({cents} AS DOUBLE) / 100), ',.', '.,')"
+    return (f"(CASE WHEN {cents} < 0 THEN '-' ELSE '' END) || CAST(abs({cents}) // 100 AS VARCHAR) "
+            f"|| '.' || lpad(CAST(abs({cents}) % 100 AS VARCHAR), 2, '0')")
+
+
+# -- results table ----------------------------------------------------------
+
+URGENT = ("1-URGENT", "2-HIGH")
+
+
+def region_orders(spark: SparkSession, d: str) -> DataFrame:
+    from tillroll.operators.dims import join_dimension
+    o = load_table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice",
+                                              "o_orderpriority", "o_orderstatus")
+    c = load_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = load_table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = load_table(spark, d, "region").select("r_regionkey", "r_name")
+    geo = join_dimension(n, r, n.n_regionkey == r.r_regionkey, how="inner")
+    cust = join_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="inner")
+    return o.join(cust, o.o_custkey == cust.c_custkey, "inner").select(
+        F.concat_ws(" - ", "r_name", "n_name").alias("market"), "r_name",
+        F.to_date("o_orderdate").alias("report_date"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        "o_orderpriority", "o_orderstatus")
+
+
+def _results_from(df: DataFrame) -> DataFrame:
+    urgent = F.col("o_orderpriority").isin(*URGENT)
+    agg = df.groupBy("report_date", "market").agg(
+        F.sum("cents").alias("a"), F.coalesce(F.sum(F.when(urgent, F.col("cents"))), F.lit(0)).alias("e"))
+    return agg.select("report_date", "market", (F.col("a") / F.lit(100.0)).alias("actual_sales"),
+                      (F.col("e") / F.lit(100.0)).alias("estimated_sales"),
+                      ((F.col("a") + F.col("e")) / F.lit(100.0)).alias("total_estimation"))
+
+
+def results_table(spark: SparkSession, d: str) -> DataFrame:
+    """A results table (report_date, market, three figures) derived from orders by nation."""
+    return _results_from(region_orders(spark, d))
+
+
+def results_rerun(spark: SparkSession, d: str, region: str, status: str) -> DataFrame:
+    """A later run for one region's markets, counting only orders of one status."""
+    ro = region_orders(spark, d)
+    return _results_from(ro.filter((F.col("r_name") == region) & (F.col("o_orderstatus") == status)))
+
+
+REGION_ORDERS_SQL = """
+SELECT concat_ws(' - ', r_name, n_name) AS market, r_name, CAST(o_orderdate AS DATE) AS report_date,
+       CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority, o_orderstatus
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey"""
+
+
+def results_sql(where: str = "TRUE") -> str:
+    return f"""
+SELECT report_date, market, CAST(a AS DOUBLE) / 100 AS actual_sales, CAST(e AS DOUBLE) / 100 AS estimated_sales,
+       CAST(a + e AS DOUBLE) / 100 AS total_estimation
+FROM (SELECT report_date, market, CAST(sum(cents) AS BIGINT) AS a,
+             CAST(coalesce(sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN cents END), 0) AS BIGINT) AS e
+      FROM ({REGION_ORDERS_SQL}) ro WHERE {where} GROUP BY report_date, market)"""
+
+
+# -- file listing -------------------------------------------------------------
+
+COUNTRIES = ["germany", "italy", "spain", "france"]
+
+
+def file_listing(spark: SparkSession, d: str) -> DataFrame:
+    """One report file per order: the form varies with the order key (7 variants:
+    unified, plain, landed, unified with a bad month, 'copy of' + unified,
+    unified + '.part', plain with a bad month)."""
+    o = load_table(spark, d, "orders")
+    day = F.date_format("o_orderdate", "yyyyMMMd")
+    bad = F.concat(F.year("o_orderdate").cast("string"), F.lit("Xyz"),
+                   F.dayofmonth("o_orderdate").cast("string"))
+    uni = F.concat(day, F.lit("-"), day, F.lit("CustomUnifiedTransaction.csv"))
+    country = F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]), (F.col("o_custkey") % 4 + 1).cast("int"))
+    v = F.col("o_orderkey") % 7
+    name = (F.when(v == 0, uni)
+            .when(v == 1, F.concat(day, F.lit("-"), day, F.lit("CustomTransaction.csv")))
+            .when(v == 2, F.concat(country, F.lit("_sales_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv")))
+            .when(v == 3, F.concat(bad, F.lit("-"), bad, F.lit("CustomUnifiedTransaction.csv")))
+            .when(v == 4, F.concat(F.lit("copy of "), uni))
+            .when(v == 5, F.concat(uni, F.lit(".part")))
+            .otherwise(F.concat(bad, F.lit("-"), day, F.lit("CustomTransaction.csv"))))
+    modified = F.expr("o_orderdate + make_dt_interval(1, 0, 0, (o_orderkey * 7919) % 86400)")
+    return o.select("o_orderkey", F.col("o_orderpriority").alias("market"), name.alias("file_name"),
+                    modified.alias("modified"), country.alias("country"))
+
+
+FILE_LISTING_SQL = """
+SELECT o_orderkey, o_orderpriority AS market, country,
+       o_orderdate + INTERVAL 1 DAY + to_seconds((o_orderkey * 7919) % 86400) AS modified,
+       CASE o_orderkey % 7
+         WHEN 0 THEN uni
+         WHEN 1 THEN dd || '-' || dd || 'CustomTransaction.csv'
+         WHEN 2 THEN country || '_sales_' || strftime(o_orderdate, '%Y-%m-%d') || '.csv'
+         WHEN 3 THEN bad || '-' || bad || 'CustomUnifiedTransaction.csv'
+         WHEN 4 THEN 'copy of ' || uni
+         WHEN 5 THEN uni || '.part'
+         ELSE bad || '-' || dd || 'CustomTransaction.csv' END AS file_name
+FROM (SELECT *, dd || '-' || dd || 'CustomUnifiedTransaction.csv' AS uni
+      FROM (SELECT o_orderkey, o_orderpriority, o_orderdate,
+                   strftime(o_orderdate, '%Y%b%-d') AS dd,
+                   CAST(year(o_orderdate) AS VARCHAR) || 'Xyz' || CAST(day(o_orderdate) AS VARCHAR) AS bad,
+                   list_extract(['germany', 'italy', 'spain', 'france'], CAST(o_custkey % 4 + 1 AS INTEGER)) AS country
+            FROM orders))"""
+
+# Files already seen before the run: everything modified before 1998.
+MANIFEST_BEFORE = "1998-01-01"

@@ -253,3 +253,365 @@ def q_dim_sku_project(spark, d):
 @query("sku_map_json", f"SELECT sku, json_object(sku, asin) AS json FROM ({B.SKU_DIM_FIRST_SQL})")
 def q_sku_map_json(spark, d):
     return sku_map_json(_sku_dim(spark, d))
+
+
+# ---------------------------------------------------------------- headers, scalars on report text
+
+from tillroll.functions.headers import canonical_select, locale_rename, normalize_headers  # noqa: E402
+from tillroll.functions.locales import CANONICAL_COLUMNS, PROFILES  # noqa: E402
+from tillroll.operators.clean import parse_report_datetime, standardize  # noqa: E402
+
+_LINE = f"({B.LINE_TX_SQL}) t"
+_ORDER_ID_SQL = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
+_TS_TEXT_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+
+
+@query("header_normalize", f"""
+SELECT {B.date_text_sql('it')} AS data_ora, CAST(l_orderkey AS VARCHAR) AS numero_pagamento,
+       {_ORDER_ID_SQL} AS numero_ordine, CAST(l_partkey AS VARCHAR) AS sku,
+       CAST(qty AS VARCHAR) AS "quantità", {B.money_text_sql('ps', True)} AS vendite
+FROM {_LINE}""")
+def q_header_normalize(spark, d):
+    df = normalize_headers(B.raw_report(spark, d, "it"), PROFILES["it"])
+    return df.select("data_ora", "numero_pagamento", "numero_ordine", "sku", "quantità", "vendite")
+
+
+@query("dedupe_columns", f"""
+SELECT {B.date_text_sql('us2')} AS date_time, CAST(l_orderkey AS VARCHAR) AS settlement_id FROM {_LINE}""")
+def q_dedupe_columns(spark, d):
+    df = normalize_headers(B.raw_report(spark, d, "us2", with_duplicate_header=True), PROFILES["us2"])
+    return df.select("date_time", "settlement_id")
+
+
+@query("locale_rename", f"""
+SELECT {B.date_text_sql('de')} AS date_time, CAST(l_orderkey AS VARCHAR) AS settlement_id,
+       {_ORDER_ID_SQL} AS order_id, CAST(l_partkey AS VARCHAR) AS sku, CAST(qty AS VARCHAR) AS quantity,
+       {B.money_text_sql('ps', True)} AS product_sales, {B.money_text_sql('tot', True)} AS total
+FROM {_LINE}""")
+def q_locale_rename(spark, d):
+    p = PROFILES["de"]
+    df = locale_rename(normalize_headers(B.raw_report(spark, d, "de"), p), p)
+    return df.select("date_time", "settlement_id", "order_id", "sku", "quantity", "product_sales", "total")
+
+
+def _canonical_select_sql() -> str:
+    present = set(B.REPORT_COLUMNS) | {"date", "time", "weekday"}
+    money = set(PROFILES["us"].numeric_columns)
+    cols = []
+    for c in CANONICAL_COLUMNS:
+        if c in present:
+            cols.append(f'"{c}"')
+        else:
+            cols.append(f'CAST(NULL AS {"DECIMAL(18,4)" if c in money else "VARCHAR"}) AS "{c}"')
+    return f"SELECT {', '.join(cols)} FROM ({B.clean_expected_sql('de')})"
+
+
+@query("canonical_select", _canonical_select_sql())
+def q_canonical_select(spark, d):
+    from tillroll.functions.scalars import MONEY
+    df = clean(B.raw_report(spark, d, "de"), "de")
+    types = {c: MONEY for c in PROFILES["us"].numeric_columns}
+    return canonical_select(df, CANONICAL_COLUMNS, fill_missing=True, types=types)
+
+
+@query("strip_zone", f"""
+SELECT {_ORDER_ID_SQL} AS order_id, strftime(ts, '%b %-d, %Y %-I:%M:%S %p') AS date_time FROM {_LINE}""")
+def q_strip_zone(spark, d):
+    df = normalize_headers(B.raw_report(spark, d, "us"))
+    return df.select("order_id", X.strip_zone("date_time", (" PST", " PDT")).alias("date_time"))
+
+
+def _parsed(spark, d, profile):
+    p = PROFILES[profile]
+    df = locale_rename(normalize_headers(B.raw_report(spark, d, profile), p), p)
+    ts = parse_report_datetime("date_time", p)
+    return df.select("order_id", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+_PARSED_SQL = f"SELECT {_ORDER_ID_SQL} AS order_id, {_TS_TEXT_SQL} AS ts FROM {_LINE}"
+
+
+@query("parse_us_datetime", _PARSED_SQL)
+def q_parse_us_datetime(spark, d):
+    return _parsed(spark, d, "us")
+
+
+@query("parse_dayfirst_datetime", _PARSED_SQL)
+def q_parse_dayfirst_datetime(spark, d):
+    return _parsed(spark, d, "de")
+
+
+@query("parse_mixed_datetime", _PARSED_SQL)
+def q_parse_mixed_datetime(spark, d):
+    return _parsed(spark, d, "fr")
+
+
+def _translated_sql(profile: str) -> str:
+    sep = "(CASE WHEN l_linenumber = 2 THEN chr(160) ELSE ' ' END)" if profile == "fr" else "' '"
+    return (f"SELECT {_ORDER_ID_SQL} AS order_id, CAST(day(ts) AS VARCHAR) || {sep} || strftime(ts, '%b') "
+            f"|| {sep} || CAST(year(ts) AS VARCHAR) || ' ' || strftime(ts, '%H:%M:%S') || ' UTC' AS date_time "
+            f"FROM {_LINE}")
+
+
+for _p in ("it", "es", "fr"):
+    def _mk_tr(p):
+        def fn(spark, d):
+            prof = PROFILES[p]
+            df = locale_rename(normalize_headers(B.raw_report(spark, d, p), prof), prof)
+            return df.select("order_id", X.translate_months("date_time", prof.months).alias("date_time"))
+        fn.__name__ = f"q_month_translate_{p}"
+        return fn
+    query(f"month_translate_{_p}", _translated_sql(_p))(_mk_tr(_p))
+
+
+@query("date_parts", f"""
+SELECT {_ORDER_ID_SQL} AS order_id, CAST(ts AS DATE) AS date, strftime(ts, '%H:%M:%S') AS time,
+       dayname(ts) AS weekday FROM {_LINE}""")
+def q_date_parts(spark, d):
+    return standardize(B.raw_report(spark, d, "es"), "es").select("order_id", "date", "time", "weekday")
+
+
+# Number text with the styles a report may hold: line 1 is written with
+# thousands separators (US: ``1,234.56``, EU: French ``1 234,56``), which the
+# cleaners do not accept; other lines use the plain style of their market.
+def _number_text(eu: bool):
+    plain = B._money_eu("ps") if eu else B._money_us("ps")
+    odd = (F.regexp_replace(F.translate(F.format_number(F.col("ps") / F.lit(100.0), 2), ".", ","), ",(?=\\d{3})", " ")
+           if eu else F.format_number(F.col("ps") / F.lit(100.0), 2))
+    return F.when(F.col("l_linenumber") == 1, odd).otherwise(plain)
+
+
+def _number_sql(eu: bool) -> str:
+    return (f"SELECT {_ORDER_ID_SQL} AS order_id, CASE WHEN l_linenumber = 1 AND ps >= 100000 THEN NULL "
+            f"ELSE CAST(CAST(ps AS DOUBLE) / 100 AS DECIMAL(18,4)) END AS product_sales FROM {_LINE}")
+
+
+@query("to_number_us", _number_sql(False))
+def q_to_number_us(spark, d):
+    t = B.line_tx(spark, d)
+    return t.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+                    X.to_number_us(_number_text(False)).alias("product_sales"))
+
+
+@query("to_number_eu", _number_sql(True))
+def q_to_number_eu(spark, d):
+    t = B.line_tx(spark, d)
+    return t.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+                    X.to_number_eu(_number_text(True)).alias("product_sales"))
+
+
+@query("daily_extract", f"""
+SELECT date, time, weekday, settlement_id, type, order_id, sku, ASIN, description, quantity, marketplace,
+       fulfillment, product_sales, total FROM ({B.clean_expected_sql('us', with_asin=True)})""")
+def q_daily_extract(spark, d):
+    return daily_extract(B.raw_report(spark, d, "us"), sku_dim=_sku_dim(spark, d))
+
+
+_MARKETS = {"de": "EU - Germany", "it": "EU - Italy", "es": "EU - Spain", "fr": "EU - France"}
+
+
+@query("multi_market_union", f"""
+SELECT m.market, CAST(t.ts AS DATE) AS date, dayname(CAST(t.ts AS DATE)) AS weekday,
+       CAST(sum(t.ps) AS DOUBLE) / 100 AS amount
+FROM {_LINE} CROSS JOIN (VALUES {', '.join(f"('{v}')" for v in _MARKETS.values())}) m(market)
+GROUP BY m.market, CAST(t.ts AS DATE)""")
+def q_multi_market_union(spark, d):
+    parts = [clean(B.raw_report(spark, d, p), p).withColumn("market", F.lit(m)) for p, m in _MARKETS.items()]
+    tx = parts[0]
+    for p in parts[1:]:
+        tx = tx.unionByName(p)
+    return E.daily_sales(tx, amount="product_sales")
+
+
+@query("append_union_by_name", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS "settlement id", {_ORDER_ID_SQL} AS "order id",
+       CASE WHEN ts < TIMESTAMP '1998-01-01' THEN 'Amazon' END AS fulfillment,
+       CASE WHEN ts >= TIMESTAMP '1998-01-01' THEN 'Sales' END AS "account type",
+       {B.money_text_sql('ps', False)} AS "product sales"
+FROM {_LINE}""")
+def q_append_union_by_name(spark, d):
+    from tillroll.sources.sinks import append_by_name
+    t = B.line_tx(spark, d).withColumn("_old", F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    rep = B.raw_report_from(t, "us", keep=["_old"])
+    master = rep.filter(F.col("_old")).drop("_old")
+    new = (rep.filter(~F.col("_old")).drop("_old", "fulfillment")
+           .withColumn("account type", F.lit("Sales")))
+    out = append_by_name(master, new)
+    return out.select("settlement id", "order id", "fulfillment", "account type", "product sales")
+
+
+# ---------------------------------------------------------------- results, summary
+
+from tillroll.operators import results as R  # noqa: E402
+from tillroll.operators import summary as S  # noqa: E402
+
+_RD = bounds(B.CUTOFF)["report_date"]
+
+
+@query("results_json_explode", B.results_sql())
+def q_results_json_explode(spark, d):
+    return R.from_json_text(R.to_json_lines(B.results_table(spark, d)))
+
+
+@query("results_for_date", f"SELECT * FROM ({B.results_sql()}) WHERE report_date = DATE '{_RD}'")
+def q_results_for_date(spark, d):
+    return R.results_for_date(B.results_table(spark, d), _RD)
+
+
+@query("group_flag", f"""
+SELECT report_date, market, starts_with(market, '{B.EU_PREFIX}') AS starts_with_group,
+       contains(market, '{B.EU_PREFIX}') AS contains_group FROM ({B.results_sql()})""")
+def q_group_flag(spark, d):
+    r = B.results_table(spark, d)
+    return r.select("report_date", "market", F.col("market").startswith(B.EU_PREFIX).alias("starts_with_group"),
+                    F.col("market").contains(B.EU_PREFIX).alias("contains_group"))
+
+
+_NEW_AMERICA = B.results_sql("r_name = 'AMERICA' AND o_orderstatus = 'F'")
+_NEW_EUROPE = B.results_sql("r_name = 'EUROPE' AND o_orderstatus = 'O'")
+
+
+@query("results_upsert_market", f"""
+WITH old AS ({B.results_sql()}), new AS ({_NEW_AMERICA})
+SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.report_date = old.report_date
+                                     AND new.market = old.market)
+UNION ALL SELECT * FROM new""")
+def q_results_upsert_market(spark, d):
+    return R.upsert_market(B.results_table(spark, d), B.results_rerun(spark, d, "AMERICA", "F"))
+
+
+@query("results_replace_group", f"""
+WITH old AS ({B.results_sql()}), new AS ({_NEW_EUROPE})
+SELECT * FROM old WHERE NOT (starts_with(market, '{B.EU_PREFIX}')
+                             AND report_date IN (SELECT report_date FROM new))
+UNION ALL SELECT * FROM new""")
+def q_results_replace_group(spark, d):
+    return R.replace_group(B.results_table(spark, d), B.results_rerun(spark, d, "EUROPE", "O"), B.EU_PREFIX)
+
+
+def _summary_sql() -> str:
+    g = B.EU_PREFIX
+    return f"""
+WITH r AS (SELECT report_date, market, contains(market, '{g}') AS g,
+                  CAST(round(actual_sales * 100) AS BIGINT) AS a, CAST(round(estimated_sales * 100) AS BIGINT) AS e,
+                  CAST(round(total_estimation * 100) AS BIGINT) AS t FROM ({B.results_sql()})),
+rows AS (SELECT report_date, CASE WHEN g THEN 1 ELSE 3 END AS ord, market,
+                CASE WHEN g THEN '€' ELSE '$' END AS currency, a, e, t FROM r
+         UNION ALL
+         SELECT report_date, 2, 'Total {g}', '€', CAST(coalesce(sum(CASE WHEN g THEN a END), 0) AS BIGINT),
+                CAST(coalesce(sum(CASE WHEN g THEN e END), 0) AS BIGINT),
+                CAST(coalesce(sum(CASE WHEN g THEN t END), 0) AS BIGINT) FROM r GROUP BY report_date
+         UNION ALL
+         SELECT report_date, 4, 'Grand Total', '$', CAST(sum(a) AS BIGINT), CAST(sum(e) AS BIGINT),
+                CAST(sum(t) AS BIGINT) FROM r GROUP BY report_date)
+SELECT report_date, CAST(ord AS INTEGER) AS ord, market, currency, CAST(a AS DOUBLE) / 100 AS actual_sales,
+       CAST(e AS DOUBLE) / 100 AS estimated_sales, CAST(t AS DOUBLE) / 100 AS total_estimation FROM rows"""
+
+
+@query("summary_rollup", _summary_sql())
+def q_summary_rollup(spark, d):
+    return S.summary(B.results_table(spark, d), group=B.EU_PREFIX)
+
+
+@query("money_format", f"""
+SELECT report_date, ord, market,
+       currency || format('{{:,.2f}}', actual_sales) AS actual_sales_text,
+       currency || format('{{:,.2f}}', estimated_sales) AS estimated_sales_text,
+       currency || format('{{:,.2f}}', total_estimation) AS total_estimation_text
+FROM ({_summary_sql()})""")
+def q_money_format(spark, d):
+    return S.money_columns(S.summary(B.results_table(spark, d), group=B.EU_PREFIX))
+
+
+def _html_sql() -> str:
+    cell = S._CELL.replace("'", "''")
+    return f"""
+SELECT report_date, ord, market,
+  '<tr' || (CASE ord WHEN 2 THEN ' style="background-color: #f9f9f9; font-weight: bold;"'
+                     WHEN 4 THEN ' style="background-color: #e6f2ff; font-weight: bold;"' ELSE '' END) || '>'
+  || '{cell}' || market || '</td>'
+  || '{cell}' || currency || format('{{:,.2f}}', actual_sales) || '</td>'
+  || '{cell}' || currency || format('{{:,.2f}}', estimated_sales) || '</td>'
+  || '{cell}' || (CASE WHEN ord IN (2, 4) THEN currency || format('{{:,.2f}}', total_estimation)
+                  ELSE '<strong>' || currency || format('{{:,.2f}}', total_estimation) || '</strong>' END)
+  || '</td></tr>' AS html
+FROM ({_summary_sql()})"""
+
+
+@query("report_html", _html_sql())
+def q_report_html(spark, d):
+    return S.html_rows(S.summary(B.results_table(spark, d), group=B.EU_PREFIX))
+
+
+# ---------------------------------------------------------------- file side
+
+from tillroll.sources import files as FL  # noqa: E402
+
+_LIST = f"({B.FILE_LISTING_SQL})"
+
+
+@query("file_filter_unified", f"""
+SELECT o_orderkey, market, file_name FROM {_LIST}
+WHERE regexp_matches(file_name, '^(\\d{{4}}[A-Za-z]{{3}}\\d{{1,2}})-(\\d{{4}}[A-Za-z]{{3}}\\d{{1,2}})CustomUnifiedTransaction\\.csv')""")
+def q_file_filter_unified(spark, d):
+    return FL.filter_form(B.file_listing(spark, d), "unified").select("o_orderkey", "market", "file_name")
+
+
+@query("file_filter_plain", f"""
+SELECT o_orderkey, market, file_name FROM {_LIST}
+WHERE regexp_matches(file_name, '^(\\d{{4}}[A-Za-z]{{3}}\\d{{1,2}})-(\\d{{4}}[A-Za-z]{{3}}\\d{{1,2}})CustomTransaction\\.csv')""")
+def q_file_filter_plain(spark, d):
+    return FL.filter_form(B.file_listing(spark, d), "plain").select("o_orderkey", "market", "file_name")
+
+
+@query("file_filter_landed", f"""
+SELECT o_orderkey, file_name, regexp_extract(file_name, '^([a-z]+)_sales_(\\d{{4}}-\\d{{2}}-\\d{{2}})\\.csv', 1) AS country,
+       CAST(regexp_extract(file_name, '^([a-z]+)_sales_(\\d{{4}}-\\d{{2}}-\\d{{2}})\\.csv', 2) AS DATE) AS report_date
+FROM {_LIST} WHERE regexp_matches(file_name, '^([a-z]+)_sales_(\\d{{4}}-\\d{{2}}-\\d{{2}})\\.csv')""")
+def q_file_filter_landed(spark, d):
+    pat = FL.PATTERNS["landed"]
+    df = FL.filter_form(B.file_listing(spark, d), "landed")
+    return df.select("o_orderkey", "file_name", F.regexp_extract("file_name", pat, 1).alias("country"),
+                     F.to_date(F.regexp_extract("file_name", pat, 2)).alias("report_date"))
+
+
+_UNI_RE = "(\\d{4}[A-Za-z]{3}\\d{1,2})-(\\d{4}[A-Za-z]{3}\\d{1,2})CustomUnifiedTransaction\\.csv"
+_PLAIN_RE = "(\\d{4}[A-Za-z]{3}\\d{1,2})-(\\d{4}[A-Za-z]{3}\\d{1,2})CustomTransaction\\.csv"
+
+
+@query("latest_file_by_mtime", f"""
+SELECT market, max({{'m': modified, 'f': file_name}}).f AS file_name, max({{'m': modified, 'f': file_name}}).m AS modified
+FROM {_LIST} WHERE regexp_matches(file_name, '^{_UNI_RE}') GROUP BY market""")
+def q_latest_file_by_mtime(spark, d):
+    return FL.latest_by_mtime(FL.filter_form(B.file_listing(spark, d), "unified"))
+
+
+@query("latest_file_by_name_date", f"""
+SELECT market, max({{'s': sd, 'f': file_name}}).f AS file_name, max({{'s': sd, 'f': file_name}}).s AS start_date
+FROM (SELECT market, file_name, CAST(try_strptime(regexp_extract(file_name, '{_UNI_RE}', 1), '%Y%b%d') AS DATE) AS sd
+      FROM {_LIST}) WHERE sd IS NOT NULL GROUP BY market""")
+def q_latest_file_by_name_date(spark, d):
+    return FL.latest_by_name_date(B.file_listing(spark, d), "unified")
+
+
+def _manifest(spark, d):
+    ls = B.file_listing(spark, d)
+    return ls.filter(F.col("modified") < F.lit(B.MANIFEST_BEFORE).cast("timestamp_ntz")).select("file_name")
+
+
+@query("new_files_anti", f"""
+SELECT market, count(*) FILTER (WHERE regexp_matches(file_name, '^{_PLAIN_RE}')) AS new_files,
+       coalesce(bool_or(regexp_matches(file_name, '^{_PLAIN_RE}')), FALSE) AS any_new
+FROM {_LIST} l WHERE file_name NOT IN (SELECT file_name FROM {_LIST} WHERE modified < TIMESTAMP '{B.MANIFEST_BEFORE}')
+GROUP BY market""")
+def q_new_files_anti(spark, d):
+    return FL.new_files(B.file_listing(spark, d), _manifest(spark, d), "plain")
+
+
+@query("landed_name", f"""
+SELECT o_orderkey, file_name, sd AS report_date,
+       CASE WHEN sd IS NOT NULL THEN country || '_sales_' || strftime(sd, '%Y-%m-%d') || '.csv' END AS landed_name
+FROM (SELECT *, CAST(try_strptime(regexp_extract(file_name, '{_PLAIN_RE}', 1), '%Y%b%d') AS DATE) AS sd
+      FROM {_LIST} WHERE ends_with(file_name, 'CustomTransaction.csv'))""")
+def q_landed_name(spark, d):
+    return FL.landed_name(B.file_listing(spark, d)).select("o_orderkey", "file_name", "report_date", "landed_name")
