@@ -222,6 +222,25 @@ US_DATETIME_PATTERNS = [
     "M/d/yyyy",
 ]
 
+# Per market the native form comes first: a failed pattern costs a parse
+# attempt per row, so the list is short and ordered by what the reports write.
+DE_DATETIME_PATTERNS = [
+    "d.M.yyyy H:mm:ss",
+    "d.M.yyyy H:mm",
+    "d.M.yyyy",
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd",
+]
+
+MONTH_NAME_DATETIME_PATTERNS = [
+    "d MMM yyyy H:mm:ss",
+    "d MMM yyyy H:mm",
+    "d MMM yyyy",
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd",
+]
+
+# Any day-first form (for text of unknown origin).
 DAYFIRST_DATETIME_PATTERNS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
@@ -270,22 +289,22 @@ PROFILES = {
         numeric_columns=tuple(NUMERIC_COLUMNS_US), columns=_canonical_without("ASIN")),
     "de": LocaleProfile(
         name="de", headers=HEADERS_DE, zones=(" UTC",),
-        datetime_patterns=tuple(DAYFIRST_DATETIME_PATTERNS), decimal_comma=True,
+        datetime_patterns=tuple(DE_DATETIME_PATTERNS), decimal_comma=True,
         numeric_columns=tuple(NUMERIC_COLUMNS_EU),
         columns=_canonical_without("ASIN", "account_type", "Regulatory_Fee", "Tax_On_Regulatory_Fee")),
     "it": LocaleProfile(
         name="it", headers=HEADERS_IT, months=MONTHS_IT, lower_headers=True, strip_colon=True,
-        zones=(" UTC",), datetime_patterns=tuple(DAYFIRST_DATETIME_PATTERNS), decimal_comma=True,
+        zones=(" UTC",), datetime_patterns=tuple(MONTH_NAME_DATETIME_PATTERNS), decimal_comma=True,
         numeric_columns=tuple(NUMERIC_COLUMNS_EU), normalize_spaces=True,
         columns=_canonical_without("ASIN", "account_type", "Regulatory_Fee", "Tax_On_Regulatory_Fee")),
     "es": LocaleProfile(
         name="es", headers=HEADERS_ES, months=MONTHS_ES, lower_headers=True,
-        zones=(" UTC",), datetime_patterns=tuple(DAYFIRST_DATETIME_PATTERNS), decimal_comma=True,
+        zones=(" UTC",), datetime_patterns=tuple(MONTH_NAME_DATETIME_PATTERNS), decimal_comma=True,
         numeric_columns=tuple(NUMERIC_COLUMNS_EU), normalize_spaces=True,
         columns=_canonical_without("ASIN", "account_type", "Regulatory_Fee", "Tax_On_Regulatory_Fee")),
     "fr": LocaleProfile(
         name="fr", headers=HEADERS_FR, months=MONTHS_FR,
-        zones=(" UTC",), datetime_patterns=tuple(DAYFIRST_DATETIME_PATTERNS), decimal_comma=True,
+        zones=(" UTC",), datetime_patterns=tuple(MONTH_NAME_DATETIME_PATTERNS), decimal_comma=True,
         numeric_columns=tuple(NUMERIC_COLUMNS_EU), normalize_spaces=True,
         columns=_canonical_without("ASIN", "account_type", "Regulatory_Fee", "Tax_On_Regulatory_Fee")),
 }

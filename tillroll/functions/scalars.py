@@ -41,6 +41,28 @@ def translate_months(c, months: dict) -> Column:
     return out
 
 
+def _month_alternation(months: dict) -> str:
+    names = sorted(months, key=len, reverse=True)
+    return r"(?U)(?<=\d\s)(" + "|".join(r"\Q" + n + r"\E" for n in names) + r")(?=\s)"
+
+
+def translate_month_token(c, months: dict) -> Column:
+    """Same result as ``translate_months`` in two regex passes instead of twelve.
+
+    The month name found first is looked up and every occurrence of it is
+    replaced; a text holding two different month names (never a date-time)
+    takes the exact chained path.
+    """
+    text = _col(c)
+    pat = _month_alternation(months)
+    tok = F.regexp_extract(text, pat, 1)
+    lookup = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
+    fast = F.regexp_replace(text, pat, F.coalesce(F.element_at(lookup, tok), F.lit("")))
+    single = F.regexp_count(text, F.lit(pat)) <= 1
+    return (F.when(tok == "", text).when(single, fast)
+            .otherwise(translate_months(text, months)))
+
+
 # -- date and time ---------------------------------------------------------
 
 def parse_datetime(c, patterns: Iterable[str]) -> Column:

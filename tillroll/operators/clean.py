@@ -10,7 +10,7 @@ from tillroll.functions.locales import (DAILY_EXTRACT_DROP, DAILY_EXTRACT_KEEP,
                                         LocaleProfile)
 from tillroll.functions.scalars import (MONEY, date_part, normalize_spaces, parse_datetime,
                                         round_half_even, strip_zone, time_part, to_number_eu,
-                                        to_number_us, translate_months, weekday_name)
+                                        to_number_us, translate_month_token, weekday_name)
 from tillroll.operators.dims import with_asin
 
 
@@ -23,7 +23,7 @@ def parse_report_datetime(c, profile) -> F.Column:
     p = _profile(profile)
     text = F.col(c) if isinstance(c, str) else c
     if p.months:
-        text = translate_months(text, p.months)
+        text = translate_month_token(text, p.months)
     if p.normalize_spaces:
         text = normalize_spaces(text)
     return parse_datetime(strip_zone(text, p.zones), p.datetime_patterns)
