@@ -1,0 +1,133 @@
+"""Headers, cleaners, report files, listings, sinks and the streaming pick-up."""
+
+import datetime as dt
+import os
+import time
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tillroll.functions.headers import locale_rename, normalize_headers
+from tillroll.functions.locales import PROFILES
+from tillroll.operators.clean import bad_dates, clean, daily_extract
+from tillroll.operators.dims import sku_first, with_asin
+from tillroll.sources import files as FL
+from tillroll.sources.reports import read_report
+from tillroll.sources.sinks import append_new_files
+
+PREAMBLE = ['"Includes marketplace transactions"', '"All amounts in local currency"', "",
+            '"Fees are shown as negative"', '"x"', '"y"', '"z"']
+
+US_HEADER = ["date/time", "settlement id", "type", "order id", "sku", "description", "quantity",
+             "product sales", "total"]
+DE_HEADER = ["Datum/Uhrzeit", "Abrechnungsnummer", "Typ", "Bestellnummer", "SKU", "Beschreibung",
+             "Menge", "Umsätze", "Gesamt"]
+
+
+def _csv(path, header, rows, preamble=PREAMBLE):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        for line in preamble:
+            f.write(line + "\n")
+        f.write(",".join(f'"{h}"' for h in header) + "\n")
+        for r in rows:
+            f.write(",".join(f'"{v}"' for v in r) + "\n")
+
+
+def test_normalize_dedupe_and_french_apostrophes(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")],
+                               ["date/time", "date time", "ville d’où provient la commande", "Marketplace"])
+    n = normalize_headers(df)
+    assert n.columns == ["date_time", "ville_d’où_provient_la_commande", "Marketplace"]
+    assert n.collect()[0]["date_time"] == "a"
+    r = locale_rename(n, PROFILES["fr"])
+    assert r.columns == ["date_time", "order_city", "marketplace"]
+    it = normalize_headers(spark.createDataFrame([("x",)], ["Data/Ora:"]), PROFILES["it"])
+    assert it.columns == ["data_ora"]
+
+
+def test_read_report_with_preamble_and_clean_us(spark, tmp):
+    rows = [("Mar 1, 2025 12:05:33 AM PST", "111", "Order", "o-1", "670480202111", "caps, 60", "1",
+             "19.99", "15.00"),
+            ("Mar 2, 2025 1:00:00 PM PST", "111", "Refund", "o-2", "10-20141 FFP", "caps", "1",
+             "1,019.99", "-5.00")]
+    _csv(f"{tmp}/us/2025Mar1-2025Mar2CustomUnifiedTransaction.csv", US_HEADER, rows)
+    _csv(f"{tmp}/us/2025Mar3-2025Mar3CustomUnifiedTransaction.csv", US_HEADER, [rows[0]], preamble=[])
+    raw = read_report(spark, f"{tmp}/us")
+    assert raw.count() == 3
+    dim = sku_first(spark.createDataFrame(
+        [(1, "670480202111", "B00O1BC9B2"), (2, "10-20141 FFP", "B0FIRST"), (3, "10-20141 FFP", "B0LATER")],
+        "row_no long, `seller-sku` string, ASIN string"))
+    out = clean(raw, "us", sku_dim=dim).orderBy("date", "order_id").collect()
+    assert out[0]["date"] == dt.date(2025, 3, 1) and out[0]["weekday"] == "Saturday"
+    assert out[0]["description"] == "caps, 60" and out[0]["ASIN"] == "B00O1BC9B2"
+    assert out[-1]["product_sales"] is None and out[-1]["ASIN"] == "B0FIRST"   # US thousands -> null
+    assert out[-1]["time"] == "13:00:00"
+    assert "source_file" in clean(raw, "us").columns
+
+
+def test_clean_german_report_and_quarantine(spark, tmp):
+    rows = [("01.03.2025 00:05:33 UTC", "9", "Bestellung", "o-1", "SKU1", "x", "1", "1.234,56", "12,50"),
+            ("kaputt", "9", "Bestellung", "o-2", "SKU1", "x", "1", "0", "0")]
+    _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", DE_HEADER, rows)
+    raw = read_report(spark, f"{tmp}/de")
+    out = clean(raw, "de").orderBy("order_id").collect()
+    assert out[0]["product_sales"] == Decimal("1234.5600") and out[0]["total"] == Decimal("12.5000")
+    assert out[0]["date"] == dt.date(2025, 3, 1) and out[1]["date"] is None
+    assert "ASIN" not in clean(raw, "de").columns
+    assert bad_dates(raw, "de").count() == 1
+
+
+def test_daily_extract_projection(spark, tmp):
+    _csv(f"{tmp}/us/a.csv", US_HEADER + ["selling fees", "product sales tax"],
+         [("Mar 1, 2025 12:05:33 AM PST", "1", "Order", "o", "s", "d", "1", "19.999", "1", "-2", "1")])
+    out = daily_extract(read_report(spark, f"{tmp}/us"))
+    assert "selling_fees" not in out.columns and "product_sales_tax" not in out.columns
+    assert out.columns[:8] == ["date", "time", "weekday", "settlement_id", "type", "order_id", "sku", "ASIN"]
+    assert out.collect()[0]["product_sales"] == Decimal("20.0000")
+
+
+def test_listing_latest_and_new_files(spark, tmp):
+    for name in ["2025Mar1-2025Mar1CustomTransaction.csv", "2025Mar2-2025Mar2CustomTransaction.csv",
+                 "2025Xyz3-2025Mar3CustomTransaction.csv", "notes.csv"]:
+        _csv(f"{tmp}/land/de/{name}", DE_HEADER, [])
+        time.sleep(0.05)
+    ls = FL.list_files(spark, f"{tmp}/land")
+    assert {r["market"] for r in ls.collect()} == {"de"}
+    latest = FL.latest_by_mtime(FL.filter_form(ls, "plain")).collect()[0]
+    assert latest["file_name"] == "2025Xyz3-2025Mar3CustomTransaction.csv"
+    by_name = FL.latest_by_name_date(ls, "plain").collect()[0]
+    assert by_name["file_name"] == "2025Mar2-2025Mar2CustomTransaction.csv"
+    manifest = spark.createDataFrame([("2025Mar1-2025Mar1CustomTransaction.csv",)], "file_name string")
+    new = FL.new_files(ls, manifest, "plain").collect()[0]
+    assert (new["new_files"], new["any_new"]) == (2, True)
+    landed = {r["file_name"]: r["landed_name"] for r in
+              FL.landed_name(ls.withColumn("country", F.lit("germany"))).collect()}
+    assert landed["2025Mar1-2025Mar1CustomTransaction.csv"] == "germany_sales_2025-03-01.csv"
+    assert landed["2025Xyz3-2025Mar3CustomTransaction.csv"] is None
+
+
+def test_append_with_manifest_is_idempotent(spark, tmp):
+    rows = spark.createDataFrame([("f1", "m", dt.date(2025, 3, 1), 1), ("f2", "m", dt.date(2025, 3, 2), 2)],
+                                 "source_file string, market string, report_date date, v int")
+    assert append_new_files(rows, f"{tmp}/t", f"{tmp}/t_manifest") == 2
+    assert append_new_files(rows, f"{tmp}/t", f"{tmp}/t_manifest") == 0
+    assert spark.read.parquet(f"{tmp}/t").count() == 2
+
+
+def test_stream_ingest_batches_equal_one_run(spark, tmp):
+    from tillroll.streaming.ingest import run_ingest
+    rows = lambda d: [(f"0{d}.03.2025 10:00:00 UTC", "9", "Bestellung", f"o-{d}", "S", "x", "1", "10,00", "10,00")]
+    for d in (1, 2):
+        _csv(f"{tmp}/in/germany_sales_2025-03-0{d}.csv", DE_HEADER, rows(d))
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")
+    _csv(f"{tmp}/in/germany_sales_2025-03-03.csv", DE_HEADER, rows(3))
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")   # nothing new
+    for d in (1, 2, 3):
+        _csv(f"{tmp}/in2/germany_sales_2025-03-0{d}.csv", DE_HEADER, rows(d))
+    run_ingest(spark, f"{tmp}/in2", f"{tmp}/tbl2", f"{tmp}/ck2", "de", "EU - Germany")
+    a = sorted((r["order_id"], r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/tbl").collect())
+    b = sorted((r["order_id"], r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/tbl2").collect())
+    assert a == b and len(a) == 3
+    assert a[0][1] == dt.date(2025, 3, 1)
