@@ -18,24 +18,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators.clean import clean
-from tillroll.sources.reports import MAX_COLUMNS, report_date_from_name, report_rows
+from tillroll.sources.reports import MAX_COLUMNS, apply_header, report_date_from_name, report_rows
 from tillroll.sources.sinks import append_new_files
 
 
 def clean_batch(lines: DataFrame, profile: str, market: str, width: int = MAX_COLUMNS,
-                sku_dim: DataFrame | None = None) -> DataFrame:
-    """One micro-batch of raw lines -> canonical rows with market, report date, source file."""
+                sku_dim: DataFrame | None = None) -> DataFrame | None:
+    """One micro-batch of raw lines -> canonical rows with market, report date, source file.
+
+    Files of one locale share a header; a batch holding two header variants
+    is cleaned per variant (each file's rows carry its header).
+    """
     data, variants = report_rows(lines, width)
-    out = None
-    for names in variants:           # one header per locale: a short loop over names
-        n = max(i for i, v in enumerate(names) if v is not None) + 1
-        cols = [F.col(f"_c{i}").alias(names[i] if names[i] is not None else f"_c{i}") for i in range(n)]
-        hdr = F.array(*[F.lit(v) for v in names])
-        raw = data.filter(F.col("_hdr") == hdr).select(*cols, "source_file")
-        part = clean(raw, profile, sku_dim=sku_dim).withColumn("market", F.lit(market)).withColumn(
-            "report_date", F.coalesce(report_date_from_name("source_file"), F.col("date")))
-        out = part if out is None else out.unionByName(part)
-    return out
+    if not variants:
+        return None
+    if len(variants) > 1:
+        raise ValueError(f"one source folder holds {len(variants)} different headers")
+    raw = apply_header(data, variants[0], keep=("source_file",))
+    return clean(raw, profile, sku_dim=sku_dim).withColumn("market", F.lit(market)).withColumn(
+        "report_date", F.coalesce(report_date_from_name("source_file"), F.col("date")))
 
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
