@@ -70,7 +70,7 @@ def test_report_html_document(spark, tmp):
     import glob
     res = _res(spark, [(D1, "EU - DE", 10, 1), (D1, "US", 100, 10)])
     write_report_html(S.html_rows(S.summary(res, group="EU")), tmp + "/html")
-    files = glob.glob(tmp + "/html/report_date=2025-03-01/*.txt")
+    files = sorted(glob.glob(tmp + "/html/report_date=2025-03-01/*.txt"))
     text = "".join(open(f).read() for f in files)
     assert text.startswith("<html>") and text.rstrip().endswith("</html>")
     assert text.index("EU - DE") < text.index("Total EU") < text.index(">US<") < text.index("Grand Total")

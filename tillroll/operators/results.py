@@ -78,6 +78,7 @@ def write_results(results: DataFrame, path: str) -> None:
 
     With dynamic partition overwrite only the dates present are rewritten.
     """
-    (results.select(*RESULT_COLUMNS).repartition("report_date")
+    from tillroll.sources.sinks import salted
+    (salted(results.select(*RESULT_COLUMNS), ["report_date"])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("report_date").parquet(path))

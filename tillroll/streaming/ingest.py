@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators.clean import clean
+from tillroll.session import checkpoint_dir
 from tillroll.sources.reports import MAX_COLUMNS, apply_header, report_date_from_name, report_rows
 from tillroll.sources.sinks import append_new_files
 
@@ -39,13 +40,17 @@ def clean_batch(lines: DataFrame, profile: str, market: str, width: int = MAX_CO
         "report_date", F.coalesce(report_date_from_name("source_file"), F.col("date")))
 
 
-def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
+def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str | None,
                  profile: str, market: str, width: int = MAX_COLUMNS, available_now: bool = True,
                  sku_dim: DataFrame | None = None):
     """Start the pick-up stream; returns the ``StreamingQuery``.
 
-    ``checkpoint`` must be in the shared checkpoint folder of the cluster.
+    ``checkpoint`` defaults to a folder under the cluster's shared
+    ``spark.checkpoint.dir``. ``width`` bounds the number of report columns.
     """
+    if checkpoint is None:
+        safe = "".join(ch if ch.isalnum() else "_" for ch in market)
+        checkpoint = os.path.join(checkpoint_dir(spark), "ingest", safe)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     lines = (spark.readStream.schema(schema).option("header", False).option("multiLine", True)
              .option("pathGlobFilter", "*.csv").csv(source_dir)
@@ -64,7 +69,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     return w.start()
 
 
-def run_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
+def run_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str | None,
                profile: str, market: str, **kw) -> None:
     """Take every file not yet taken, then stop (the daily run)."""
     q = start_ingest(spark, source_dir, table_path, checkpoint, profile, market, **kw)
