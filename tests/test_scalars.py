@@ -70,3 +70,15 @@ def test_date_parts_and_labels_g16(spark):
 def test_money_format(spark):
     got = _one(spark, X.money_format("x", "€"), [1234.5, -12.0, 1000000.0], "double")
     assert got == ["€1,234.50", "€-12.00", "€1,000,000.00"]
+
+
+def test_plain_space_path_matches_unicode_rule(spark):
+    """The cleaner's ASCII path (spaces unified one for one first) parses like the
+    Unicode rule: a month name needs exactly one white space after the day."""
+    p = PROFILES["fr"]
+    texts = ["3 mars 2025 10:00:00 UTC", "1  mars 2025 10:00:00 UTC", "7\tjuil. 2025 01:02:03 UTC"]
+    fast = _one(spark, parse_report_datetime("x", p), texts)
+    ref = _one(spark, X.parse_datetime(X.strip_zone(X.normalize_spaces(X.translate_months("x", p.months)),
+                                                    p.zones), p.datetime_patterns), texts)
+    assert fast == ref
+    assert fast[0] == dt.datetime(2025, 3, 3, 10, 0, 0) and fast[1] is None

@@ -41,20 +41,32 @@ def translate_months(c, months: dict) -> Column:
     return out
 
 
-def _month_alternation(months: dict) -> str:
+# Characters Python's ``\s`` matches in text (Unicode white space).
+UNICODE_SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+                  + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def plain_spaces(c) -> Column:
+    """Every white-space character becomes one plain space (one for one, no regex)."""
+    return F.translate(_col(c), UNICODE_SPACES, " " * len(UNICODE_SPACES))
+
+
+def _month_alternation(months: dict, unicode: bool = True) -> str:
     names = sorted(months, key=len, reverse=True)
-    return r"(?U)(?<=\d\s)(" + "|".join(r"\Q" + n + r"\E" for n in names) + r")(?=\s)"
+    alt = "(" + "|".join(r"\Q" + n + r"\E" for n in names) + ")"
+    return (r"(?U)(?<=\d\s)" + alt + r"(?=\s)") if unicode else (r"(?<=\d )" + alt + r"(?= )")
 
 
-def translate_month_token(c, months: dict) -> Column:
+def translate_month_token(c, months: dict, plain: bool = False) -> Column:
     """Same result as ``translate_months`` in two regex passes instead of twelve.
 
     The month name found first is looked up and every occurrence of it is
     replaced; a text holding two different month names (never a date-time)
-    takes the exact chained path.
+    takes the exact chained path. With ``plain`` the text must already have
+    plain spaces only (see ``plain_spaces``), which allows ASCII patterns.
     """
     text = _col(c)
-    pat = _month_alternation(months)
+    pat = _month_alternation(months, unicode=not plain)
     tok = F.regexp_extract(text, pat, 1)
     lookup = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
     fast = F.regexp_replace(text, pat, F.coalesce(F.element_at(lookup, tok), F.lit("")))
@@ -63,6 +75,11 @@ def translate_month_token(c, months: dict) -> Column:
             .otherwise(translate_months(text, months)))
 
 
+def collapse_spaces(c) -> Column:
+    """Runs of plain spaces -> one space, trimmed (text with plain spaces only)."""
+    return F.trim(F.regexp_replace(_col(c), " {2,}", " "))
+
+
 # -- date and time ---------------------------------------------------------
 
 def parse_datetime(c, patterns: Iterable[str]) -> Column:

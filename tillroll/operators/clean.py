@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tillroll.functions.headers import canonical_select, locale_rename, normalize_headers
 from tillroll.functions.locales import (DAILY_EXTRACT_DROP, DAILY_EXTRACT_KEEP, PROFILES,
                                         LocaleProfile)
-from tillroll.functions.scalars import (MONEY, date_part, normalize_spaces, parse_datetime,
-                                        round_half_even, strip_zone, time_part, to_number_eu,
-                                        to_number_us, translate_month_token, weekday_name)
+from tillroll.functions.scalars import (MONEY, collapse_spaces, date_part, parse_datetime,
+                                        plain_spaces, round_half_even, strip_zone, time_part,
+                                        to_number_eu, to_number_us, translate_month_token,
+                                        weekday_name)
 from tillroll.operators.dims import with_asin
 
 
@@ -22,10 +23,16 @@ def parse_report_datetime(c, profile) -> F.Column:
     """X1-X5 for one profile: months to English, white space, zone, then patterns."""
     p = _profile(profile)
     text = F.col(c) if isinstance(c, str) else c
-    if p.months:
-        text = translate_month_token(text, p.months)
     if p.normalize_spaces:
-        text = normalize_spaces(text)
+        # One-for-one to plain spaces first: the month rule (digit, one white
+        # space, name, white space) then matches exactly where it did before,
+        # with ASCII patterns; runs of spaces are collapsed after it.
+        text = plain_spaces(text)
+        if p.months:
+            text = translate_month_token(text, p.months, plain=True)
+        text = collapse_spaces(text)
+    elif p.months:
+        text = translate_month_token(text, p.months)
     return parse_datetime(strip_zone(text, p.zones), p.datetime_patterns)
 
 
