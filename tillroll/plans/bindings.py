@@ -112,6 +112,26 @@ def _money_us(c: str):
                     F.lpad((F.abs(v) % 100).cast("string"), 2, "0"))
 
 
+def grouped_digits(v, sep: str):
+    """Non-negative integer (< 10^18) -> digits with a separator every three places.
+
+    Branch-free: zero-pad to 18 digits, join six groups, trim leading zeros
+    and separators (0 stays ``0``).
+    """
+    padded = F.lpad(v.cast("string"), 18, "0")
+    groups = F.concat_ws(sep, *[F.substring(padded, 1 + 3 * k, 3) for k in range(6)])
+    return F.when(v == 0, F.lit("0")).otherwise(F.ltrim(groups, F.lit("0" + sep)))
+
+
+def money_text(c: str, thousands: str, decimal: str):
+    """Cents -> ``-1.234,56`` style text by integer arithmetic (no per-row formatter)."""
+    v = F.col(c)
+    a = F.abs(v)
+    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")),
+                    grouped_digits((a / 100).cast("bigint"), thousands), F.lit(decimal),
+                    F.lpad((a % 100).cast("string"), 2, "0"))
+
+
 def _money_eu(c: str):
     return F.translate(F.format_number(F.col(c) / F.lit(100.0), 2), ",.", ".,")
 

@@ -376,8 +376,7 @@ def q_date_parts(spark, d):
 # cleaners do not accept; other lines use the plain style of their market.
 def _number_text(eu: bool):
     plain = B._money_eu("ps") if eu else B._money_us("ps")
-    odd = (F.regexp_replace(F.translate(F.format_number(F.col("ps") / F.lit(100.0), 2), ".", ","), ",(?=\\d{3})", " ")
-           if eu else F.format_number(F.col("ps") / F.lit(100.0), 2))
+    odd = B.money_text("ps", " ", ",") if eu else B.money_text("ps", ",", ".")
     return F.when(F.col("l_linenumber") == 1, odd).otherwise(plain)
 
 
