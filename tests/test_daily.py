@@ -53,3 +53,32 @@ def test_update_results_group_replacement_keeps_other_dates(spark, tmp):
     rows = sorted((r["report_date"], r["market"], r["total_estimation"])
                   for r in spark.read.parquet(f"{tmp}/r").collect())
     assert rows == [(d1, "EU - A", 9.0), (d1, "US", 5.0), (d2, "EU - A", 3.0)]
+
+
+def test_group_replacement_can_empty_a_date(spark, tmp):
+    d1, d2 = dt.date(2025, 3, 1), dt.date(2025, 3, 2)
+    update_results(spark, f"{tmp}/r", spark.createDataFrame(
+        [(d1, "EU - A", 1.0, 1.0, 2.0), (d2, "US", 3.0, 0.0, 3.0)], RESULTS_SCHEMA))
+    update_results(spark, f"{tmp}/r", spark.createDataFrame([], RESULTS_SCHEMA),
+                   group_prefix="EU", report_date=d1)
+    rows = sorted((r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/r").collect())
+    assert rows == [(d2, "US")]
+
+
+def test_estimate_prunes_market_partitions(spark, tmp):
+    from tillroll.plans.daily import estimate_markets
+    df = spark.createDataFrame([("US", dt.date(2025, 3, 1), dt.date(2025, 3, 1), 1.0),
+                                ("DE", dt.date(2025, 3, 1), dt.date(2025, 3, 1), 2.0)],
+                               "market string, report_date date, date date, product_sales double")
+    df.write.partitionBy("market", "report_date").parquet(f"{tmp}/clean")
+    est = estimate_markets(spark, f"{tmp}/clean", "2025-03-02", markets=["US"])
+    plan = est._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(market" in plan and "US" in plan
+    assert [r["market"] for r in est.collect()] == ["US"]
+
+
+def test_null_counts(spark):
+    from tillroll.operators.clean import null_counts
+    df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
+    r = null_counts(df, ["a", "b", "c"]).collect()[0]
+    assert (r["a"], r["b"]) == (1, 2)

@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators.clean import clean
 from tillroll.session import checkpoint_dir
-from tillroll.sources.reports import MAX_COLUMNS, apply_header, report_date_from_name, report_rows
+from tillroll.sources.reports import (MAX_COLUMNS, apply_header, header_variants,
+                                     report_date_from_name, report_rows)
 from tillroll.sources.sinks import append_new_files
 
 
@@ -41,13 +43,21 @@ def clean_batch(lines: DataFrame, profile: str, market: str, width: int = MAX_CO
 
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str | None,
-                 profile: str, market: str, width: int = MAX_COLUMNS, available_now: bool = True,
+                 profile: str, market: str, width: int | None = None, available_now: bool = True,
                  sku_dim: DataFrame | None = None):
     """Start the pick-up stream; returns the ``StreamingQuery``.
 
     ``checkpoint`` defaults to a folder under the cluster's shared
-    ``spark.checkpoint.dir``. ``width`` bounds the number of report columns.
+    ``spark.checkpoint.dir``. ``width`` bounds the number of report columns;
+    by default it is the width of the headers already in the folder (a text
+    scan; a CSV parse is much cheaper at the exact width), else 40.
     """
+    if width is None:
+        try:
+            found = header_variants(spark, source_dir, glob="*.csv")
+        except AnalysisException:
+            found = []
+        width = max((len(v) for v in found), default=MAX_COLUMNS)
     if checkpoint is None:
         safe = "".join(ch if ch.isalnum() else "_" for ch in market)
         checkpoint = os.path.join(checkpoint_dir(spark), "ingest", safe)
