@@ -9,8 +9,13 @@ from tillroll.functions.locales import DEFAULT_GROUP
 from tillroll.functions.scalars import cents_to_amount, money_format, to_cents
 
 MEASURES = ["actual_sales", "estimated_sales", "total_estimation"]
+
+# Symbols and table styling of the summary as the source report shows it.
 GROUP_CURRENCY = "€"
 OTHER_CURRENCY = "$"
+CELL_STYLE = "padding: 8px; border: 1px solid #ddd;"
+GROUP_TOTAL_STYLE = "background-color: #f9f9f9; font-weight: bold;"
+GRAND_TOTAL_STYLE = "background-color: #e6f2ff; font-weight: bold;"
 
 # Row order of the report.
 ORD_GROUP_ROW, ORD_GROUP_TOTAL, ORD_OTHER_ROW, ORD_GRAND_TOTAL = 1, 2, 3, 4
@@ -53,7 +58,7 @@ def money_columns(summary_df: DataFrame) -> DataFrame:
                              *[money_format(m, F.col("currency")).alias(f"{m}_text") for m in MEASURES])
 
 
-_CELL = '<td style="padding: 8px; border: 1px solid #ddd;">'
+_CELL = f'<td style="{CELL_STYLE}">'
 
 
 def html_rows(summary_df: DataFrame) -> DataFrame:
@@ -64,8 +69,8 @@ def html_rows(summary_df: DataFrame) -> DataFrame:
     """
     m = money_columns(summary_df)
     total = F.col("ord").isin(ORD_GROUP_TOTAL, ORD_GRAND_TOTAL)
-    style = (F.when(F.col("ord") == ORD_GROUP_TOTAL, F.lit(' style="background-color: #f9f9f9; font-weight: bold;"'))
-             .when(F.col("ord") == ORD_GRAND_TOTAL, F.lit(' style="background-color: #e6f2ff; font-weight: bold;"'))
+    style = (F.when(F.col("ord") == ORD_GROUP_TOTAL, F.lit(f' style="{GROUP_TOTAL_STYLE}"'))
+             .when(F.col("ord") == ORD_GRAND_TOTAL, F.lit(f' style="{GRAND_TOTAL_STYLE}"'))
              .otherwise(F.lit("")))
     last = F.when(total, F.col("total_estimation_text")).otherwise(
         F.concat(F.lit("<strong>"), F.col("total_estimation_text"), F.lit("</strong>")))
