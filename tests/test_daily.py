@@ -82,3 +82,23 @@ def test_null_counts(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     r = null_counts(df, ["a", "b", "c"]).collect()[0]
     assert (r["a"], r["b"]) == (1, 2)
+
+
+def test_day_total_table_matches_full_recompute(spark, tmp):
+    from tillroll.plans.daily import estimate_markets
+    sources = [MarketSource("US", "us", f"{tmp}/us"), MarketSource("EU - Germany", "de", f"{tmp}/de")]
+    d = dt.date(2025, 1, 20)
+    while d <= dt.date(2025, 3, 20):
+        name = d.strftime("%Y%b") + str(d.day)
+        _csv(f"{tmp}/us/{name}-{name}CustomUnifiedTransaction.csv", US_HEADER, _us_rows(d, 10 + d.day))
+        if d.day % 3:
+            _csv(f"{tmp}/de/germany_sales_{d.isoformat()}.csv", DE_HEADER, _de_rows(d, 5 + d.day))
+        if d == dt.date(2025, 2, 27):     # first run sees files up to here
+            ingest(spark, sources, f"{tmp}/clean", day_table=f"{tmp}/days")
+        d += dt.timedelta(days=1)
+    ingest(spark, sources, f"{tmp}/clean", day_table=f"{tmp}/days")
+    ingest(spark, sources, f"{tmp}/clean", day_table=f"{tmp}/days")        # nothing new
+    full = sorted(map(tuple, estimate_markets(spark, f"{tmp}/clean", "2025-03-21").collect()))
+    fast = sorted(map(tuple, estimate_markets(spark, f"{tmp}/clean", "2025-03-21",
+                                              day_table=f"{tmp}/days").collect()))
+    assert full == fast and len(full) == 2
