@@ -120,10 +120,11 @@ def test_stream_ingest_batches_equal_one_run(spark, tmp):
     rows = lambda d: [(f"0{d}.03.2025 10:00:00 UTC", "9", "Bestellung", f"o-{d}", "S", "x", "1", "10,00", "10,00")]
     for d in (1, 2):
         _csv(f"{tmp}/in/germany_sales_2025-03-0{d}.csv", DE_HEADER, rows(d))
-    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany", day_table=f"{tmp}/days")
     _csv(f"{tmp}/in/germany_sales_2025-03-03.csv", DE_HEADER, rows(3))
-    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")
-    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany")   # nothing new
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany", day_table=f"{tmp}/days")
+    run_ingest(spark, f"{tmp}/in", f"{tmp}/tbl", f"{tmp}/ck", "de", "EU - Germany",
+               day_table=f"{tmp}/days")   # nothing new
     for d in (1, 2, 3):
         _csv(f"{tmp}/in2/germany_sales_2025-03-0{d}.csv", DE_HEADER, rows(d))
     run_ingest(spark, f"{tmp}/in2", f"{tmp}/tbl2", f"{tmp}/ck2", "de", "EU - Germany")
@@ -131,3 +132,5 @@ def test_stream_ingest_batches_equal_one_run(spark, tmp):
     b = sorted((r["order_id"], r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/tbl2").collect())
     assert a == b and len(a) == 3
     assert a[0][1] == dt.date(2025, 3, 1)
+    days = sorted((r["date"], r["cents"]) for r in spark.read.parquet(f"{tmp}/days").collect())
+    assert days == [(dt.date(2025, 3, d), 1000) for d in (1, 2, 3)]

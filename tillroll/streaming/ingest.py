@@ -44,10 +44,11 @@ def clean_batch(lines: DataFrame, profile: str, market: str, width: int = MAX_CO
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str | None,
                  profile: str, market: str, width: int | None = None, available_now: bool = True,
-                 sku_dim: DataFrame | None = None):
+                 sku_dim: DataFrame | None = None, day_table: str | None = None):
     """Start the pick-up stream; returns the ``StreamingQuery``.
 
-    ``checkpoint`` defaults to a folder under the cluster's shared
+    With ``day_table`` each batch also adds its rows to the day totals (see
+    ``plans.daily.update_day_totals``). ``checkpoint`` defaults to a folder under the cluster's shared
     ``spark.checkpoint.dir``. ``width`` bounds the number of report columns;
     by default it is the width of the headers already in the folder (a text
     scan; a CSV parse is much cheaper at the exact width), else 40.
@@ -72,7 +73,11 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
             return
         rows = clean_batch(batch, profile, market, width, sku_dim)
         if rows is not None:
-            append_new_files(rows, table_path, manifest)
+            hook = None
+            if day_table:
+                from tillroll.plans.daily import update_day_totals
+                hook = lambda fresh: update_day_totals(spark, fresh, day_table)
+            append_new_files(rows, table_path, manifest, on_fresh=hook)
 
     w = lines.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
