@@ -51,27 +51,32 @@ def plain_spaces(c) -> Column:
     return F.translate(_col(c), UNICODE_SPACES, " " * len(UNICODE_SPACES))
 
 
-def _month_alternation(months: dict, unicode: bool = True) -> str:
+def _month_alternation(months: dict, unicode: bool = True, twice: bool = False) -> str:
     names = sorted(months, key=len, reverse=True)
     alt = "(" + "|".join(r"\Q" + n + r"\E" for n in names) + ")"
-    return (r"(?U)(?<=\d\s)" + alt + r"(?=\s)") if unicode else (r"(?<=\d )" + alt + r"(?= )")
+    one = (r"(?<=\d\s)" + alt + r"(?=\s)") if unicode else (r"(?<=\d )" + alt + r"(?= )")
+    body = one + ".*" + one if twice else one
+    return ("(?sU)" if unicode else "(?s)") + body if twice else (("(?U)" if unicode else "") + body)
 
 
 def translate_month_token(c, months: dict, plain: bool = False) -> Column:
-    """Same result as ``translate_months`` in two regex passes instead of twelve.
-
-    The month name found first is looked up and every occurrence of it is
-    replaced; a text holding two different month names (never a date-time)
-    takes the exact chained path. With ``plain`` the text must already have
-    plain spaces only (see ``plain_spaces``), which allows ASCII patterns.
+    """Same result as ``translate_months`` with three cheap passes instead of twelve
+    replacements.
+
+    The month name in context is found (``regexp_extract``) with its position
+    (``regexp_instr``) and its English name is spliced in (``overlay``). A
+    text holding a second month name in context (never a date-time) takes
+    the exact chained path. With ``plain`` the text must already have plain
+    spaces only (see ``plain_spaces``), which allows ASCII patterns.
     """
     text = _col(c)
     pat = _month_alternation(months, unicode=not plain)
     tok = F.regexp_extract(text, pat, 1)
     lookup = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
-    fast = F.regexp_replace(text, pat, F.coalesce(F.element_at(lookup, tok), F.lit("")))
-    single = F.regexp_count(text, F.lit(pat)) <= 1
-    return (F.when(tok == "", text).when(single, fast)
+    pos = F.regexp_instr(text, F.lit(pat))
+    fast = F.overlay(text, F.element_at(lookup, tok), pos, F.length(tok))
+    twice = text.rlike(_month_alternation(months, unicode=not plain, twice=True))
+    return (F.when(tok == "", text).when(~twice, fast)
             .otherwise(translate_months(text, months)))
 
 
