@@ -50,6 +50,17 @@ def daily_cents(tx: DataFrame, market: str = "market", date: str = "date",
     return day if keep_null_dates else day.filter(F.col("date").isNotNull())
 
 
+def merge_day_totals(old: DataFrame | None, add: DataFrame) -> DataFrame:
+    """Add new day totals to stored ones: ``(market, date, cents)`` plus ``month``.
+
+    Day totals are additive, so an append-only transaction table never needs
+    its history re-read: old + new, summed per (month, market, date).
+    """
+    add = add.withColumn("month", F.trunc("date", "MM"))
+    both = add if old is None else add.unionByName(old.select("market", "date", "cents", "month"))
+    return both.groupBy("month", "market", "date").agg(F.sum("cents").cast("bigint").alias("cents"))
+
+
 def daily_sales(tx: DataFrame, market: str = "market", date: str = "date",
                 amount: str = "amount", cutoff=None) -> DataFrame:
     """``(market, date, weekday, amount)``; days before ``cutoff`` if given."""

@@ -78,6 +78,19 @@ def q_mtd_actual(spark, d):
     return E.mtd_actual(B.orders_tx(spark, d), B.CUTOFF)
 
 
+@query("day_totals_incremental", f"""
+SELECT date_trunc('month', d)::DATE AS month, market, d AS date, CAST(sum(cents) AS BIGINT) AS cents
+FROM ({B.ORDERS_TX_SQL}) s GROUP BY market, d""")
+def q_day_totals_incremental(spark, d):
+    """Day totals kept incrementally: totals of the orders before the cutoff, then the
+    rest added (the cutoff falls mid-month, so one month gets both)."""
+    tx = B.orders_tx(spark, d)
+    early = F.to_date("date") < F.lit(bounds(B.CUTOFF)["cutoff"])
+    first = E.merge_day_totals(None, E.daily_cents(tx.filter(early), keep_null_dates=True))
+    later = E.daily_cents(tx.filter(~early), keep_null_dates=True)
+    return E.merge_day_totals(first, later).select("month", "market", "date", "cents")
+
+
 def _recent(spark, d, src, cutoff):
     return E.recent_weekdays(E.daily_cents(src(spark, d)), cutoff)
 
