@@ -86,13 +86,15 @@ def mtd_actual(tx: DataFrame, cutoff, market: str = "market", date: str = "date"
 def recent_weekdays(day: DataFrame, cutoff, depth: int = DEPTH) -> DataFrame:
     """The newest ``depth`` days with rows of each weekday before the cutoff.
 
-    ``day`` is ``(market, date, cents)``. ``rn`` is 1 for the newest day. The
-    filter on ``row_number`` lets Spark trim each group before the shuffle
-    (WindowGroupLimit).
+    ``day`` is ``(market, date, cents)`` (markets x days rows). It is
+    hash-partitioned by market once, which also serves the window on
+    (market, weekday) and any later per-weekday or per-market aggregate.
+    ``rn`` is 1 for the newest day; the filter on ``row_number`` is planned as
+    a WindowGroupLimit.
     """
     b = bounds(cutoff)
     w = Window.partitionBy("market", "weekday").orderBy(F.col("date").desc())
-    return (day.filter(F.col("date") < F.lit(b["cutoff"]))
+    return (day.filter(F.col("date") < F.lit(b["cutoff"])).repartition("market")
             .withColumn("weekday", weekday_name("date"))
             .withColumn("rn", F.row_number().over(w))
             .filter(F.col("rn") <= depth))
