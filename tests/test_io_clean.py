@@ -134,3 +134,16 @@ def test_stream_ingest_batches_equal_one_run(spark, tmp):
     assert a[0][1] == dt.date(2025, 3, 1)
     days = sorted((r["date"], r["cents"]) for r in spark.read.parquet(f"{tmp}/days").collect())
     assert days == [(dt.date(2025, 3, d), 1000) for d in (1, 2, 3)]
+
+
+def test_strict_raises_and_thousands_option(spark, tmp):
+    import pytest
+    good = ("Mar 1, 2025 12:05:33 AM PST", "1", "Order", "o", "s", "d", "1", "1,019.99", "1.00")
+    _csv(f"{tmp}/us/a.csv", US_HEADER, [good])
+    raw = read_report(spark, f"{tmp}/us")
+    assert clean(raw, "us", strip_thousands=True).collect()[0]["product_sales"] == Decimal("1019.9900")
+    with pytest.raises(Exception, match="unparsed product_sales"):
+        clean(raw, "us", strict=True).collect()
+    _csv(f"{tmp}/us2/b.csv", US_HEADER, [("yesterday",) + good[1:7] + ("1.00", "1.00")])
+    with pytest.raises(Exception, match="unparsed date"):
+        clean(read_report(spark, f"{tmp}/us2"), "us", strict=True).collect()

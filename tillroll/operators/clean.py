@@ -36,20 +36,39 @@ def parse_report_datetime(c, profile) -> F.Column:
     return parse_datetime(strip_zone(text, p.zones), p.datetime_patterns)
 
 
-def to_number(c, profile) -> F.Column:
+def to_number(c, profile, strip_thousands: bool = False) -> F.Column:
     p = _profile(profile)
-    return to_number_eu(c) if p.decimal_comma else to_number_us(c)
+    if p.decimal_comma:
+        return to_number_eu(c)
+    text = F.replace(F.col(c), F.lit(","), F.lit("")) if strip_thousands else F.col(c)
+    return to_number_us(text)
 
 
-def standardize(raw: DataFrame, profile) -> DataFrame:
-    """Headers, date-time and numbers of a raw report, before the projection."""
+def _strict(value: F.Column, text: F.Column, what: str) -> F.Column:
+    """Raise (fail the job) when non-empty text did not parse."""
+    bad = value.isNull() & text.isNotNull() & (F.trim(text) != "")
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"unparsed {what}: "), text))).otherwise(value)
+
+
+def standardize(raw: DataFrame, profile, strict: bool = False,
+                strip_thousands: bool = False) -> DataFrame:
+    """Headers, date-time and numbers of a raw report, before the projection.
+
+    ``strict`` raises on a date or number that does not parse (default: null,
+    see ``bad_dates`` / ``null_counts``); ``strip_thousands`` accepts
+    ``1,234.56`` in dot-decimal reports (the source turns it into null).
+    """
     p = _profile(profile)
     df = locale_rename(normalize_headers(raw, p), p)
     ts = parse_report_datetime("date_time", p)
+    if strict:
+        ts = _strict(ts, F.col("date_time"), "date")
     df = df.withColumn("_ts", ts).select(
         "*", date_part("_ts").alias("date"), time_part("_ts").alias("time"),
         weekday_name("_ts").alias("weekday"))
-    nums = {c: to_number(c, p) for c in p.numeric_columns if c in df.columns}
+    nums = {c: to_number(c, p, strip_thousands) for c in p.numeric_columns if c in df.columns}
+    if strict:
+        nums = {c: _strict(v, F.col(c), c) for c, v in nums.items()}
     df = df.withColumns(nums) if nums else df
     if not p.decimal_comma and "product_sales" in df.columns:
         df = df.withColumn("product_sales", round_half_even("product_sales", 2).cast(MONEY))
@@ -57,7 +76,8 @@ def standardize(raw: DataFrame, profile) -> DataFrame:
 
 
 def clean(raw: DataFrame, profile, sku_dim: DataFrame | None = None,
-          fill_missing: bool = False) -> DataFrame:
+          fill_missing: bool = False, strict: bool = False,
+          strip_thousands: bool = False) -> DataFrame:
     """A raw report (any locale) -> canonical typed transactions.
 
     ``sku_dim`` is ``(sku, ASIN)`` unique by sku; profiles whose projection has
@@ -65,7 +85,7 @@ def clean(raw: DataFrame, profile, sku_dim: DataFrame | None = None,
     date text fits no pattern keep a null ``date`` (see ``bad_dates``).
     """
     p = _profile(profile)
-    df = standardize(raw, p)
+    df = standardize(raw, p, strict=strict, strip_thousands=strip_thousands)
     if "ASIN" in p.columns:
         df = with_asin(df, sku_dim) if sku_dim is not None else df.withColumn(
             "ASIN", F.lit(None).cast("string"))
