@@ -412,6 +412,17 @@ def q_to_number_eu(spark, d):
                     X.to_number_eu(_number_text(True)).alias("product_sales"))
 
 
+@query("quarantine_dates", f"""
+SELECT {_ORDER_ID_SQL} AS order_id, 'n/a' AS date_time FROM {_LINE} WHERE l_linenumber = 7""")
+def q_quarantine_dates(spark, d):
+    """H6: rows whose date text fits no pattern (every line number 7 says ``n/a``)."""
+    from tillroll.operators.clean import bad_dates
+    rep = B.raw_report_from(B.line_tx(spark, d), "de", keep=["l_linenumber"])
+    col = B.raw_header("de", "date_time")
+    rep = rep.withColumn(col, F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col(col)))
+    return bad_dates(rep.drop("l_linenumber"), "de").select("order_id", "date_time")
+
+
 @query("daily_extract", f"""
 SELECT date, time, weekday, settlement_id, type, order_id, sku, ASIN, description, quantity, marketplace,
        fulfillment, product_sales, total FROM ({B.clean_expected_sql('us', with_asin=True)})""")
