@@ -135,8 +135,10 @@ def score(sets: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1) to each row; both are replaced if they are there.
+def identify(docs: DataFrame, model: Model | None, text: str = "text", prefix: str = "") -> DataFrame:
+    """Add ``lang_pred`` and ``score`` (0 to 1) to each row; both replace columns of that name.
+
+    ``prefix`` goes before both names, for tables that have such columns to keep.
 
     A null text, or one without a letter, is ``und`` with score 0, and so is
     everything if there is no model. Equal scores: the language that sorts
@@ -155,7 +157,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
                 values.append(float(np.clip(row[k], 0, 1)) if len(s) else 0.0)
         return [names, values]
 
-    return append_columns(docs, [text], "lang_pred string, score double", run)
+    return append_columns(docs, [text], f"`{prefix}lang_pred` string, `{prefix}score` double", run)
 
 
 def held_out(key: str = "doc_id"):
