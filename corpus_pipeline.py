@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, language_id, ngram_join, packing, repeated_passages
-from tillroll.llm.common import read, scratch_path
+from tillroll.llm.common import free_prefix, read, scratch_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +14,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     It learns from the stage's own labelled documents.
     """
-    found = language_id.identify(docs, language_id.fit_production(docs), prefix="_")
-    return found.where(F.col("_lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    free = free_prefix(docs)
+    found = language_id.identify(docs, language_id.fit_production(docs), prefix=free)
+    return found.where(F.col(f"{free}lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +34,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out of the text; ``n_chars`` follows."""
-    found = repeated_passages.remove_repeated(docs, removed="_removed")
+    found = repeated_passages.remove_repeated(docs, removed=f"{free_prefix(docs)}removed")
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark"), prefix="_")
-    return found.where(~F.col("_contaminated")).select(*docs.columns)
+    free = free_prefix(docs)
+    found = decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark"), prefix=free)
+    return found.where(~F.col(f"{free}contaminated")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

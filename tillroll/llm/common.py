@@ -110,6 +110,14 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix with which no column of the table begins."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

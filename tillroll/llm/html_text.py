@@ -56,7 +56,7 @@ class Weights:
     word: dict[str, float] = field(default_factory=dict)
     tag: dict[str, float] = field(default_factory=dict)
     other_word: float = 1.0
-    other_tag: float = -1.0
+    other_tag: float = -0.4
 
 
 def _marked(attrs: str) -> str:
