@@ -80,6 +80,25 @@ def translate_month_token(c, months: dict, plain: bool = False) -> Column:
             .otherwise(translate_months(text, months)))
 
 
+def with_month_token(df, text: str, months: dict):
+    """``translate_months`` on column ``text`` (plain spaces only), step by step.
+
+    Each step is a column of its own, so none is computed twice: the month
+    name in context, its place, then the splice. A text holding a second
+    month name in context (never a date-time) takes the chained replacements.
+    """
+    pat = _month_alternation(months, unicode=False)
+    lookup = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
+    df = df.withColumns({
+        "_month": F.regexp_extract(text, pat, 1),
+        "_twice": F.col(text).rlike(_month_alternation(months, unicode=False, twice=True))})
+    df = df.withColumn("_at", F.when(F.col("_month") != "", F.regexp_instr(F.col(text), F.lit(pat))))
+    spliced = F.overlay(F.col(text), F.element_at(lookup, F.col("_month")), F.col("_at"), F.length("_month"))
+    done = (F.when(F.col("_twice"), translate_months(text, months))
+            .when(F.col("_month") != "", spliced).otherwise(F.col(text)))
+    return df.withColumn(text, done).drop("_month", "_twice", "_at")
+
+
 def collapse_spaces(c) -> Column:
     """Runs of plain spaces -> one space, trimmed (text with plain spaces only)."""
     return F.trim(F.regexp_replace(_col(c), " {2,}", " "))
@@ -92,23 +111,6 @@ def parse_datetime(c, patterns: Iterable[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(p)) for p in patterns])
 
 
-def parse_us_datetime(c, zones=(" PST", " PDT")) -> Column:
-    from tillroll.functions.locales import US_DATETIME_PATTERNS
-    return parse_datetime(strip_zone(c, zones), US_DATETIME_PATTERNS)
-
-
-def parse_dayfirst_datetime(c, zones=(" UTC",)) -> Column:
-    from tillroll.functions.locales import DAYFIRST_DATETIME_PATTERNS
-    return parse_datetime(strip_zone(c, zones), DAYFIRST_DATETIME_PATTERNS)
-
-
-def parse_mixed_datetime(c, months: dict, zones=(" UTC",)) -> Column:
-    """Localized month names first, then white space, zone and the day-first patterns."""
-    from tillroll.functions.locales import DAYFIRST_DATETIME_PATTERNS
-    text = normalize_spaces(translate_months(c, months))
-    return parse_datetime(strip_zone(text, zones), DAYFIRST_DATETIME_PATTERNS)
-
-
 def date_part(ts) -> Column:
     return F.to_date(_col(ts))
 
@@ -140,6 +142,21 @@ def to_cents(c) -> Column:
     return F.round(_col(c).cast("double") * 100).cast("bigint")
 
 
+def to_units(c) -> Column:
+    """Money -> exact integer ten-thousandths, the scale of ``MONEY``."""
+    return F.round(_col(c).cast("double") * 10000).cast("bigint")
+
+
+def units_to_cents(units) -> Column:
+    """Ten-thousandths -> exact cents with two more places (``decimal(22,2)``)."""
+    return (_col(units).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(22,2)")
+
+
+def whole_cents(c) -> Column:
+    """Exact cents -> integer cents, half to even: the one rounding of a figure."""
+    return F.bround(_col(c), 0).cast("bigint")
+
+
 def cents_to_amount(c) -> Column:
     return (_col(c) / F.lit(100.0)).cast("double")
 

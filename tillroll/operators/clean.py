@@ -11,7 +11,7 @@ from tillroll.functions.locales import (DAILY_EXTRACT_DROP, DAILY_EXTRACT_KEEP,
 from tillroll.functions.scalars import (MONEY, collapse_spaces, date_part, parse_datetime,
                                         plain_spaces, round_half_even, strip_zone, time_part,
                                         to_number_eu, to_number_us, translate_month_token,
-                                        weekday_name)
+                                        weekday_name, with_month_token)
 from tillroll.operators.dims import with_asin
 
 
@@ -36,6 +36,18 @@ def parse_report_datetime(c, profile) -> F.Column:
     return parse_datetime(strip_zone(text, p.zones), p.datetime_patterns)
 
 
+def with_report_datetime(df: DataFrame, profile, text: str = "date_time", out: str = "_ts") -> DataFrame:
+    """X1-X5 as ``parse_report_datetime``, in steps: the text is prepared once, then every
+    pattern reads the prepared column (as one expression it would be prepared per pattern)."""
+    p = _profile(profile)
+    df = df.withColumn("_text", plain_spaces(text) if p.normalize_spaces else F.col(text))
+    if p.months:
+        df = with_month_token(df, "_text", p.months)
+    ready = collapse_spaces("_text") if p.normalize_spaces else F.col("_text")
+    df = df.withColumn("_text", strip_zone(ready, p.zones))
+    return df.withColumn(out, parse_datetime("_text", p.datetime_patterns)).drop("_text")
+
+
 def to_number(c, profile, strip_thousands: bool = False) -> F.Column:
     p = _profile(profile)
     if p.decimal_comma:
@@ -51,19 +63,20 @@ def _strict(value: F.Column, text: F.Column, what: str) -> F.Column:
 
 
 def standardize(raw: DataFrame, profile, strict: bool = False,
-                strip_thousands: bool = False) -> DataFrame:
+                strip_thousands: bool = False, keep_text: bool = False) -> DataFrame:
     """Headers, date-time and numbers of a raw report, before the projection.
 
     ``strict`` raises on a date or number that does not parse (default: null,
     see ``bad_dates`` / ``null_counts``); ``strip_thousands`` accepts
-    ``1,234.56`` in dot-decimal reports (the source turns it into null).
+    ``1,234.56`` in dot-decimal reports (the source turns it into null);
+    ``keep_text`` keeps the date-time text beside the parsed date.
     """
     p = _profile(profile)
     df = locale_rename(normalize_headers(raw, p), p)
-    ts = parse_report_datetime("date_time", p)
+    df = with_report_datetime(df, p)
     if strict:
-        ts = _strict(ts, F.col("date_time"), "date")
-    df = df.withColumn("_ts", ts).select(
+        df = df.withColumn("_ts", _strict(F.col("_ts"), F.col("date_time"), "date"))
+    df = df.select(
         "*", date_part("_ts").alias("date"), time_part("_ts").alias("time"),
         weekday_name("_ts").alias("weekday"))
     nums = {c: to_number(c, p, strip_thousands) for c in p.numeric_columns if c in df.columns}
@@ -72,34 +85,36 @@ def standardize(raw: DataFrame, profile, strict: bool = False,
     df = df.withColumns(nums) if nums else df
     if not p.decimal_comma and "product_sales" in df.columns:
         df = df.withColumn("product_sales", round_half_even("product_sales", 2).cast(MONEY))
-    return df.drop("_ts", "data_time", "date_time")
+    return df.drop("_ts", "data_time", *([] if keep_text else ["date_time"]))
 
 
 def clean(raw: DataFrame, profile, sku_dim: DataFrame | None = None,
           fill_missing: bool = False, strict: bool = False,
-          strip_thousands: bool = False) -> DataFrame:
+          strip_thousands: bool = False, standard: bool = False,
+          extras=("market", "report_date", "source_file")) -> DataFrame:
     """A raw report (any locale) -> canonical typed transactions.
 
     ``sku_dim`` is ``(sku, ASIN)`` unique by sku; profiles whose projection has
     ``ASIN`` get it by a left lookup (null without a dimension). Rows whose
-    date text fits no pattern keep a null ``date`` (see ``bad_dates``).
+    date text fits no pattern keep a null ``date`` (see ``bad_dates``). With
+    ``standard`` the input has been through ``standardize``; ``extras`` ride along.
     """
     p = _profile(profile)
-    df = standardize(raw, p, strict=strict, strip_thousands=strip_thousands)
+    df = raw if standard else standardize(raw, p, strict=strict, strip_thousands=strip_thousands)
     if "ASIN" in p.columns:
         df = with_asin(df, sku_dim) if sku_dim is not None else df.withColumn(
             "ASIN", F.lit(None).cast("string"))
     types = {c: MONEY for c in p.numeric_columns}
     types.update({"date": "date"})
-    return canonical_select(df, p.columns, fill_missing=fill_missing, types=types)
+    return canonical_select(df, p.columns, extras=extras, fill_missing=fill_missing, types=types)
 
 
 def bad_dates(raw: DataFrame, profile) -> DataFrame:
     """H6: rows whose date text fits no pattern (a quarantine, not an error)."""
     p = _profile(profile)
     df = locale_rename(normalize_headers(raw, p), p)
-    return df.filter(F.col("date_time").isNotNull()
-                     & parse_report_datetime("date_time", p).isNull())
+    return (with_report_datetime(df, p)
+            .filter(F.col("date_time").isNotNull() & F.col("_ts").isNull()).drop("_ts"))
 
 
 def null_counts(clean_df: DataFrame, columns) -> DataFrame:
@@ -109,7 +124,8 @@ def null_counts(clean_df: DataFrame, columns) -> DataFrame:
 
 
 def daily_extract(raw: DataFrame, sku_dim: DataFrame | None = None, profile="us") -> DataFrame:
-    """The short dated extract of a US report: drop list, then keep list."""
+    """The short dated extract of a US report: drop list, then keep list; a
+    ``report_date`` rides along (K3 writes by it)."""
     p = _profile(profile)
     df = standardize(raw, p)
     df = with_asin(df, sku_dim) if sku_dim is not None else df.withColumn(

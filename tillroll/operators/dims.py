@@ -1,27 +1,14 @@
-"""Dimension handling: size-checked broadcast joins and the SKU -> ASIN lookup."""
+"""Dimension handling: lookup joins and the SKU -> ASIN lookup.
+
+No join is hinted: Catalyst broadcasts a side below its byte threshold, and AQE
+does so at run time from the measured size; beyond it both sides are shuffled.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; beyond it
-# the join is left to Catalyst/AQE (sort-merge or shuffled hash join).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (stops counting past the bound)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Lookup join that broadcasts the dimension only behind a checked size bound."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
-
-
 def sku_dimension(sheet: DataFrame, sku_col: str = "seller-sku", asin_col: str = "ASIN") -> DataFrame:
     """Project the material-master sheet to ``(sku, ASIN)``, both as text."""
     return sheet.select(F.col(f"`{sku_col}`").cast("string").alias("sku"),
@@ -41,15 +28,14 @@ def sku_first(sheet: DataFrame, order_col: str = "row_no", sku_col: str = "selle
             .groupBy("sku").agg(F.min_by("ASIN", "_ord").alias("ASIN")))
 
 
-def with_asin(tx: DataFrame, dim: DataFrame, sku_col: str = "sku",
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def with_asin(tx: DataFrame, dim: DataFrame, sku_col: str = "sku") -> DataFrame:
     """Left lookup of ASIN by sku; no match -> null; row count unchanged.
 
     ``dim`` must be unique by sku (see ``sku_first``).
     """
     d = dim.select(F.col("sku").alias("_dim_sku"), F.col("ASIN").alias("_dim_asin"))
     tx = tx.drop("ASIN") if "ASIN" in tx.columns else tx
-    out = join_dimension(tx, d, F.col(sku_col).cast("string") == F.col("_dim_sku"), "left", max_rows)
+    out = tx.join(d, F.col(sku_col).cast("string") == F.col("_dim_sku"), "left")
     return out.withColumnRenamed("_dim_asin", "ASIN").drop("_dim_sku")
 
 

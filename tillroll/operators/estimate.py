@@ -1,7 +1,8 @@
 """Month-end sales estimate: actuals to date plus a same-weekday forecast.
 
-All money is exact integer cents inside the plan, so sums do not depend on
-the order in which partitions are combined; figures leave as ``cents/100``.
+Money is exact inside the plan (ten-thousandths per transaction, cents with
+two more places per day), so sums do not depend on the order in which partitions
+are combined; a figure is rounded to cents once, half to even, when it leaves.
 
 Plan shape of ``estimate`` (see ``explain``):
   1. scan -> partial hash agg on (market, date) -> shuffle -> final agg
@@ -17,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.scalars import (cents_to_amount, div_round_half_even,
-                                        to_cents, weekday_name)
-from tillroll.operators.calendar import bounds, remaining_weekday_count
+from tillroll.functions.scalars import (cents_to_amount, div_round_half_even, to_units,
+                                        units_to_cents, weekday_name, whole_cents)
+from tillroll.operators.calendar import bounds, remaining_days_expr, remaining_weekday_count
 
 # Weights of r0..r6 (newest first) in the mean of the cascading 4-day points,
 # by history depth n, and the divisor that turns the weighted sum into the mean.
@@ -39,14 +40,14 @@ DEPTH = 7
 
 def _std(tx: DataFrame, market: str, date: str, amount: str) -> DataFrame:
     return tx.select(F.col(market).alias("market"), F.to_date(F.col(date)).alias("date"),
-                     to_cents(F.col(amount)).alias("cents"))
+                     to_units(F.col(amount)).alias("units"))
 
 
 def daily_cents(tx: DataFrame, market: str = "market", date: str = "date",
                 amount: str = "amount", keep_null_dates: bool = False) -> DataFrame:
-    """Day totals ``(market, date, cents)``; all-null days sum to 0."""
+    """Day totals ``(market, date, cents)``, exact (``decimal(22,2)``); all-null days sum to 0."""
     day = (_std(tx, market, date, amount).groupBy("market", "date")
-           .agg(F.coalesce(F.sum("cents"), F.lit(0)).cast("bigint").alias("cents")))
+           .agg(units_to_cents(F.coalesce(F.sum("units"), F.lit(0))).alias("cents")))
     return day if keep_null_dates else day.filter(F.col("date").isNotNull())
 
 
@@ -58,7 +59,7 @@ def merge_day_totals(old: DataFrame | None, add: DataFrame) -> DataFrame:
     """
     add = add.withColumn("month", F.trunc("date", "MM"))
     both = add if old is None else add.unionByName(old.select("market", "date", "cents", "month"))
-    return both.groupBy("month", "market", "date").agg(F.sum("cents").cast("bigint").alias("cents"))
+    return both.groupBy("month", "market", "date").agg(F.sum("cents").cast("decimal(22,2)").alias("cents"))
 
 
 def daily_sales(tx: DataFrame, market: str = "market", date: str = "date",
@@ -73,14 +74,20 @@ def daily_sales(tx: DataFrame, market: str = "market", date: str = "date",
 
 def mtd_actual(tx: DataFrame, cutoff, market: str = "market", date: str = "date",
                amount: str = "amount") -> DataFrame:
-    """A2/F1: month-to-date actual per market; a market without rows in range gives 0."""
+    """A2/F1: month-to-date actual per market; a market without rows in range gives 0.
+
+    The range is a filter on the date column itself, so it reaches the scan;
+    the market list comes from a scan of that column alone.
+    """
     b = bounds(cutoff)
-    s = _std(tx, market, date, amount)
-    in_range = F.col("date").between(F.lit(b["month_start"]), F.lit(b["report_date"]))
-    return (s.groupBy("market")
-            .agg(F.coalesce(F.sum(F.when(in_range, F.col("cents"))), F.lit(0)).alias("cents"))
-            .select(F.lit(b["report_date"]).alias("report_date"), "market",
-                    cents_to_amount("cents").alias("actual_sales")))
+    in_range = (F.col(date) >= F.lit(b["month_start"])) & (F.col(date) < F.lit(b["cutoff"]))
+    sums = (_std(tx.filter(in_range), market, date, amount).groupBy("market")
+            .agg(F.sum("units").alias("units")))
+    markets = tx.select(F.col(market).alias("_m")).distinct()
+    return (markets.join(sums, F.col("_m").eqNullSafe(F.col("market")), "left")
+            .select(F.lit(b["report_date"]).alias("report_date"), F.col("_m").alias("market"),
+                    cents_to_amount(whole_cents(units_to_cents(F.coalesce("units", F.lit(0)))))
+                    .alias("actual_sales")))
 
 
 def recent_weekdays(day: DataFrame, cutoff, depth: int = DEPTH) -> DataFrame:
@@ -155,6 +162,16 @@ def weekday_history_depth(recent: DataFrame) -> DataFrame:
                     *[(F.col("days") >= k).alias(f"has_p{k - 3}") for k in (4, 5, 6, 7)]))
 
 
+def forecast_days(profile: DataFrame, cutoff) -> DataFrame:
+    """``(market, day, weekday, cents)`` for every remaining day of every market;
+    a weekday without a profile counts 0."""
+    days = (profile.select("market").distinct()
+            .select("market", F.explode(remaining_days_expr(cutoff)).alias("day"))
+            .withColumn("weekday", weekday_name("day")))
+    return (days.join(profile.select("market", "weekday", "avg_cents"), ["market", "weekday"], "left")
+            .select("market", "day", "weekday", F.coalesce("avg_cents", F.lit(0)).alias("cents")))
+
+
 def forecast_remaining(profile: DataFrame, cutoff) -> DataFrame:
     """Forecast per market = sum over remaining days of the weekday average.
 
@@ -199,10 +216,11 @@ def estimate(tx: DataFrame, cutoff, market: str = "market", date: str = "date",
     per_wd = per_wd.select("market", "actual", (avg * k).alias("forecast"))
 
     per_market = per_wd.groupBy("market").agg(
-        F.coalesce(F.sum("actual"), F.lit(0)).cast("bigint").alias("a"),
+        F.coalesce(F.sum("actual"), F.lit(0)).alias("a"),
         F.coalesce(F.sum("forecast"), F.lit(0)).cast("bigint").alias("e"))
+    # each figure from the exact sums: the total is not the sum of rounded parts
     return per_market.select(
         F.lit(b["report_date"]).alias("report_date"), "market",
-        cents_to_amount("a").alias("actual_sales"),
+        cents_to_amount(whole_cents("a")).alias("actual_sales"),
         cents_to_amount("e").alias("estimated_sales"),
-        cents_to_amount(F.col("a") + F.col("e")).alias("total_estimation"))
+        cents_to_amount(whole_cents(F.col("a") + F.col("e"))).alias("total_estimation"))

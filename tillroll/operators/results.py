@@ -61,12 +61,15 @@ def to_json_lines(results: DataFrame) -> DataFrame:
         F.date_format("report_date", "yyyy-MM-dd"), F.array(fig))).alias("json"))
 
 
-def from_json_text(docs: DataFrame, col: str = "json") -> DataFrame:
+def from_json_text(docs: DataFrame, col: str = "json", strict: bool = True) -> DataFrame:
     """Legacy results text (whole documents or JSON Lines) -> result rows.
 
-    A missing or empty document gives no rows.
+    A null or blank document gives no rows. A malformed one fails the job
+    (as the summary's read does); without ``strict`` it gives no rows.
     """
-    parsed = docs.select(F.from_json(F.col(col), JSON_SCHEMA).alias("m"))
+    text = docs.select(F.col(col).alias("m")).filter(F.trim("m") != "")
+    mode = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+    parsed = text.select(F.from_json("m", JSON_SCHEMA, mode).alias("m"))
     entries = parsed.select(F.explode("m").alias("k", "v"))
     rows = entries.select(F.col("k"), F.inline("v"))
     return rows.select(F.to_date("k").alias("report_date"), "market", "actual_sales",

@@ -25,30 +25,30 @@ def summary(results: DataFrame, group: str = DEFAULT_GROUP) -> DataFrame:
     """Per report date: each market, the group subtotal (always, 0 when the group is
     empty), and the grand total of every market (currencies added as they are).
 
-    Sums run over exact cents. ``currency`` tells which symbol a row shows.
+    Each result row is expanded to itself, its share of the group total (0
+    outside the group) and its share of the grand total, and all are summed
+    in one aggregate, so ``results`` is read once. Sums run over exact
+    cents. ``currency`` tells which symbol a row shows. ``results`` is keyed by
+    (report_date, market); rows that repeat a key add up.
     """
     flag = F.col("market").contains(group)
     cents = results.select("report_date", "market", flag.alias("g"),
                            *[to_cents(m).alias(m) for m in MEASURES])
-    rows = cents.select(
-        "report_date",
-        F.when(F.col("g"), F.lit(ORD_GROUP_ROW)).otherwise(F.lit(ORD_OTHER_ROW)).alias("ord"),
-        "market",
-        F.when(F.col("g"), F.lit(GROUP_CURRENCY)).otherwise(F.lit(OTHER_CURRENCY)).alias("currency"),
-        *MEASURES)
-    per_date = cents.groupBy("report_date").agg(
-        *[F.sum(m).alias(f"all_{m}") for m in MEASURES],
-        *[F.coalesce(F.sum(F.when(F.col("g"), F.col(m))), F.lit(0)).alias(f"grp_{m}") for m in MEASURES])
-    totals = per_date.select("report_date", F.explode(F.array(
-        F.struct(F.lit(ORD_GROUP_TOTAL).alias("ord"), F.lit(f"Total {group}").alias("market"),
-                 F.lit(GROUP_CURRENCY).alias("currency"),
-                 *[F.col(f"grp_{m}").alias(m) for m in MEASURES]),
-        F.struct(F.lit(ORD_GRAND_TOTAL).alias("ord"), F.lit("Grand Total").alias("market"),
-                 F.lit(OTHER_CURRENCY).alias("currency"),
-                 *[F.col(f"all_{m}").alias(m) for m in MEASURES]),
-    )).alias("t")).select("report_date", "t.*")
-    out = rows.unionByName(totals)
-    return out.select("report_date", F.col("ord").cast("int").alias("ord"), "market", "currency",
+
+    def share(order, market, currency, keep=None):
+        return F.struct(order.cast("int").alias("ord"), market.alias("market"), currency.alias("currency"),
+                        *[(F.when(keep, F.col(m)).otherwise(F.lit(0)) if keep is not None else F.col(m)).alias(m)
+                          for m in MEASURES])
+
+    g = F.col("g")
+    parts = F.array(
+        share(F.when(g, F.lit(ORD_GROUP_ROW)).otherwise(F.lit(ORD_OTHER_ROW)), F.col("market"),
+              F.when(g, F.lit(GROUP_CURRENCY)).otherwise(F.lit(OTHER_CURRENCY))),
+        share(F.lit(ORD_GROUP_TOTAL), F.lit(f"Total {group}"), F.lit(GROUP_CURRENCY), g),
+        share(F.lit(ORD_GRAND_TOTAL), F.lit("Grand Total"), F.lit(OTHER_CURRENCY)))
+    rows = cents.select("report_date", F.explode(parts).alias("t")).select("report_date", "t.*")
+    out = rows.groupBy("report_date", "ord", "market", "currency").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return out.select("report_date", "ord", "market", "currency",
                       *[cents_to_amount(m).alias(m) for m in MEASURES])
 
 

@@ -33,7 +33,27 @@ def orders_tx(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORDERS_TX_SQL = ("SELECT o_orderpriority AS market, CAST(o_orderdate AS DATE) AS d, "
-                 "CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders")
+                 "CAST(round(o_totalprice * 10000) AS BIGINT) * 0.01 AS cents FROM orders")
+
+
+def thirds_tx(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose amounts are a third of the price: most have parts of a cent."""
+    return orders_tx(spark, d).withColumn("amount", F.col("amount") / F.lit(3.0))
+
+
+THIRDS_TX_SQL = ("SELECT o_orderpriority AS market, CAST(o_orderdate AS DATE) AS d, "
+                 "CAST(round(o_totalprice / 3.0::DOUBLE * 10000) AS BIGINT) * 0.01 AS cents FROM orders")
+
+
+def no_sunday_tx(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with one market that has no Sundays: its Sunday orders count on the Monday after."""
+    moved = (F.col("market") == "1-URGENT") & (F.dayofweek("date") == 1)
+    return orders_tx(spark, d).withColumn(
+        "date", F.when(moved, F.date_add(F.to_date("date"), 1)).otherwise(F.to_date("date")))
+
+
+NO_SUNDAY_TX_SQL = ("SELECT market, CASE WHEN market = '1-URGENT' AND dayofweek(d) = 0 THEN d + 1 ELSE d END AS d, "
+                    f"cents FROM ({ORDERS_TX_SQL})")
 
 
 def events_tx(spark: SparkSession, d: str) -> DataFrame:
@@ -43,30 +63,28 @@ def events_tx(spark: SparkSession, d: str) -> DataFrame:
 
 
 EVENTS_TX_SQL = ("SELECT event_type AS market, CAST(ts AS DATE) AS d, "
-                 "CAST(round(value * 100) AS BIGINT) AS cents FROM events")
+                 "CAST(round(value * 10000) AS BIGINT) * 0.01 AS cents FROM events")
 
 
 def region_tx(spark: SparkSession, d: str) -> DataFrame:
     """Orders with market = '<region> - <nation>' of the customer.
 
-    customer grows with the data, so it is joined without a hint (Catalyst
-    and AQE pick broadcast only when its measured size allows); nation and
-    region are fixed-size dimensions.
+    No side is hinted: Catalyst and AQE broadcast one only when its measured
+    size allows.
     """
-    from tillroll.operators.dims import join_dimension
     o = load_table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = load_table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = load_table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = load_table(spark, d, "region").select("r_regionkey", "r_name")
-    geo = join_dimension(n, r, n.n_regionkey == r.r_regionkey, how="inner")
-    cust = join_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="inner")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey)
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
     tx = o.join(cust, o.o_custkey == cust.c_custkey, "inner")
     return tx.select(F.concat_ws(" - ", "r_name", "n_name").alias("market"),
                      F.col("o_orderdate").alias("date"), F.col("o_totalprice").alias("amount"))
 
 
 REGION_TX_SQL = ("SELECT concat_ws(' - ', r_name, n_name) AS market, CAST(o_orderdate AS DATE) AS d, "
-                 "CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders "
+                 "CAST(round(o_totalprice * 10000) AS BIGINT) * 0.01 AS cents FROM orders "
                  "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
                  "JOIN region ON n_regionkey = r_regionkey")
 
@@ -299,14 +317,13 @@ URGENT = ("1-URGENT", "2-HIGH")
 
 
 def region_orders(spark: SparkSession, d: str) -> DataFrame:
-    from tillroll.operators.dims import join_dimension
     o = load_table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice",
                                               "o_orderpriority", "o_orderstatus")
     c = load_table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = load_table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = load_table(spark, d, "region").select("r_regionkey", "r_name")
-    geo = join_dimension(n, r, n.n_regionkey == r.r_regionkey, how="inner")
-    cust = join_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="inner")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey)
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
     return o.join(cust, o.o_custkey == cust.c_custkey, "inner").select(
         F.concat_ws(" - ", "r_name", "n_name").alias("market"), "r_name",
         F.to_date("o_orderdate").alias("report_date"),

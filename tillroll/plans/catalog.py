@@ -56,11 +56,17 @@ def q_estimate_sparse_history(spark, d):
     return E.estimate(B.events_tx(spark, d), B.CUTOFF_EVENTS_SHALLOW)
 
 
+@query("estimate_sub_cent", M.estimate_sql(B.THIRDS_TX_SQL, B.CUTOFF))
+def q_estimate_sub_cent(spark, d):
+    """Amounts with parts of a cent: sums are exact, figures round once."""
+    return E.estimate(B.thirds_tx(spark, d), B.CUTOFF)
+
+
 _b = bounds(B.CUTOFF)
 
 ORACLE_DAILY_SALES = f"""
 SELECT market, d AS date, dayname(d) AS weekday, CAST(cents AS DOUBLE) / 100 AS amount
-FROM (SELECT market, d, CAST(sum(cents) AS BIGINT) AS cents FROM ({B.ORDERS_TX_SQL}) s
+FROM (SELECT market, d, sum(cents) AS cents FROM ({B.ORDERS_TX_SQL}) s
       WHERE d IS NOT NULL AND d < DATE '{_b['cutoff']}' GROUP BY market, d)"""
 
 
@@ -71,15 +77,15 @@ def q_daily_sales(spark, d):
 
 @query("mtd_actual", f"""
 SELECT DATE '{_b['report_date']}' AS report_date, market,
-       CAST(coalesce(sum(CASE WHEN d BETWEEN DATE '{_b['month_start']}' AND DATE '{_b['report_date']}'
-                              THEN cents END), 0) AS DOUBLE) / 100 AS actual_sales
+       round_even(CAST(coalesce(sum(CASE WHEN d BETWEEN DATE '{_b['month_start']}' AND DATE '{_b['report_date']}'
+                                         THEN cents END), 0) AS DOUBLE), 0) / 100 AS actual_sales
 FROM ({B.ORDERS_TX_SQL}) s GROUP BY market""")
 def q_mtd_actual(spark, d):
     return E.mtd_actual(B.orders_tx(spark, d), B.CUTOFF)
 
 
 @query("day_totals_incremental", f"""
-SELECT date_trunc('month', d)::DATE AS month, market, d AS date, CAST(sum(cents) AS BIGINT) AS cents
+SELECT date_trunc('month', d)::DATE AS month, market, d AS date, CAST(sum(cents) AS DECIMAL(22,2)) AS cents
 FROM ({B.ORDERS_TX_SQL}) s GROUP BY market, d""")
 def q_day_totals_incremental(spark, d):
     """Day totals kept incrementally: totals of the orders before the cutoff, then the
@@ -152,19 +158,18 @@ def q_weekday_history_depth(spark, d):
 
 
 @query("forecast_days", f"""
-WITH {M.ranked_sql(B.ORDERS_TX_SQL, B.CUTOFF)},
+WITH {M.ranked_sql(B.NO_SUNDAY_TX_SQL, B.CUTOFF)},
 {M.points_sql()},
 days AS (SELECT CAST(unnest(generate_series(DATE '{_b['month_start']}', DATE '{_b['month_end']}',
                                             INTERVAL 1 DAY)) AS DATE) AS day)
-SELECT market, day, dayname(day) AS weekday, CAST(coalesce(avg_cents, 0) AS DOUBLE) / 100 AS forecast
-FROM days JOIN prof ON dayname(day) = prof.weekday WHERE day >= DATE '{_b['cutoff']}'""")
+SELECT m.market, day, dayname(day) AS weekday, CAST(coalesce(avg_cents, 0) AS DOUBLE) / 100 AS forecast
+FROM (SELECT DISTINCT market FROM ({B.NO_SUNDAY_TX_SQL})) m CROSS JOIN days
+LEFT JOIN prof ON prof.market = m.market AND dayname(day) = prof.weekday WHERE day >= DATE '{_b['cutoff']}'""")
 def q_forecast_days(spark, d):
-    from tillroll.operators.calendar import remaining_days
-    prof = E.weekday_average(_recent(spark, d, B.orders_tx, B.CUTOFF))
-    cal = remaining_days(spark, B.CUTOFF)          # <= 31 rows by construction
-    out = prof.join(F.broadcast(cal), "weekday", "inner")
-    return out.select("market", "day", "weekday",
-                      X.cents_to_amount(F.coalesce("avg_cents", F.lit(0))).alias("forecast"))
+    """Every remaining day of every market; one market has no Sundays, which count 0."""
+    prof = E.weekday_average(_recent(spark, d, B.no_sunday_tx, B.CUTOFF))
+    return E.forecast_days(prof, B.CUTOFF).select(
+        "market", "day", "weekday", X.cents_to_amount("cents").alias("forecast"))
 
 
 @query("forecast_remaining", f"""
@@ -211,12 +216,15 @@ def q_date_labels(spark, d):
 
 
 @query("round_half_even", """
-SELECT o_orderkey, CAST(round_even(CAST(round(o_totalprice * 100) AS BIGINT) / 8.0, 0) AS DOUBLE) / 100 AS eighth
+SELECT o_orderkey, CAST(round_even(CAST(round(o_totalprice * 100) AS BIGINT) / 8.0, 0) AS DOUBLE) / 100 AS eighth,
+       CAST(round_even(CAST(round(o_totalprice * 100) AS BIGINT) / 8.0, 0) AS BIGINT) AS eighth_cents
 FROM orders""")
 def q_round_half_even(spark, d):
     o = load_table(spark, d, "orders")
     return o.select("o_orderkey", X.cents_to_amount(
-        X.div_round_half_even(X.to_cents("o_totalprice"), F.lit(8))).alias("eighth"))
+        X.div_round_half_even(X.to_cents("o_totalprice"), F.lit(8))).alias("eighth"),
+        X.round_half_even(X.to_cents("o_totalprice").cast("decimal(18,0)") * F.lit("0.125").cast("decimal(4,3)"), 0)
+        .cast("bigint").alias("eighth_cents"))
 
 
 # ---------------------------------------------------------------- cleaners
@@ -272,7 +280,7 @@ def q_sku_map_json(spark, d):
 
 from tillroll.functions.headers import canonical_select, locale_rename, normalize_headers  # noqa: E402
 from tillroll.functions.locales import CANONICAL_COLUMNS, PROFILES  # noqa: E402
-from tillroll.operators.clean import parse_report_datetime, standardize  # noqa: E402
+from tillroll.operators.clean import standardize, with_report_datetime  # noqa: E402
 
 _LINE = f"({B.LINE_TX_SQL}) t"
 _ORDER_ID_SQL = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
@@ -337,8 +345,8 @@ def q_strip_zone(spark, d):
 def _parsed(spark, d, profile):
     p = PROFILES[profile]
     df = locale_rename(normalize_headers(B.raw_report(spark, d, profile), p), p)
-    ts = parse_report_datetime("date_time", p)
-    return df.select("order_id", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    return with_report_datetime(df, p).select(
+        "order_id", F.date_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
 _PARSED_SQL = f"SELECT {_ORDER_ID_SQL} AS order_id, {_TS_TEXT_SQL} AS ts FROM {_LINE}"
@@ -360,7 +368,7 @@ def q_parse_mixed_datetime(spark, d):
 
 
 def _translated_sql(profile: str) -> str:
-    sep = "(CASE WHEN l_linenumber = 2 THEN chr(160) ELSE ' ' END)" if profile == "fr" else "' '"
+    sep = "' '"
     return (f"SELECT {_ORDER_ID_SQL} AS order_id, CAST(day(ts) AS VARCHAR) || {sep} || strftime(ts, '%b') "
             f"|| {sep} || CAST(year(ts) AS VARCHAR) || ' ' || strftime(ts, '%H:%M:%S') || ' UTC' AS date_time "
             f"FROM {_LINE}")
@@ -371,7 +379,9 @@ for _p in ("it", "es", "fr"):
         def fn(spark, d):
             prof = PROFILES[p]
             df = locale_rename(normalize_headers(B.raw_report(spark, d, p), prof), prof)
-            return df.select("order_id", X.translate_months("date_time", prof.months).alias("date_time"))
+            # the cleaner's step; French no-break spaces are plain by then
+            ready = df.withColumn("date_time", X.plain_spaces("date_time"))
+            return X.with_month_token(ready, "date_time", prof.months).select("order_id", "date_time")
         fn.__name__ = f"q_month_translate_{p}"
         return fn
     query(f"month_translate_{_p}", _translated_sql(_p))(_mk_tr(_p))

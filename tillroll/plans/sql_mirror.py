@@ -2,7 +2,8 @@
 
 The oracle takes the cascading points literally (p1..p4 from the ranked
 days), not the closed-form weights the Spark plan uses, so a match checks
-the weight table too. Money is exact cents; averages round half to even.
+the weight table too. Money is exact (cents with two more places); figures
+round half to even, once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ def _lit(d) -> str:
 def ranked_sql(src_sql: str, cutoff) -> str:
     b = bounds(cutoff)
     return f"""
-day AS (SELECT market, d, CAST(sum(cents) AS BIGINT) AS cents FROM ({src_sql}) s
+day AS (SELECT market, d, sum(cents) AS cents FROM ({src_sql}) s
         WHERE d IS NOT NULL GROUP BY market, d),
 ranked AS (SELECT market, d, cents, dayname(d) AS weekday,
                   row_number() OVER (PARTITION BY market, dayname(d) ORDER BY d DESC) AS rn
@@ -58,11 +59,11 @@ WITH {ranked_sql(src_sql, cutoff)},
 {points_sql()},
 {calendar_sql(cutoff)},
 est AS (SELECT market, CAST(sum(avg_cents * k) AS BIGINT) AS e FROM prof JOIN cal USING (weekday) GROUP BY market),
-act AS (SELECT market, CAST(sum(cents) AS BIGINT) AS a FROM day
+act AS (SELECT market, sum(cents) AS a FROM day
         WHERE d BETWEEN {_lit(b['month_start'])} AND {_lit(b['report_date'])} GROUP BY market),
 mk AS (SELECT DISTINCT market FROM ({src_sql}) s2)
 SELECT {_lit(b['report_date'])} AS report_date, mk.market,
-       CAST(coalesce(a, 0) AS DOUBLE) / 100 AS actual_sales,
+       round_even(CAST(coalesce(a, 0) AS DOUBLE), 0) / 100 AS actual_sales,
        CAST(coalesce(e, 0) AS DOUBLE) / 100 AS estimated_sales,
-       CAST(coalesce(a, 0) + coalesce(e, 0) AS DOUBLE) / 100 AS total_estimation
+       round_even(CAST(coalesce(a, 0) + coalesce(e, 0) AS DOUBLE), 0) / 100 AS total_estimation
 FROM mk LEFT JOIN act USING (market) LEFT JOIN est USING (market)"""

@@ -1,85 +1,58 @@
 """Daily pick-up of new report files as a Structured Streaming job.
 
-The file source's checkpoint remembers which files were taken, so a rerun
-(``trigger(availableNow=True)``) takes only files that arrived since; each
-micro-batch is cleaned and appended to the clean table, partitioned by
-market and report date. A manifest of source files guards the append, so a
-replayed batch (after a failure between write and commit) is a no-op.
-State is the table itself: late rows simply land in the table and the next
-estimate reads the full history, so no watermark is needed.
+The stream is the folder's listing: its checkpoint remembers which files were
+taken, so a rerun (``trigger(availableNow=True)``) sees only files that arrived
+since. Each micro-batch hands its files to the same job as the batch form
+(``plans.daily.take_files``): every file is read under its own header and written to
+partitions of its own, so a replayed batch, after a failure between write
+and commit, replaces what it wrote. State is the tables themselves: late files
+simply land there and the next estimate reads them, so no watermark is needed.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from tillroll.operators.clean import clean
+from tillroll.plans.daily import MANIFEST_SCHEMA, MarketSource, side_tables, take_files
 from tillroll.session import checkpoint_dir
-from tillroll.sources.reports import (MAX_COLUMNS, apply_header, header_variants,
-                                     report_date_from_name, report_rows)
-from tillroll.sources.sinks import append_new_files
+from tillroll.sources.files import fresh_files
+from tillroll.sources.sinks import read_if_there
 
-
-def clean_batch(lines: DataFrame, profile: str, market: str, width: int = MAX_COLUMNS,
-                sku_dim: DataFrame | None = None) -> DataFrame | None:
-    """One micro-batch of raw lines -> canonical rows with market, report date, source file.
-
-    Files of one locale share a header; a batch holding two header variants
-    is cleaned per variant (each file's rows carry its header).
-    """
-    data, variants = report_rows(lines, width)
-    if not variants:
-        return None
-    if len(variants) > 1:
-        raise ValueError(f"one source folder holds {len(variants)} different headers")
-    raw = apply_header(data, variants[0], keep=("source_file",))
-    return clean(raw, profile, sku_dim=sku_dim).withColumn("market", F.lit(market)).withColumn(
-        "report_date", F.coalesce(report_date_from_name("source_file"), F.col("date")))
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str | None,
-                 profile: str, market: str, width: int | None = None, available_now: bool = True,
-                 sku_dim: DataFrame | None = None, day_table: str | None = None):
+                 profile: str, market: str, available_now: bool = True,
+                 sku_dim: DataFrame | None = None, day_table: str | None = None, max_files: int = 1000):
     """Start the pick-up stream; returns the ``StreamingQuery``.
 
-    With ``day_table`` each batch also adds its rows to the day totals (see
-    ``plans.daily.update_day_totals``). ``checkpoint`` defaults to a folder under the cluster's shared
-    ``spark.checkpoint.dir``. ``width`` bounds the number of report columns;
-    by default it is the width of the headers already in the folder (a text
-    scan; a CSV parse is much cheaper at the exact width), else 40.
+    With ``day_table`` each batch also brings the day totals up to date.
+    ``checkpoint`` defaults to a folder under the cluster's shared
+    ``spark.checkpoint.dir``. A micro-batch takes at most ``max_files`` files. A file
+    without exactly one header fails the batch, after the others were written: the
+    next start takes it again.
     """
-    if width is None:
-        try:
-            found = header_variants(spark, source_dir, glob="*.csv")
-        except AnalysisException:
-            found = []
-        width = max((len(v) for v in found), default=MAX_COLUMNS)
     if checkpoint is None:
         safe = "".join(ch if ch.isalnum() else "_" for ch in market)
         checkpoint = os.path.join(checkpoint_dir(spark), "ingest", safe)
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
-    lines = (spark.readStream.schema(schema).option("header", False).option("multiLine", True)
-             .option("pathGlobFilter", "*.csv").csv(source_dir)
-             .select("*", F.col("_metadata.file_name").alias("source_file")))
-    manifest = os.path.join(table_path, "_manifest")
+    listing = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
+               .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files).load(source_dir)
+               .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"),
+                       F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.lit(market).alias("market")))
+    source = MarketSource(market, profile, source_dir)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = clean_batch(batch, profile, market, width, sku_dim)
-        if rows is not None:
-            hook = None
-            if day_table:
-                from tillroll.plans.daily import update_day_totals
-                hook = lambda fresh: update_day_totals(spark, fresh, day_table)
-            append_new_files(rows, table_path, manifest, on_fresh=hook)
+        seen = read_if_there(batch.sparkSession, side_tables(table_path)["manifest"], MANIFEST_SCHEMA)
+        files = fresh_files(batch, seen).select("path", "file_id", "version").orderBy("path").collect()
+        if files:
+            status = take_files(batch.sparkSession, files, source, table_path, sku_dim, day_table)
+            if status["error"]:
+                raise ValueError(status["error"])
 
-    w = lines.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    w = listing.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
