@@ -151,7 +151,7 @@ def money_text(c: str, thousands: str, decimal: str):
 
 
 def _money_eu(c: str):
-    return F.translate(F.format_number(F.col(c) / F.lit(100.0), 2), ",.", ".,")
+    return money_text(c, ".", ",")
 
 
 def _date_text(profile: str, ts: str = "ts", sep_col=None):
@@ -166,10 +166,36 @@ def _date_text(profile: str, ts: str = "ts", sep_col=None):
                     F.year(t).cast("string"), F.lit(" "), F.date_format(t, "HH:mm:ss"), F.lit(" UTC"))
 
 
-# Columns of the generated reports, canonical names in report order.
-REPORT_COLUMNS = ["date_time", "settlement_id", "type", "order_id", "sku", "description",
-                  "quantity", "marketplace", "fulfillment", "product_sales",
-                  "product_sales_tax", "selling_fees", "total"]
+# Columns of the generated reports, canonical names in report order: all that a report of the EU (27)
+# and of the US (30) holds.
+US_ONLY = ["account_type", "Regulatory_Fee", "Tax_On_Regulatory_Fee"]
+REPORT_COLUMNS_US = ["date_time"] + [c for c in PROFILES["us2"].columns if c not in ("date", "time", "weekday")]
+REPORT_COLUMNS = [c for c in REPORT_COLUMNS_US if c not in US_ONLY]
+
+# Money columns of a report by the line's values, in cents (both engines read these expressions).
+MONEY_CENTS = {
+    "product_sales": "ps", "product_sales_tax": "tax", "shipping_credits": "qty * 12",
+    "shipping_credits_tax": "qty", "gift_wrap_credits": "l_linenumber * 110", "giftwrap_credits_tax": "l_linenumber * 9",
+    "Regulatory_Fee": "l_linenumber * 25", "Tax_On_Regulatory_Fee": "l_linenumber * 2",
+    "promotional_rebates": "-(qty * 31)", "promotional_rebates_tax": "-(qty * 3)", "marketplace_withheld_tax": "-tax",
+    "selling_fees": "-fee", "fba_fees": "-(qty * 350)", "other_transaction_fees": "-l_linenumber",
+    "other": "l_linenumber * 100000", "total": "tot",
+}
+# Text columns likewise.
+TEXT_SQL = {
+    "settlement_id": "CAST(l_orderkey AS {text})",
+    "type": "CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Order' END",
+    "order_id": "concat(CAST(l_orderkey AS {text}), '-', CAST(l_linenumber AS {text}))",
+    "sku": "CAST(l_partkey AS {text})", "description": "concat('part ', CAST(l_partkey AS {text}))",
+    "account_type": "'Standard Orders'", "fulfillment": "'Amazon'",
+    "order_city": "concat('City ', CAST(qty AS {text}))", "order_state": "l_returnflag",
+    "order_postal": "concat('0', CAST(l_partkey AS {text}))", "tax_collection_model": "'MarketplaceFacilitator'",
+}
+
+
+def report_columns(profile: str) -> list[str]:
+    return REPORT_COLUMNS_US if profile in ("us", "us2") else REPORT_COLUMNS
+
 
 _RAW_DATE_HEADER = {"us": "date/time", "us2": "date/time", "de": "Datum/Uhrzeit",
                     "it": "Data/Ora:", "es": "fecha y hora", "fr": "date/heure"}
@@ -206,49 +232,46 @@ def raw_report_from(tx: DataFrame, profile: str, with_duplicate_header: bool = F
     eu = profile not in ("us", "us2")
     money = _money_eu if eu else _money_us
     sep = F.when(F.col("l_linenumber") == 2, F.lit(NBSP)).otherwise(F.lit(" ")) if profile == "fr" else None
-    values = {
-        "date_time": _date_text(profile, sep_col=sep),
-        "settlement_id": F.col("l_orderkey").cast("string"),
-        "type": F.when(F.col("l_returnflag") == "R", F.lit("Refund")).otherwise(F.lit("Order")),
-        "order_id": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
-        "sku": F.col("l_partkey").cast("string"),
-        "description": F.concat(F.lit("part "), F.col("l_partkey").cast("string")),
-        "quantity": F.col("qty").cast("string"),
-        "marketplace": F.lit(MARKETPLACE[profile]),
-        "fulfillment": F.lit("Amazon"),
-        "product_sales": money("ps"),
-        "product_sales_tax": money("tax"),
-        "selling_fees": money("neg_fee"),
-        "total": money("tot"),
-    }
-    tx = tx.withColumn("neg_fee", -F.col("fee"))
+    values = {c: F.expr(x.format(text="string")) for c, x in TEXT_SQL.items()}
+    values |= {"date_time": _date_text(profile, sep_col=sep), "quantity": F.col("qty").cast("string"),
+               "marketplace": F.lit(MARKETPLACE[profile])}
+    tx = tx.withColumns({f"_{c}": F.expr(x).cast("bigint") for c, x in MONEY_CENTS.items()})
+    values |= {c: money(f"_{c}") for c in MONEY_CENTS}
     cols = []
-    for c in REPORT_COLUMNS:
+    for c in report_columns(profile):
         cols.append(values[c].alias(raw_header(profile, c)))
         if c == "date_time" and with_duplicate_header:
             cols.append(F.lit("not a date").alias("date time"))
     return tx.select(*cols, *keep)
 
 
+def raw_text_sql(profile: str) -> dict[str, str]:
+    """The text of each column of a raw report, by canonical name, for DuckDB."""
+    eu = profile not in ("us", "us2")
+    out = {c: x.format(text="VARCHAR") for c, x in TEXT_SQL.items()}
+    out |= {"date_time": date_text_sql(profile), "quantity": "CAST(qty AS VARCHAR)",
+            "marketplace": f"'{MARKETPLACE[profile]}'"}
+    out |= {c: money_text_sql(f"CAST({x} AS BIGINT)", eu) for c, x in MONEY_CENTS.items()}
+    return {c: out[c] for c in report_columns(profile)}
+
+
 def clean_expected_sql(profile: str, with_asin: bool = False) -> str:
     """Oracle: the canonical rows a cleaner must return, read from the source values."""
-    dec = "CAST(CAST({} AS DOUBLE) / 100 AS DECIMAL(18,4))"
-    cols = [
-        "CAST(ts AS DATE) AS date", "strftime(ts, '%H:%M:%S') AS time", "dayname(ts) AS weekday",
-        "CAST(l_orderkey AS VARCHAR) AS settlement_id",
-        "CASE WHEN l_returnflag = 'R' THEN 'Refund' ELSE 'Order' END AS type",
-        "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id",
-        "CAST(l_partkey AS VARCHAR) AS sku",
-    ]
+    cols = ["CAST(ts AS DATE) AS date", "strftime(ts, '%H:%M:%S') AS time", "dayname(ts) AS weekday"]
     if with_asin:
         cols.append("dim.asin AS ASIN")
-    cols += [
-        "'part ' || CAST(l_partkey AS VARCHAR) AS description",
-        "CAST(qty AS DECIMAL(18,4)) AS quantity",
-        f"'{MARKETPLACE[profile]}' AS marketplace", "'Amazon' AS fulfillment",
-        dec.format("ps") + " AS product_sales", dec.format("tax") + " AS product_sales_tax",
-        dec.format("-fee") + " AS selling_fees", dec.format("tot") + " AS total",
-    ]
+    for c in report_columns(profile):
+        if c in MONEY_CENTS:
+            value = f"CAST(CAST({MONEY_CENTS[c]} AS DOUBLE) / 100 AS DECIMAL(18,4))"
+        elif c == "quantity":
+            value = "CAST(qty AS DECIMAL(18,4))"
+        elif c == "marketplace":
+            value = f"'{MARKETPLACE[profile]}'"
+        elif c != "date_time":
+            value = TEXT_SQL[c].format(text="VARCHAR")
+        else:
+            continue
+        cols.append(f'{value} AS "{c}"')
     src = f"({LINE_TX_SQL}) t"
     if with_asin:
         src += f" LEFT JOIN ({SKU_DIM_FIRST_SQL}) dim ON CAST(t.l_partkey AS VARCHAR) = dim.sku"
@@ -413,5 +436,13 @@ FROM (SELECT *, dd || '-' || dd || 'CustomUnifiedTransaction.csv' AS uni
                    list_extract(['germany', 'italy', 'spain', 'france'], CAST(o_custkey % 4 + 1 AS INTEGER)) AS country
             FROM orders))"""
 
+
+def landed_listing(spark: SparkSession, d: str) -> DataFrame:
+    """``file_listing`` as files in one folder per market: the same name may lie in several."""
+    ls = file_listing(spark, d)
+    return ls.withColumns({"path": F.concat(F.lit("/land/"), "market", F.lit("/"), "file_name"),
+                           "size": F.col("o_orderkey")})
+
+
 # Files already seen before the run: everything modified before 1998.
 MANIFEST_BEFORE = "1998-01-01"

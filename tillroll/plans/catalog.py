@@ -7,6 +7,7 @@ Column names match between the two; money is exact cents shown as
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -278,7 +279,8 @@ def q_sku_map_json(spark, d):
 
 # ---------------------------------------------------------------- headers, scalars on report text
 
-from tillroll.functions.headers import canonical_select, locale_rename, normalize_headers  # noqa: E402
+from tillroll.functions.headers import (  # noqa: E402
+    canonical_select, locale_rename, normalize_header, normalize_headers)  # noqa: E402
 from tillroll.functions.locales import CANONICAL_COLUMNS, PROFILES  # noqa: E402
 from tillroll.operators.clean import standardize, with_report_datetime  # noqa: E402
 
@@ -287,32 +289,29 @@ _ORDER_ID_SQL = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARC
 _TS_TEXT_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 
 
-@query("header_normalize", f"""
-SELECT {B.date_text_sql('it')} AS data_ora, CAST(l_orderkey AS VARCHAR) AS numero_pagamento,
-       {_ORDER_ID_SQL} AS numero_ordine, CAST(l_partkey AS VARCHAR) AS sku,
-       CAST(qty AS VARCHAR) AS "quantità", {B.money_text_sql('ps', True)} AS vendite
-FROM {_LINE}""")
+def _raw_select(profile: str, name) -> str:
+    """Oracle: every text column of a raw report, named by ``name(canonical)``."""
+    cols = [f'{x} AS "{name(c)}"' for c, x in B.raw_text_sql(profile).items()]
+    return f"SELECT {', '.join(cols)} FROM {_LINE}"
+
+
+@query("header_normalize", _raw_select("it", lambda c: normalize_header(B.raw_header("it", c), PROFILES["it"])))
 def q_header_normalize(spark, d):
-    df = normalize_headers(B.raw_report(spark, d, "it"), PROFILES["it"])
-    return df.select("data_ora", "numero_pagamento", "numero_ordine", "sku", "quantità", "vendite")
+    return normalize_headers(B.raw_report(spark, d, "it"), PROFILES["it"])
 
 
-@query("dedupe_columns", f"""
-SELECT {B.date_text_sql('us2')} AS date_time, CAST(l_orderkey AS VARCHAR) AS settlement_id FROM {_LINE}""")
+@query("dedupe_columns", _raw_select("us2", lambda c: c))
 def q_dedupe_columns(spark, d):
-    df = normalize_headers(B.raw_report(spark, d, "us2", with_duplicate_header=True), PROFILES["us2"])
-    return df.select("date_time", "settlement_id")
+    return normalize_headers(B.raw_report(spark, d, "us2", with_duplicate_header=True), PROFILES["us2"])
 
 
-@query("locale_rename", f"""
-SELECT {B.date_text_sql('de')} AS date_time, CAST(l_orderkey AS VARCHAR) AS settlement_id,
-       {_ORDER_ID_SQL} AS order_id, CAST(l_partkey AS VARCHAR) AS sku, CAST(qty AS VARCHAR) AS quantity,
-       {B.money_text_sql('ps', True)} AS product_sales, {B.money_text_sql('tot', True)} AS total
-FROM {_LINE}""")
-def q_locale_rename(spark, d):
-    p = PROFILES["de"]
-    df = locale_rename(normalize_headers(B.raw_report(spark, d, "de"), p), p)
-    return df.select("date_time", "settlement_id", "order_id", "sku", "quantity", "product_sales", "total")
+for _p in ("de", "it", "es", "fr"):
+    def _mk_lr(p):
+        def fn(spark, d):
+            return locale_rename(normalize_headers(B.raw_report(spark, d, p), PROFILES[p]), PROFILES[p])
+        fn.__name__ = f"q_locale_rename_{p}"
+        return fn
+    query("locale_rename" if _p == "de" else f"locale_rename_{_p}", _raw_select(_p, lambda c: c))(_mk_lr(_p))
 
 
 def _canonical_select_sql() -> str:
@@ -435,7 +434,8 @@ def q_quarantine_dates(spark, d):
 
 @query("daily_extract", f"""
 SELECT date, time, weekday, settlement_id, type, order_id, sku, ASIN, description, quantity, marketplace,
-       fulfillment, product_sales, total FROM ({B.clean_expected_sql('us', with_asin=True)})""")
+       account_type, fulfillment, order_city, order_state, order_postal, tax_collection_model,
+       other_transaction_fees, other, product_sales, total FROM ({B.clean_expected_sql('us', with_asin=True)})""")
 def q_daily_extract(spark, d):
     return daily_extract(B.raw_report(spark, d, "us"), sku_dim=_sku_dim(spark, d))
 
@@ -456,21 +456,21 @@ def q_multi_market_union(spark, d):
     return E.daily_sales(tx, amount="product_sales")
 
 
-@query("append_union_by_name", f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS "settlement id", {_ORDER_ID_SQL} AS "order id",
-       CASE WHEN ts < TIMESTAMP '1998-01-01' THEN 'Amazon' END AS fulfillment,
-       CASE WHEN ts >= TIMESTAMP '1998-01-01' THEN 'Sales' END AS "account type",
-       {B.money_text_sql('ps', False)} AS "product sales"
-FROM {_LINE}""")
+def _append_sql() -> str:
+    old = "ts < TIMESTAMP '1998-01-01'"
+    cols = B.raw_text_sql("us") | {"fulfillment": f"CASE WHEN {old} THEN 'Amazon' END",
+                                   "account_type": f"CASE WHEN NOT {old} THEN 'Standard Orders' END"}
+    return "SELECT " + ", ".join(f'{x} AS "{B.raw_header("us", c)}"' for c, x in cols.items()) + f" FROM {_LINE}"
+
+
+@query("append_union_by_name", _append_sql())
 def q_append_union_by_name(spark, d):
     from tillroll.sources.sinks import append_by_name
     t = B.line_tx(spark, d).withColumn("_old", F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz"))
     rep = B.raw_report_from(t, "us", keep=["_old"])
-    master = rep.filter(F.col("_old")).drop("_old")
-    new = (rep.filter(~F.col("_old")).drop("_old", "fulfillment")
-           .withColumn("account type", F.lit("Sales")))
-    out = append_by_name(master, new)
-    return out.select("settlement id", "order id", "fulfillment", "account type", "product sales")
+    master = rep.filter(F.col("_old")).drop("_old", "account type")
+    new = rep.filter(~F.col("_old")).drop("_old", "fulfillment")
+    return append_by_name(master, new)
 
 
 # ---------------------------------------------------------------- results, summary
@@ -648,3 +648,64 @@ FROM (SELECT *, CAST(try_strptime(regexp_extract(file_name, '{_PLAIN_RE}', 1), '
       FROM {_LIST} WHERE ends_with(file_name, 'CustomTransaction.csv'))""")
 def q_landed_name(spark, d):
     return FL.landed_name(B.file_listing(spark, d)).select("o_orderkey", "file_name", "report_date", "landed_name")
+
+
+# ---------------------------------------------------------------- ingest
+
+@query("ingest_manifest_keys", f"""
+WITH l AS (SELECT *, '/land/' || market || '/' || file_name AS path, o_orderkey AS size FROM {_LIST}),
+seen AS (SELECT DISTINCT market, path, size, modified FROM l WHERE modified < TIMESTAMP '{B.MANIFEST_BEFORE}')
+SELECT o_orderkey, market, file_name, substr(sha256(market || '|' || path), 1, 32) AS file_id,
+       CAST(size AS VARCHAR) || '-' || strftime(modified, '%Y%m%d%H%M%S.%f') AS version
+FROM l WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.market = l.market AND s.path = l.path AND s.size = l.size
+                           AND s.modified = l.modified)
+  AND (regexp_full_match(file_name, '{_UNI_RE}') OR regexp_full_match(file_name, '{_PLAIN_RE}')
+       OR regexp_full_match(file_name, '([a-z]+)_sales_(\\d{{4}}-\\d{{2}}-\\d{{2}})\\.csv'))""")
+def q_ingest_manifest_keys(spark, d):
+    """New report files by market and path; names repeat across markets, versions within one."""
+    ls = B.landed_listing(spark, d)
+    seen = FL.fresh_files(ls.filter(F.col("modified") < F.lit(B.MANIFEST_BEFORE).cast("timestamp_ntz")), None)
+    return FL.fresh_files(ls, seen).select("o_orderkey", "market", "file_name", "file_id", "version")
+
+
+# Report lines by line number: blank second cell, either header, preamble with and without a comma, a row too wide.
+_SPLIT_CELLS = {
+    "_c0": "CASE l_linenumber WHEN 3 THEN 'date/time' WHEN 4 THEN 'Datum/Uhrzeit' WHEN 5 THEN 'All amounts in EUR' "
+           "ELSE concat('day ', CAST(l_orderkey AS {text})) END",
+    "_c1": "CASE l_linenumber WHEN 2 THEN NULL WHEN 5 THEN NULL ELSE CAST(l_partkey AS {text}) END",
+    "_c2": "CASE l_linenumber WHEN 5 THEN NULL ELSE l_returnflag END",
+    "_c3": "CASE l_linenumber WHEN 6 THEN 'more' END",
+}
+
+
+@query("report_rows_split", f"""
+SELECT l_orderkey, l_linenumber, {', '.join(f'{x.format(text="VARCHAR")} AS {c}' for c, x in _SPLIT_CELLS.items())},
+       CASE l_linenumber WHEN 3 THEN 'header' WHEN 4 THEN 'header' WHEN 5 THEN 'preamble' WHEN 6 THEN 'wide'
+            ELSE 'data' END AS kind FROM {_LINE}""")
+def q_report_rows_split(spark, d):
+    from tillroll.sources.reports import report_rows
+    cells = [F.expr(x.format(text="string")).alias(c) for c, x in _SPLIT_CELLS.items()]
+    return report_rows(B.line_tx(spark, d).select("l_orderkey", "l_linenumber", *cells), 3)
+
+
+@query("ingest_status", f"""
+SELECT m.market, count(DISTINCT l_returnflag) AS files,
+       count(*) FILTER (WHERE l_linenumber <> 7) AS "rows", count(*) FILTER (WHERE l_linenumber = 7) AS bad_dates,
+       CAST(0 AS BIGINT) AS wide_rows, count(*) FILTER (WHERE l_linenumber = 6) AS null_amounts
+FROM {_LINE} CROSS JOIN (VALUES {', '.join(f"('{v}')" for v in _MARKETS.values())}) m(market) GROUP BY m.market""")
+def q_ingest_status(spark, d):
+    """Status of the EU markets' reports (one file per return flag): every line number 7 has no
+    readable date, every line number 6 no readable amount."""
+    from tillroll.operators.clean import market_status
+    good, bad = [], []
+    for p, m in _MARKETS.items():
+        rep = B.raw_report_from(B.line_tx(spark, d), p, keep=["l_linenumber", F.col("l_returnflag").alias("file_id")])
+        day, amount = B.raw_header(p, "date_time"), B.raw_header(p, "product_sales")
+        line = F.col("l_linenumber")
+        rep = rep.withColumns({day: F.when(line == 7, F.lit("n/a")).otherwise(F.col(day)),
+                               amount: F.when(line == 6, F.lit("n/a")).otherwise(F.col(amount))})
+        rows = standardize(rep.drop("l_linenumber"), p).withColumn("market", F.lit(m))
+        good.append(rows.filter(F.col("date").isNotNull()).select("market", "file_id", "product_sales"))
+        bad.append(rows.filter(F.col("date").isNull()).select("market", "file_id", F.lit("date").alias("reason")))
+    union = lambda parts: functools.reduce(DataFrame.unionByName, parts)
+    return market_status(union(good), union(bad))
