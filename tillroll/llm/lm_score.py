@@ -38,8 +38,9 @@ def read_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     parts, sizes = [], []
     for t in texts:
         ws = words(t)
-        for w in set(ws) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
+        for w in ws:
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w)
         parts += [np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), np.array([END])]
         sizes.append(len(ws) + 1)
     if not sizes:
