@@ -66,9 +66,8 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*pieces) - self.known.keys() if pieces else set()
+        new = [w for w in set().union(*pieces) if w not in self.known]
         if new:
-            new = list(new)
             self.known.update(zip(new, self._plain(new)))
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
