@@ -47,8 +47,10 @@ def daily_cents(tx: DataFrame, market: str = "market", date: str = "date",
                 amount: str = "amount", keep_null_dates: bool = False) -> DataFrame:
     """Day totals ``(market, date, cents)``, exact (``decimal(22,2)``); all-null days sum to 0."""
     day = (_std(tx, market, date, amount).groupBy("market", "date")
-           .agg(units_to_cents(F.coalesce(F.sum("units"), F.lit(0))).alias("cents")))
-    return day if keep_null_dates else day.filter(F.col("date").isNotNull())
+           .agg(units_to_cents(F.coalesce(F.sum("units"), F.lit(0))).alias("cents"), F.count("date").alias("_dated")))
+    # by the count, not by the date: that filter would be pushed through the projections
+    # which parse the date, and repeat all their expressions in one
+    return (day if keep_null_dates else day.filter("_dated > 0")).drop("_dated")
 
 
 def merge_day_totals(old: DataFrame | None, add: DataFrame) -> DataFrame:
