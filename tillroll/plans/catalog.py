@@ -8,6 +8,7 @@ Column names match between the two; money is exact cents shown as
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tillroll.operators.clean import clean, daily_extract
 from tillroll.operators.dims import sku_dimension, sku_first, sku_map_json, with_asin
 from tillroll.plans import bindings as B
 from tillroll.plans import sql_mirror as M
-from tillroll.session import load_table
+from tillroll.session import checkpoint_dir, load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -709,3 +710,54 @@ def q_ingest_status(spark, d):
         bad.append(rows.filter(F.col("date").isNull()).select("market", "file_id", F.lit("date").alias("reason")))
     union = lambda parts: functools.reduce(DataFrame.unionByName, parts)
     return market_status(union(good), union(bad))
+
+
+# ---------------------------------------------------------------- files written and read back
+
+def _written(spark, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tillroll-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@query("read_master", _raw_select("us", lambda c: B.raw_header("us", c)))
+def q_read_master(spark, d):
+    """A master CSV read back as text, column by column."""
+    from tillroll.sources.reports import read_master
+    path = _written(spark, "master")
+    B.raw_report(spark, d, "us").write.option("header", True).csv(path)
+    return read_master(spark, path)
+
+
+@query("overwrite_clean", """
+SELECT o_orderkey, o_orderpriority AS market,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders""")
+def q_overwrite_clean(spark, d):
+    """K2: one market of a clean table written again; the others' partitions stay."""
+    from tillroll.sources.sinks import overwrite_clean
+    path = _written(spark, "clean")
+    rows = load_table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("market"), F.col("o_totalprice").alias("amount"))
+    overwrite_clean(rows, path)
+    overwrite_clean(rows.filter("market = '1-URGENT'").withColumn("amount", -F.col("amount")), path)
+    return spark.read.parquet(path)
+
+
+@query("dated_extract", f"""
+SELECT {_ORDER_ID_SQL} AS order_id, CAST(ps AS DECIMAL(18,0)) AS cents,
+       CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS report_date FROM {_LINE}""")
+def q_dated_extract(spark, d):
+    """K3: extracts by date as CSV, read back (the month plays the report date)."""
+    from tillroll.sources.sinks import write_dated_extract
+    path = _written(spark, "extract")
+    write_dated_extract(B.line_tx(spark, d).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"), F.col("ps").alias("cents"),
+        F.trunc(F.to_date("ts"), "MM").alias("report_date")), path)
+    return spark.read.schema("order_id string, cents decimal(18,0), report_date date").option("header", True).csv(path)
+
+
+@query("cutoff_in_month", """
+SELECT o_orderkey, make_date(year(o_orderdate), month(o_orderdate), day(o_orderdate)) AS cutoff FROM orders""")
+def q_cutoff_in_month(spark, d):
+    day = F.col("o_orderdate")
+    return load_table(spark, d, "orders").select(
+        "o_orderkey", X.cutoff_in_month(F.year(day), F.month(day), F.dayofmonth(day)).alias("cutoff"))
