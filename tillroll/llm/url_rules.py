@@ -59,8 +59,13 @@ def rule_table(spark, rules) -> DataFrame:
 
     ``rules`` is a list of (verdict, host, path) or a DataFrame with these columns.
     """
-    df = rules if isinstance(rules, DataFrame) else spark.createDataFrame(
-        rules, "verdict string, host string, path string")
+    if isinstance(rules, DataFrame):
+        df = rules
+    else:
+        rows = [F.struct(*[F.lit(x).cast("string").alias(n) for x, n in zip(r, ("verdict", "host", "path"))])
+                for r in rules]
+        df = (spark.range(1).select(F.inline(F.array(*rows))) if rows
+              else spark.range(0).selectExpr("'' AS verdict", "'' AS host", "'' AS path"))
     host, path = F.translate("host", _UPPER, _LOWER), F.coalesce(F.col("path"), F.lit(""))
     return df.select("verdict", host.alias("rule_host"), path.alias("rule_path")).select(
         "verdict", "rule_host", F.concat("rule_host", "rule_path").alias("rule"),
