@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tillroll.plans.catalog import QUERIES  # noqa: E402
 from tillroll.session import get_spark  # noqa: E402
 
 
@@ -22,7 +22,7 @@ def main():
     spark.conf.set("spark.sql.adaptive.enabled", "false")     # the static plan, before AQE re-planning
     print("| query | shuffles | broadcasts | joins | window | python |")
     print("|---|---|---|---|---|---|")
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
         bcast = plan.count("BroadcastExchange")
