@@ -105,6 +105,35 @@ def test_linked_sets_share_a_part(common, left, right, t):
     assert set(p.tolist()) & set(q.tolist())
 
 
+def test_sharing_over_many_slices(spark):
+    r = random.Random(8)
+    big = [r.randrange(-(1 << 63), 1 << 63) for _ in range(60)]
+    rows = [(k, [r.choice(big) for _ in range(r.randint(0, 3))]) for k in range(80)] + [(None, big), (90, big[:1] * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, parts array<long>").repartition(5)
+    holders = {}
+    for k, parts in rows:
+        for p in parts:
+            if k is not None:
+                holders.setdefault(p, set()).add(k)
+    links = [(min(h), k) for h in holders.values() for k in h]
+    ids = {k for k, _ in rows if k is not None}
+    for size in (9, 1000):
+        got = [tuple(x) for x in ngr.sharing(df, size).collect()]
+        assert all(a > b for a, b in got)
+        assert roots(ids, got) == roots(ids, links)
+
+
+def test_an_id_with_several_texts_links_their_classes(spark):
+    rows = [(3, "a b c d"), (1, "x y z w"), (3, "x y z w"), (2, "a b c d"), (5, "p q r s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, ngr.similar_documents(df, n=3).collect()))
+    assert got == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (3, 2, 1), (5, 2, 5)]
+    v, w = [1.0, 0.0], [0.0, 1.0]
+    vec = spark.createDataFrame([(3, v, 1), (1, w, 1), (3, w, 1), (2, v, 1)], "vec_id long, embedding array<double>, label int")
+    assert sorted((x.vec_id, x.n_links, x.component_id) for x in emb.near_duplicates(vec).collect()) == [
+        (1, 1, 1), (2, 1, 1), (3, 1, 1), (3, 1, 1)]
+
+
 def test_bitmap_bound_never_loses_a_link():
     rows = varied(5, groups=6, copies=12)
     sets = ngr.word_sets([t for _, t in rows], 3)

@@ -110,6 +110,32 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.astype(np.uint64).view(np.int64)
 
 
+def slices(keys: np.ndarray, n: int) -> np.ndarray:
+    """Edges of the ``n`` slices of sorted keys, by equal ranges of the key."""
+    step = np.uint64((1 << 64) // n if n > 1 else 0)
+    cut = np.searchsorted(keys, np.arange(1, n, dtype=np.uint64) * step)
+    return np.concatenate([[0], cut, [len(keys)]])
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Bytes by place value, which the shuffle's compression shrinks well for small numbers."""
+    v = np.ascontiguousarray(values)
+    return v.view(np.uint8).reshape(len(v), v.itemsize).T.tobytes()
+
+
+def unpacked(data: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def free_prefix(df: DataFrame) -> str:
     """A prefix with which no column of the table begins."""
     prefix = "_"
@@ -126,7 +152,7 @@ def append_columns(df: DataFrame, inputs: list[str], added: str, fn, rows: int =
     """Add the columns of the DDL string ``added``, computed by ``fn`` from the columns ``inputs``.
 
     ``fn`` gets one list of Python values per input, for up to ``rows`` rows at
-    a time, and returns one list per added column. All other columns pass
+    a time, and returns one list or Arrow array per added column. All other columns pass
     through as Arrow data, unchanged; added columns replace those of the same
     name (case ignored), and the columns in ``drop`` are left out.
     """
@@ -145,7 +171,8 @@ def append_columns(df: DataFrame, inputs: list[str], added: str, fn, rows: int =
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 ins = [part.column(len(names) + k).to_pylist() for k in range(len(inputs))]
-                outs = [pa.array(v, t) for v, t in zip(fn(*ins), types, strict=True)]
+                outs = [v.cast(t) if isinstance(v, pa.Array) else pa.array(v, t)
+                        for v, t in zip(fn(*ins), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in range(len(names))] + outs, names=[f.name for f in schema])
 

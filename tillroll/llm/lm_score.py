@@ -25,7 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc32_of_id, mix, read, ship, words
+from tillroll.llm.common import (
+    crc32_of_id, mix, packed, packed_keys, read, ship, slices, unpacked, unpacked_keys, words,
+)
 
 #: Hashes of the end of a text and of the history before its first word; no word holds a space.
 END, START = np.uint64(xxhash.xxh64_intdigest(b" end")), np.uint64(xxhash.xxh64_intdigest(b" start"))
@@ -65,32 +67,6 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(mix(before * _STEP) + tokens) | _ONE
 
 
-def slices(keys: np.ndarray, n: int) -> np.ndarray:
-    """Edges of the ``n`` slices of sorted keys, by equal ranges of the key."""
-    step = np.uint64((1 << 64) // n if n > 1 else 0)
-    cut = np.searchsorted(keys, np.arange(1, n, dtype=np.uint64) * step)
-    return np.concatenate([[0], cut, [len(keys)]])
-
-
-def packed(values: np.ndarray) -> bytes:
-    """Bytes by place value, which the shuffle's compression shrinks well for small numbers."""
-    v = np.ascontiguousarray(values)
-    return v.view(np.uint8).reshape(len(v), v.itemsize).T.tobytes()
-
-
-def unpacked(data: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
-
-
-def packed_keys(keys: np.ndarray) -> bytes:
-    return packed(np.diff(keys, prepend=np.uint64(0)))
-
-
-def unpacked_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
-
-
 def block_keys(texts: list[str | None]):
     """Tokens, text starts, distinct keys in order, and the place among them of each token and bigram."""
     tokens, starts = read_tokens(texts)

@@ -20,7 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import append_columns, mix, ngram_hashes, read, ship, signed, stored, word_hashes, words
+from tillroll.llm.common import (
+    append_columns, mix, ngram_hashes, packed, packed_keys, read, ship, signed, slices, stored, unpacked, unpacked_keys,
+    word_hashes, words,
+)
 from tillroll.llm.components import connected_components
 
 #: Upper end of a size band over its lower end.
@@ -77,6 +80,68 @@ def part_digests(s: np.ndarray, num: int, den: int, starts: np.ndarray) -> tuple
     return bands, np.concatenate(out)
 
 
+def sharing(sets: DataFrame, slice_keys: int = 1_500_000) -> DataFrame:
+    """Links (a, b) between documents that share a part's digest: each to the smallest id that has it.
+
+    ``sets`` has doc_id and parts (digests). As most digests stand alone, tasks send them as
+    sorted slices with the smallest id of each, not as rows; about ``slice_keys`` digests
+    meet in one place, where a digest comes once from each run of documents, however many hold it.
+    """
+    total = sets.agg(F.sum(F.size("parts")).alias("n")).first()["n"] or 0
+    n = max(1, -(-total // slice_keys))
+
+    def pairs(of: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct links of ids with the smaller ones that they meet."""
+        found = np.unique(np.stack([of, low])[:, of != low], axis=1)
+        return found[0], found[1]
+
+    def smallest(keys, ids):
+        """Distinct keys in order, the smallest id of each, and the links of the others to it."""
+        found, at = np.unique(keys, return_inverse=True)
+        low = np.full(len(found), np.iinfo(np.int64).max)
+        np.minimum.at(low, at, ids)
+        return found, low, *pairs(ids, low[at])
+
+    def send(batches):
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                lists = part.column(1)
+                counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+                held.append((lists.flatten().to_numpy().view(np.uint64), np.repeat(part.column(0).to_numpy(), counts)))
+                size += len(held[-1][0])
+                if size >= slice_keys:
+                    yield from flush(held)
+                    held, size = [], 0
+        if size:
+            yield from flush(held)
+
+    def flush(held):
+        keys, low, a, b = smallest(*(np.concatenate(x) for x in zip(*held)))
+        edge = slices(keys, n)
+        full = np.flatnonzero(np.diff(edge))
+        cut = [slice(edge[k], edge[k + 1]) for k in full]
+        # links found here travel with the first slice
+        own = [packed(x) if k == 0 else packed(x[:0]) for x in (a, b) for k in range(len(full))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()), pa.array([packed_keys(keys[c]) for c in cut], pa.binary()),
+             pa.array([packed(low[c]) for c in cut], pa.binary()),
+             pa.array(own[:len(full)], pa.binary()), pa.array(own[len(full):], pa.binary())],
+            names=["slice", "keys", "ids", "a", "b"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids = [np.concatenate([unpacked(x, np.int64) for x in table[c].to_pylist()]) for c in ("ids", "a", "b")]
+        keys = np.concatenate([unpacked_keys(x) for x in table["keys"].to_pylist()])
+        _, _, a, b = smallest(keys, ids[0])
+        a, b = pairs(np.concatenate([a, ids[1]]), np.concatenate([b, ids[2]]))
+        return pa.table({"a": a, "b": b})
+
+    return (sets.where("doc_id is not null and size(parts) > 0").select("doc_id", "parts")
+            .mapInArrow(send, "slice int, keys binary, ids binary, a binary, b binary")
+            .groupBy("slice").applyInArrow(meet, "a long, b long"))
+
+
 def needed(a, b, num: int, den: int):
     """Least overlap of sets of these sizes that reaches num / den."""
     return -(-num * (a + b) // (num + den))
@@ -157,17 +222,13 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     sets = stored(append_columns(
         given, ["text"], "n_shingles long, digest binary, bands array<int>, parts array<long>", describe,
         rows=256, drop=("text",)), "sets")
-    classes = (sets.where("digest is not null").groupBy("digest")
-               .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size")))
-
-    # sets that share a part's digest are connected; each digest links to its smallest id
-    shown = (sets.join(classes.select(F.col("digest").alias("of"), "rep"),
-                       (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep"))))
-    signs = shown.select(F.explode("parts").alias("part"), "rep")
-    shared = signs.groupBy("part").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
-    near = signs.join(shared.select("part", "least"), "part").where("rep <> least").select(
-        F.col("rep").alias("a"), F.col("least").alias("b"))
-    group = stored(connected_components(near), "groups")
+    # written, so that joins with it have a shuffle of their own, whose crowded digests can be split
+    classes = stored(sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+
+    group = stored(connected_components(sharing(sets)), "groups")
+    shown = (sets.select("doc_id", "digest", "n_shingles", "bands")
+             .join(classes.select(F.col("digest").alias("of"), "rep"),
+                   (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep"))))
 
     # tiles: band by band within a group, dealt out by hash if crowded
     member = (shown.join(group, F.col("rep") == F.col("node"))
@@ -200,14 +261,16 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                          "b": pa.array([b for _, b in forest], pa.int64())})
 
     links = stored(with_text.groupBy("component", "band", "one", "two").applyInArrow(match, "a long, b long"), "links")
-    copies = (sets.where("digest is not null").select("doc_id", "digest").join(classes, "digest")
-              .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    component = connected_components(links.union(copies))
+    # copies follow their class; only an id that comes with several texts links classes by itself
+    several = (sets.where("doc_id is not null and digest is not null").groupBy(F.col("doc_id").alias("id"))
+               .agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("id"))
+    own = (sets.join(several, F.col("doc_id") == F.col("id")).join(classes, "digest")
+           .select(F.col("id").alias("a"), F.col("rep").alias("b")))
+    component = connected_components(links.union(own))
     rep = classes.select(F.col("digest").alias("of"), "rep")
     return (sets.select("doc_id", "n_shingles", "digest").join(rep, F.col("digest") == F.col("of"), "left")
-            .withColumn("id", F.coalesce("doc_id", "rep"))
-            .join(component, F.col("id") == F.col("node"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
+            .join(component, F.col("rep") == F.col("node"), "left")
+            .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
 
 
 def query(spark, sf_dir):
