@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import append_columns, read, ship, signed, stored
+from tillroll.llm.common import append_columns, read, ship, stored
 from tillroll.llm.components import connected_components, min_labels
 
 #: Rotated coordinates count in these steps, as whole numbers: squared distances of blocks are
@@ -81,33 +81,37 @@ def _cells(dim: int, y: np.ndarray, blocks: int, cosine: float, grid: int) -> li
     return out
 
 
-def tile_links(x: np.ndarray, block: int, blocks: int, cosine: float) -> np.ndarray:
-    """Boolean matrix of the pairs (row, column) that link and whose first block within its share is ``block``."""
-    dim = x.shape[1]
-    edges, shares = block_edges(dim, blocks), budgets(dim, blocks, cosine)
-    y = np.rint((x @ rotation(dim)) * STEPS)
+def tile_links(left: np.ndarray, right: np.ndarray, allowed, block: int, blocks: int,
+               cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (row of ``left``, row of ``right``) that link and whose first block within its share is ``block``.
 
-    def near(b):
-        z = y[:, edges[b]:edges[b + 1]]
-        s = (z * z).sum(axis=1)
-        return s[:, None] + s[None, :] - 2 * (z @ z.T) <= shares[b] * STEPS**2
-
-    found = near(block)
-    if not found.any():
-        return found
-    i, j = np.nonzero(found)
-    links = np.zeros_like(found)
-    # cosine, in double precision and slices: the exact test
-    for at in range(0, len(i), 1 << 16):
-        a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-        links[a, b] = (x[a] * x[b]).sum(axis=1) >= cosine
-    for b in range(block):
-        links &= ~near(b)
-    return links
+    ``allowed(i, j)`` says which pairs are meant. One product of the blocks, in single precision and
+    with room for its rounding, finds the candidates; the rest looks at these only.
+    """
+    dim = left.shape[1]
+    edges, shares, turn = block_edges(dim, blocks), budgets(dim, blocks, cosine), rotation(dim)
+    y, z = left @ turn, right @ turn
+    p, q = (v[:, edges[block]:edges[block + 1]].astype(np.float32) for v in (y, z))
+    near = (p * p).sum(axis=1)[:, None] + (q * q).sum(axis=1)[None, :]
+    near -= 2 * (p @ q.T)
+    i, j = np.nonzero(near <= shares[block] * 1.001 + 1e-5)
+    del near
+    keep = allowed(i, j)
+    i, j = i[keep], j[keep]
+    y, z = np.rint(y * STEPS), np.rint(z * STEPS)
+    linked = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 15):  # slices: a group of near copies has very many candidates
+        a, b = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+        # whole steps: the sums are exact, so every tile agrees which block is a pair's first
+        inside = np.add.reduceat((y[a] - z[b]) ** 2, edges[:-1], axis=1) <= np.array(shares) * STEPS**2
+        owned = inside[:, block] & ~inside[:, :block].any(axis=1)
+        owned[owned] = (left[a[owned]] * right[b[owned]]).sum(axis=1) >= cosine
+        linked[at:at + len(a)] = owned
+    return i[linked], j[linked]
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-                    cosine: float = 0.93, blocks: int = 4, grid: int = 1, tile_rows: int = 1024) -> DataFrame:
+                    cosine: float = 0.93, blocks: int = 4, grid: int = 1, tile_rows: int = 2048) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
     Vectors link if their labels are equal and not null, they have the same
@@ -147,7 +151,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     # equal vectors of a label: one class with its smallest id and its number of ids
     ids = given.where("vec is not null").select("vec", "vec_id").distinct()
-    classes = ids.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"))
+    # written, so that joins with it have a shuffle of their own, whose crowded keys can be split
+    classes = stored(ids.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many")), "classes")
     shown = (given.join(classes.withColumnRenamed("vec", "of"), (F.col("vec") == F.col("of"))
                         & (F.col("vec_id") == F.col("rep")))
              .select("vec", "rep", "many", "label", "packed", "cells").dropDuplicates(["vec"]))
@@ -168,32 +173,39 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         rep, many = t["rep"].to_numpy(), t["many"].to_numpy()
         cell, one, two = t["cell"][0].as_py(), t["one"][0].as_py(), t["two"][0].as_py()
         x = unit(np.stack([np.frombuffer(v) for v in t["packed"].to_pylist()]))
-        links = tile_links(x, int(cell.split("/")[1]), blocks, cosine)
         mine, home = t["mine"].to_numpy(), t["home"].to_numpy(zero_copy_only=False)
-        links &= home[:, None] | home[None, :]
-        if one != two:
-            links &= (mine[:, None] != mine[None, :])
-        np.fill_diagonal(links, False)
-        i, j = np.nonzero(links)
+        left, right = np.flatnonzero(mine == one), np.flatnonzero(mine == two)
+
+        def allowed(i, j):
+            meant = home[left[i]] | home[right[j]]
+            return meant & (i < j) if one == two else meant
+
+        i, j = tile_links(x[left], x[right], allowed, int(cell.split("/")[1]), blocks, cosine)
+        i, j = left[i], right[j]
         label = min_labels(len(rep), i, j)
         low = np.full(len(rep), np.iinfo(np.int64).max)
         np.minimum.at(low, label, rep)
-        n = links.astype(np.int64) @ many
+        n = np.zeros(len(rep), np.int64)
+        np.add.at(n, i, many[j])
+        np.add.at(n, j, many[i])
         got = n > 0
         return pa.table({"vec": t["vec"].filter(pa.array(got)), "rep": rep[got], "n": n[got],
                          "peer": low[label][got]})
 
     found = stored(dealt.groupBy("cell", "one", "two").applyInArrow(match, "vec string, rep long, n long, peer long"),
                    "links")
-    component = connected_components(found.select(F.col("rep").alias("a"), F.col("peer").alias("b")).union(
-        # classes of one id, should it come with different vectors, and ids of one class
-        ids.join(classes, "vec").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))))
+    # copies follow their class; only an id that comes with several vectors links classes by itself
+    several = (ids.groupBy(F.col("vec_id").alias("id")).agg(F.min("vec").alias("low"), F.max("vec").alias("high"))
+               .where("low <> high").select("id"))
+    own = (ids.join(several, F.col("vec_id") == F.col("id")).join(classes, "vec")
+           .select(F.col("id").alias("a"), F.col("rep").alias("b")))
+    component = connected_components(found.select(F.col("rep").alias("a"), F.col("peer").alias("b")).union(own))
     per_class = classes.join(found.groupBy("vec").agg(F.sum("n").alias("n")), "vec", "left").select(
-        F.col("vec").alias("of"), (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"))
+        F.col("vec").alias("of"), "rep", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n"))
     return (given.select("vec_id", "vec").join(per_class, F.col("vec") == F.col("of"), "left")
-            .join(component, F.col("vec_id") == F.col("node"), "left")
+            .join(component, F.col("rep") == F.col("node"), "left")
             .select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component", "vec_id").alias("component_id"))
+                    F.coalesce("component", "rep", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 
