@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read
+from tillroll.llm.common import free_prefix, read
 
 #: (verdict, host, path): a rule fits its host and all subdomains, where the path starts with its path.
 PRODUCTION_RULES = [
@@ -92,7 +92,7 @@ def judge_urls(pages: DataFrame, rules, url: str = "url", default: str = "allow"
     A host with a space (U+0020) fits no rule; a rule with an empty host fits
     every host.
     """
-    spark = pages.sparkSession
+    spark, free = pages.sparkSession, free_prefix(pages)
     table = rule_table(spark, rules)
     urls = (pages.select(F.col(url).alias("_url")).where("_url is not null").distinct()
             .withColumns({"_host": host_of(F.col("_url")), "_path": path_of(F.col("_url"))}))
@@ -107,11 +107,12 @@ def judge_urls(pages: DataFrame, rules, url: str = "url", default: str = "allow"
             .where(F.rlike(F.concat("_host", F.lit(" "), "_path"), F.col("pattern"))))
     order = F.struct(-F.length("rule"), -F.length("rule_host"), F.col("verdict") != "block", "rule")
     best = (fits.groupBy("_url").agg(F.min_by(F.struct("rule", "verdict"), order).alias("best"))
-            .select("_url", F.col("best.rule").alias("_rule"), F.col("best.verdict").alias("_verdict")))
+            .select(F.col("_url").alias(f"{free}url"), F.col("best.rule").alias(f"{free}rule"),
+                    F.col("best.verdict").alias(f"{free}verdict")))
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    return (pages.join(best, F.col(url) == F.col("_url"), "left")
+    return (pages.join(best, F.col(url) == F.col(f"{free}url"), "left")
             .select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
-                    F.col("_rule").alias("rule"), F.coalesce("_verdict", F.lit(default)).alias("verdict")))
+                    F.col(f"{free}rule").alias("rule"), F.coalesce(f"{free}verdict", F.lit(default)).alias("verdict")))
 
 
 def query(spark, sf_dir):
