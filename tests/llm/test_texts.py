@@ -60,8 +60,10 @@ def brute_units(rows, unit_words, reach):
     """Spans to remove, by comparing the units' normalised words themselves."""
     found = []
     for i, t in rows:
-        _, _, spans = rep.units(t, unit_words, reach)
-        found += [(tuple(words(t[a:b])), i, a, b) for a, b in spans]
+        _, _, start, end, line = rep.units(t, unit_words, reach)
+        for a, b, whole in zip(start.tolist(), end.tolist(), line):
+            w = tuple(words(t[a:b]))
+            found.append(((whole, w if whole else w[:unit_words]), i, a, b))
     first = {}
     for u, i, _, _ in found:
         first[u] = min(i, first.get(u, i))
@@ -79,6 +81,18 @@ def test_passages_equal_brute_force(spark):
     assert got
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from("aA zZ é\t\n\r\x0b\x1c\xa0 😀"), max_size=60))
+def test_hashed_words(text):
+    """Equal hashes for equal words, and their places in code points."""
+    h, begin, line = rep.hashed_words(text)
+    found = [m for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    assert begin.tolist() == [m.start() for m in found]
+    assert line.tolist() == [text[:m.start()].count("\n") for m in found]
+    w = [m[0].encode().lower() for m in found]
+    assert len(set(zip(w, h.tolist()))) == len(set(w)) == len(set(h.tolist()))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 9))
 def test_picked_covers_every_window(values, reach):
@@ -92,7 +106,7 @@ def test_picked_covers_every_window(values, reach):
 def test_passage_edge_cases(spark):
     same = " ".join(f"x{k}" for k in range(60))
     rows = [(None, same), (1, None), (2, ""), (3, "short"), (4, same), (4, same), (5, same), (5, same), (6, same * 2)]
-    df = spark.createDataFrame([(*x, "r", 1) for x in rows], "doc_id long, text string, removed string, ONE int")
+    df = spark.createDataFrame([(*x, "r", 1) for x in rows], "doc_id long, text string, removed string, _OF int")
     got = rep.remove_repeated(df)
     assert got.columns.count("removed") == 1
     by = {}
@@ -255,7 +269,7 @@ def test_url_rules(spark):
     paths = ["", "/", "/es/", "/es", "/en/1", "/en/123/x", "/en/2", "/fr/", "/de/x?y", "/a.b", "/aXb", "/a.b/c#d", "/r+(x",
              "/de/://x", "//es/", "/\nes/"]
     urls = [f"{s}://{h}{p}" for s in ("http", "") for h in hosts for p in paths] + [None, "", "example.org/es/", "://", "http://"]
-    df = spark.createDataFrame([(k % 7, u, "h") for k, u in enumerate(urls * 2)], "page_id long, url string, host string")
+    df = spark.createDataFrame([(k % 7, u, "h") for k, u in enumerate(urls * 2)], "page_id long, url string, host string").withColumn("_url", F.lit(1))
     got = sorted(((x.url, x.host, x.path, x.rule, x.verdict) for x in url.judge_urls(df, rules).collect()), key=str)
     low = [(v, h.lower(), p) for v, h, p in rules]
     assert got == sorted(((u, *brute_verdict(u, low)) for u in urls * 2), key=str)

@@ -15,84 +15,93 @@ elsewhere they are removed, with their place in the original text retained.
 
 from __future__ import annotations
 
-import re
+import functools
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import append_columns, mix, read, signed
+from tillroll.llm.common import append_columns, free_prefix, mix, read, signed
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_BASE = 0x9E3779B97F4A7C15
 #: Odd numbers for two independent halves of a digest.
 _HALF = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
+@functools.lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    one = np.ones(1, np.uint64)
+    up, down = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
+    return (np.cumprod(np.concatenate([one, np.full(size, up)]), dtype=np.uint64),
+            np.cumprod(np.concatenate([one, np.full(size, down)]), dtype=np.uint64))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base of the polynomial hashes, and of its inverse modulo 2**64."""
+    up, down = _powers(max(1 << 16, 1 << n.bit_length()))
+    return up[:n + 1], down[:n + 1]
+
+
+def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hash of the values in each range, wherever it begins, by prefix sums."""
+    up, down = powers(len(values))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values) * up[:-1], dtype=np.uint64)])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+def hashed_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased), where each begins, and the line it stands in."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = (code == 32) | ((code >= 9) & (code <= 13))
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    if not len(begin):
+        return np.empty(0, np.uint64), begin, begin
+    low = code.astype(np.uint64)
+    low[(code >= 65) & (code <= 90)] += np.uint64(32)
+    return range_hashes(low, begin, end), begin, np.cumsum(code == 10)[begin]
+
+
 def picked(weights: np.ndarray, reach: int) -> np.ndarray:
     """Positions of the smallest weight (the rightmost of equals) of every ``reach`` neighbours, each once."""
-    n = len(weights) - reach + 1
-    if n <= 0:
+    if len(weights) < reach:
         return np.empty(0, np.int64)
-    best = np.arange(n) + reach - 1
-    low = weights[best].copy()
-    for back in range(reach - 2, -1, -1):
-        at = np.arange(n) + back
-        less = weights[at] < low
-        best[less], low[less] = at[less], weights[at][less]
-    return np.unique(best)
+    near = np.lib.stride_tricks.sliding_window_view(weights, reach)[:, ::-1]
+    return np.unique(np.arange(len(near)) + reach - 1 - near.argmin(axis=1))
 
 
-def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Digests (two halves) and spans of the units of a text; a span reaches to the next word behind it.
+def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, ...]:
+    """Digest (two halves), start, end and kind (whole line or not) of the units of a text.
 
     Units are the paragraphs that begin at picked words, and the whole lines of
-    ``unit_words`` words or more.
+    ``unit_words`` words or more. A unit reaches to the next word behind it. Equal
+    paragraphs that follow each other, as in a run of one word, are one unit.
     """
-    none = np.empty(0, np.uint64), np.empty(0, np.uint64), []
+    none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     if not text:
         return none
-    found = [m.span() for m in _WORD.finditer(text)]
-    if len(found) < unit_words:
+    h, begin, line = hashed_words(text)
+    n = len(h) - unit_words + 1
+    if n <= 0:
         return none
-    known: dict[str, int] = {}
-    h = np.empty(len(found), np.uint64)
-    for k, (a, b) in enumerate(found):
-        w = text[a:b]
-        v = known.get(w)
-        if v is None:
-            v = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass").lower())
-        h[k] = v
-    ends = [a for a, _ in found[1:]] + [len(text)]
-    first, second = (_rolling(h * half, unit_words) for half in _HALF)
-    at = picked(mix(first ^ second), reach)
-    spans = [(found[k][0], ends[k + unit_words - 1]) for k in at]
-    lines = _long_lines(text, found, unit_words)
-    extra = [(xxhash.xxh64_intdigest(h[a:b].tobytes(), 1), xxhash.xxh64_intdigest(h[a:b].tobytes(), 2)) for a, b in lines]
-    one = np.concatenate([first[at], np.array([x for x, _ in extra], np.uint64)])
-    two = np.concatenate([second[at], np.array([x for _, x in extra], np.uint64)])
-    return one, two, spans + [(found[a][0], ends[b - 1]) for a, b in lines]
-
-
-def _rolling(h: np.ndarray, n: int) -> np.ndarray:
-    """Polynomial hash of every run of ``n`` words, by prefix sums."""
-    base = np.uint64(0x9E3779B97F4A7C15)
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
-    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), base)]), dtype=np.uint64)
-    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(h), inverse)]), dtype=np.uint64)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(h) * power[:len(h)], dtype=np.uint64)])
-    return mix((total[n:] - total[:-n]) * back[:len(h) - n + 1])
-
-
-def _long_lines(text: str, found: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    """First and end word of each line of at least so many words."""
-    out, start = [], 0
-    for k in range(1, len(found) + 1):
-        if k == len(found) or "\n" in text[found[k - 1][1]:found[k][0]]:
-            if k - start >= least:
-                out.append((start, k))
-            start = k
-    return out
+    after = np.concatenate([begin[1:], [len(text)]])
+    at = np.arange(n)
+    one, two = (range_hashes(h * half, at, at + unit_words) for half in _HALF)
+    at = picked(mix(one ^ two), reach)
+    one, two, start, end = one[at], two[at], begin[at], after[at + unit_words - 1]
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])[:len(at)]
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(at)]]) - 1 if len(first) else first
+    one, two, start, end = one[first], two[first], start[first], end[last]
+    # whole lines: first word and the one behind the last, of those that are long enough
+    a = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    b = np.concatenate([a[1:], [len(h)]])
+    a, b = a[b - a >= unit_words], b[b - a >= unit_words]
+    if len(a):
+        one, two = (np.concatenate([x, mix(range_hashes(h * half, a, b))]) for x, half in zip((one, two), _HALF))
+        start, end = np.concatenate([start, begin[a]]), np.concatenate([end, after[b - 1]])
+    return one, two, start, end, np.arange(len(one)) >= len(first)
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -119,12 +128,13 @@ def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    unit_words: int = 35, reach: int = 16) -> DataFrame:
     """(doc_id, start, end) of every unit that a document with a smaller id holds too, in characters of the text."""
     def find(texts):
-        out = []
-        for t in texts:
-            one, two, spans = units(t, unit_words, reach)
-            out.append([{"one": int(a), "two": int(b), "start": s, "end": e}
-                        for a, b, (s, e) in zip(signed(one), signed(two), spans)])
-        return [out]
+        found = [units(t, unit_words, reach)[:4] for t in texts]
+        one, two, start, end = (np.concatenate(x) for x in zip(*found))
+        rows = pa.StructArray.from_arrays(
+            [pa.array(signed(one)), pa.array(signed(two)), pa.array(start.astype(np.int32)),
+             pa.array(end.astype(np.int32))], names=["one", "two", "start", "end"])
+        edges = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32)
+        return [pa.ListArray.from_arrays(edges, rows)]
 
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     found = append_columns(given.where("doc_id is not null"), ["text"],
@@ -153,10 +163,10 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A passage in very many documents is counted before the shuffle, and the join that
     brings it back can be split. An empty table stays empty.
     """
+    free = free_prefix(docs)
     spans = (repeated_units(docs, doc_id, text, unit_words, reach)
-             .groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-             .withColumnRenamed("doc_id", "_of"))
-    joined = docs.join(spans, F.col(f"`{doc_id}`").cast("long") == F.col("_of"), "left").drop("_of")
+             .groupBy(F.col("doc_id").alias(f"{free}of")).agg(F.collect_set(F.struct("start", "end")).alias(f"{free}spans")))
+    joined = docs.join(spans, F.col(f"`{doc_id}`").cast("long") == F.col(f"{free}of"), "left").drop(f"{free}of")
 
     def apply(texts, found):
         out, gone = [], []
@@ -166,8 +176,8 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             gone.append([{"start": a, "end": b} for a, b in s])
         return [out, gone]
 
-    return append_columns(joined, [text, "_spans"], f"`{text}` string, `{removed}` array<struct<start:int,end:int>>",
-                          apply, rows=256, drop=("_spans",))
+    return append_columns(joined, [text, f"{free}spans"], f"`{text}` string, `{removed}` array<struct<start:int,end:int>>",
+                          apply, rows=256, drop=(f"{free}spans",))
 
 
 def query(spark, sf_dir):
