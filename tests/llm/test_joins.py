@@ -89,20 +89,21 @@ def test_document_edge_cases(spark):
 
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.sampled_from([(90, 100), (80, 100), (1, 2)]))
-def test_linked_sets_share_a_part(common, left, right, t):
-    """Any two sets at the threshold have an equal part digest in a band where one of them is at home."""
+def test_linked_sets_share_a_rare_hash(common, left, right, t):
+    """Any two sets at the threshold share a hash of their rare parts, whatever the counts, and meet in a band."""
     num, den = t
     r = np.random.default_rng(common * 7919 + left * 61 + right)
-    h = np.unique(r.integers(0, 1 << 64, common + left + right, dtype=np.uint64))
-    h = r.permutation(h)
+    h = r.permutation(np.unique(r.integers(0, 1 << 64, common + left + right, dtype=np.uint64)))
     a, b = np.sort(h[:common + left]), np.sort(np.concatenate([h[:common], h[common + left:]]))
-    both = common
-    if den * both < num * (len(a) + len(b) - both):
+    if den * common < num * (len(a) + len(b) - common):
         return
     starts = ngr.band_starts(1 << 20)
-    (x, p), (y, q) = ngr.part_digests(a, num, den, starts), ngr.part_digests(b, num, den, starts)
-    assert (x[0] in y) or (y[0] in x)
-    assert set(p.tolist()) & set(q.tolist())
+    x, y = ngr.bands_of(len(a), num, den, starts), ngr.bands_of(len(b), num, den, starts)
+    assert x[0] in y or y[0] in x
+    for most in (2, 5, 200):
+        held = {int(k): int(r.integers(1, most)) for k in h} | {int(k): int(r.integers(2, most + 1)) for k in h[:common]}
+        p, q = (ngr.rare_part(s, np.array([held[int(k)] for k in s], np.uint8), num, den) for s in (a, b))
+        assert set(p.tolist()) & set(q.tolist())
 
 
 def test_sharing_over_many_slices(spark):

@@ -1,13 +1,13 @@
 """Jaccard join of documents on word n-grams, in size-banded tiles with bitmap signatures.
 
-Sets that reach the threshold have similar sizes, so sets are put into bands
-of sizes; a set also visits the bands of all smaller sizes that it may link
-with. A band fixes how many hashes two linked sets can differ in, D; the
-range of hash values is cut into D + 1 parts, so linked sets hold the same
-hashes in at least one part. Sets that share a part's digest are connected,
-and each connected group, band by band, makes the tiles in which sets are
-compared: first by hashed bitmaps (the bits in which two differ bound the
-overlap from above), then by exact intersection of the sorted hash arrays.
+Sets that reach the threshold share at least one n-gram among the rarest ones of
+each, taken in one order for all: by how many sets hold it, then by hash. N-grams
+that only one set holds link nothing, so a set that has many of them is done with.
+Sets that share a rare n-gram are connected, and each connected group, band by band of
+set sizes, makes the tiles in which sets are compared: first by hashed bitmaps
+(the bits in which two differ bound the overlap from above), then by exact
+intersection of the sorted hash arrays. A set also visits the bands of
+smaller sizes that it may link with.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
-    append_columns, mix, ngram_hashes, packed, packed_keys, read, ship, signed, slices, stored, unpacked, unpacked_keys,
+    mix, ngram_hashes, packed, packed_keys, read, ship, signed, slices, stored, unpacked, unpacked_keys,
     word_hashes, words,
 )
 from tillroll.llm.components import connected_components
@@ -57,35 +57,88 @@ def bands_of(size: int, num: int, den: int, starts: np.ndarray) -> list[int]:
     return list(range(own, low - 1, -1))
 
 
-def parts_of(band: int, num: int, den: int, starts: np.ndarray) -> int:
-    """One more than two linked sets can differ in, if the smaller one lies in the band."""
-    small = int(starts[band + 1]) - 1
-    large = small * den // num
-    return (den - num) * (small + large) // (den + num) + 1
+def rare_part(s: np.ndarray, held_by: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The rarest hashes of a set, of which any set that reaches the threshold with it shares one.
 
+    ``held_by`` counts the sets that hold each hash (a bound and a rounding alike
+    for all sets do no harm). Those that no other set holds are left out.
+    """
+    size = len(s) - -(-num * len(s) // den) + 1
+    rare = np.lexsort((s, held_by))[:size]
+    return s[rare[held_by[rare] > 1]]
 
-def part_digests(s: np.ndarray, num: int, den: int, starts: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """The bands of a set, and a digest of its hashes in each part of each of them."""
-    bands = bands_of(len(s), num, den, starts)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s), dtype=np.uint64)])
-    out = []
-    for b in bands:
-        n = parts_of(b, num, den, starts)
-        step = np.uint64((1 << 64) // n if n > 1 else 0)
-        cut = np.searchsorted(s, np.arange(1, n, dtype=np.uint64) * step)
-        cut = np.concatenate([[0], cut, [len(s)]])
-        held = total[cut[1:]] - total[cut[:-1]]
-        place = mix(np.arange(n, dtype=np.uint64) + np.uint64(b << 32))
-        out.append(mix(held ^ place) + np.diff(cut).astype(np.uint64))
-    return bands, np.concatenate(out)
+
+def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int = 8 << 20) -> DataFrame:
+    """doc_id, n_shingles, digest, bands, parts (rare hashes) and, where it has parts, text of each row.
+
+    Documents are dealt into blocks of about ``block_bytes`` of text by a hash of
+    id and text. A block sends its distinct hashes, cut to 48 bits, as sorted slices with the
+    number of its different sets that hold each; the sums come back.
+    """
+    starts = band_starts(1 << 40)
+    size = given.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"]
+    blocks_n = max(1, -(-(size or 0) // block_bytes))
+    cut_bits = np.uint64(16)
+    blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks_n)).cast("int"))
+
+    def block_sets(texts):
+        sets = []
+        for at in range(0, len(texts), 256):
+            sets += word_sets(texts[at:at + 256], n)
+        return sets, [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+
+    def block_keys(sets, digests):
+        """Distinct short hashes of the block's different sets, and how many sets hold each."""
+        different = {d: s for s, d in zip(sets, digests) if d is not None}
+        every = np.concatenate([np.empty(0, np.uint64), *(np.unique(s >> cut_bits) for s in different.values())])
+        return np.unique(every, return_counts=True)
+
+    def count(table: pa.Table) -> pa.Table:
+        keys, counts = block_keys(*block_sets(table["text"].to_pylist()))
+        edge = slices(keys << cut_bits, blocks_n)
+        full = np.flatnonzero(np.diff(edge))
+        cut = [slice(edge[k], edge[k + 1]) for k in full]
+        return pa.table({"slice": pa.array(full, pa.int32()),
+                         "block": pa.array([table["block"][0].as_py()] * len(full), pa.int32()),
+                         "keys": pa.array([packed_keys(keys[c]) for c in cut], pa.binary()),
+                         "counts": pa.array([packed(np.minimum(counts[c], 255).astype(np.uint8)) for c in cut], pa.binary())})
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [unpacked_keys(k) for k in table["keys"].to_pylist()]
+        counts = np.concatenate([unpacked(c, np.uint8) for c in table["counts"].to_pylist()])
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.minimum(np.bincount(at, counts, len(found)), 255).astype(np.uint8)[at]
+        edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        return pa.table({"block": table["block"], "slice": table["slice"],
+                         "totals": pa.array([packed(total[a:b]) for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
+
+    def describe(table: pa.Table, told: pa.Table) -> pa.Table:
+        sets, digests = block_sets(table["text"].to_pylist())
+        keys, _ = block_keys(sets, digests)
+        total = np.zeros(len(keys), np.uint8)
+        edge = slices(keys << cut_bits, blocks_n)
+        for k, t in zip(told["slice"].to_pylist(), told["totals"].to_pylist()):
+            total[edge[k]:edge[k + 1]] = unpacked(t, np.uint8)
+        parts = [rare_part(s, total[np.searchsorted(keys, s >> cut_bits)], num, den) if len(s) else s for s in sets]
+        return pa.table({
+            "doc_id": table["doc_id"], "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "digest": pa.array(digests, pa.binary()),
+            "bands": pa.array([bands_of(len(s), num, den, starts) if len(s) else [] for s in sets], pa.list_(pa.int32())),
+            "parts": pa.array([signed(p) for p in parts], pa.list_(pa.int64())),
+            "text": pa.array([t if len(p) else None for t, p in zip(table["text"].to_pylist(), parts)], pa.string())})
+
+    sent = blocks.groupBy("block").applyInArrow(count, "slice int, block int, keys binary, counts binary")
+    answers = sent.groupBy("slice").applyInArrow(answer, "block int, slice int, totals binary")
+    return (blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        describe, "doc_id long, n_shingles long, digest binary, bands array<int>, parts array<long>, text string"))
 
 
 def sharing(sets: DataFrame, slice_keys: int = 1_500_000) -> DataFrame:
-    """Links (a, b) between documents that share a part's digest: each to the smallest id that has it.
+    """Links (a, b) between documents that share one of their ``parts``: each to the smallest id that has it.
 
-    ``sets`` has doc_id and parts (digests). As most digests stand alone, tasks send them as
-    sorted slices with the smallest id of each, not as rows; about ``slice_keys`` digests
-    meet in one place, where a digest comes once from each run of documents, however many hold it.
+    Tasks send the parts as sorted slices with the smallest id of each, not as rows; about
+    ``slice_keys`` of them meet in one place, where each comes once from a run of
+    documents, however many hold it.
     """
     total = sets.agg(F.sum(F.size("parts")).alias("n")).first()["n"] or 0
     n = max(1, -(-total // slice_keys))
@@ -187,8 +240,7 @@ def tile_forest(ids: list[int], sets: list[np.ndarray], mine: np.ndarray, home:
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
-                      num: int = 80, den: int = 100, tile_hashes: int = 2_000_000, tile_rows: int = 2048,
-                      longest: int = 1 << 40) -> DataFrame:
+                      num: int = 80, den: int = 100, tile_hashes: int = 2_000_000, tile_rows: int = 2048) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a document's set
@@ -206,27 +258,13 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     at most ``tile_hashes`` hashes and ``tile_rows`` sets, so no task holds a group.
     """
     ship(docs.sparkSession)
-    starts = band_starts(min(longest, 1 << 40))
-
-    def describe(texts):
-        size, digest, bands, parts = [], [], [], []
-        for s in word_sets(texts, n):
-            size.append(len(s))
-            digest.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
-            b, p = part_digests(s, num, den, starts) if len(s) else ([], np.empty(0, np.uint64))
-            bands.append(b)
-            parts.append(signed(p))
-        return [size, digest, bands, parts]
-
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sets = stored(append_columns(
-        given, ["text"], "n_shingles long, digest binary, bands array<int>, parts array<long>", describe,
-        rows=256, drop=("text",)), "sets")
+    sets = stored(describe_sets(given, n, num, den), "sets")
     # written, so that joins with it have a shuffle of their own, whose crowded digests can be split
     classes = stored(sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
 
     group = stored(connected_components(sharing(sets)), "groups")
-    shown = (sets.select("doc_id", "digest", "n_shingles", "bands")
+    shown = (sets.where("text is not null").select("doc_id", "digest", "n_shingles", "bands")
              .join(classes.select(F.col("digest").alias("of"), "rep"),
                    (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep"))))
 
@@ -243,8 +281,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
              .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
              .select("rep", "digest", "component", "band", "home", "mine",
                      F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two")))
-    with_text = (given.withColumnRenamed("doc_id", "id")
-                 .join(dealt, F.col("id") == F.col("rep")).drop("id"))
+    with_text = (sets.where("text is not null").select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), "text")
+                 .join(dealt, (F.col("id") == F.col("rep")) & (F.col("of") == F.col("digest"))).drop("id", "of"))
 
     def match(table: pa.Table) -> pa.Table:
         t = table.sort_by("rep").to_pydict()
