@@ -95,7 +95,7 @@ def walk(starts: np.ndarray, count: np.ndarray, pair: np.ndarray, total: int, di
 
 
 def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: str = "text", kappa: float = 4.0,
-                block_bytes: int = 16 << 20) -> DataFrame:
+                block_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, training, n_tokens, n_known, train_tokens, base_score, score.
 
     ``training`` names a boolean column: true where a document is learned from
