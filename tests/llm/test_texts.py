@@ -120,6 +120,51 @@ def test_passage_edge_cases(spark):
     assert rep.remove_repeated(alone).first().text == run
 
 
+def brute_occurrences(rows, unit_words, reach):
+    """Spans to remove: every unit but the first of its normalised words, by (doc_id, start)."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        _, _, start, end, line = rep.units(t, unit_words, reach)
+        for a, b, whole in sorted(zip(start.tolist(), end.tolist(), line)):
+            w = tuple(words(t[a:b]))
+            u = whole, w if whole else w[:unit_words]
+            if u in seen:
+                out.setdefault(i, []).append((a, b))
+            seen.add(u)
+    return {i: rep.merged(s) for i, s in out.items()}
+
+
+def test_passages_repeated_inside_one_document(spark):
+    r = random.Random(3)
+
+    def some(n):
+        return " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+
+    passage, period = some(60), some(20) + " "
+    inside = " ".join([some(40), passage, some(50), passage, some(45), passage])
+    rows = [(1, inside), (2, period * 10), (3, some(200)), (4, some(70) + " " + passage), (4, some(90)),
+            (None, passage + " " + passage), (5, some(50) + " " + period * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # by text and id: the rows of 4 have texts of their own
+    old = {(i, t[:60]): t for i, t in rows}
+    got = {next(k for k in old if k[0] == x.doc_id and x.text[:60] == k[1]): x for x in rep.remove_repeated(df).collect()}
+    assert len(got) == len(rows)
+    for k, x in got.items():
+        assert x.text == rep.cut(old[k], [(s.start, s.end) for s in x.removed])
+    first = got[1, inside[:60]]
+    assert first.text.count(passage) == 1 and len(first.text.split()) <= 40 + 60 + 50 + 45 + 2 * 30
+    assert all(s.start > inside.index(passage) + len(passage) for s in first.removed)
+    assert [bool(got[k].removed) for k in old] == [True, False, False, True, False, False, True]
+
+
+def test_passages_equal_occurrences_by_brute_force(spark):
+    df = docs_of(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    rows = [tuple(x) for x in df.collect()]
+    got = {x.doc_id: [(s.start, s.end) for s in x.removed] for x in rep.remove_repeated(df).collect() if x.removed}
+    assert got == brute_occurrences(rows, 35, 16)
+    assert got != brute_units(rows, 35, 16)  # a first holder repeats a passage
+
+
 # --- decontamination
 
 def brute_tiles(a, b, n):

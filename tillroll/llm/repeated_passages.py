@@ -9,8 +9,9 @@ are longer than their distance, the paragraphs of a passage cover it without gap
 (up to ``reach - 1`` words at either end).
 
 Units are normalised (A-Z lower-cased, white space as one space), their
-digests grouped over all documents, and kept in the document with the smallest id;
-elsewhere they are removed, with their place in the original text retained.
+digests grouped over all documents, and the first occurrence of each is kept, by
+document id and place in the text; all others are removed, in the same document
+too, with their place in the original text retained.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import append_columns, free_prefix, mix, read, signed
@@ -76,7 +77,8 @@ def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, ..
 
     Units are the paragraphs that begin at picked words, and the whole lines of
     ``unit_words`` words or more. A unit reaches to the next word behind it. Equal
-    paragraphs that follow each other, as in a run of one word, are one unit.
+    paragraphs that follow each other, as in a run of one word, or that overlap,
+    as in a text that repeats every few words, are one unit.
     """
     none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     if not text:
@@ -94,6 +96,14 @@ def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, ..
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(at)]]) - 1 if len(first) else first
     one, two, start, end = one[first], two[first], start[first], end[last]
+    order = np.lexsort((start, two, one))  # equal units side by side, by place
+    one, two, start, end = one[order], two[order], start[order], end[order]
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (start[1:] >= end[:-1])])[:len(order)]
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(order)]]) - 1 if len(first) else first
+    one, two, start, end = one[first], two[first], start[first], end[last]
+    order = np.argsort(start)
+    one, two, start, end = one[order], two[order], start[order], end[order]
     # whole lines: first word and the one behind the last, of those that are long enough
     a = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
     b = np.concatenate([a[1:], [len(h)]])
@@ -124,9 +134,18 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out)
 
 
+def text_key(text: str) -> Column:
+    """Tells the texts of one id apart, of rows that repeat it."""
+    return F.xxhash64(f"`{text}`")
+
+
 def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    unit_words: int = 35, reach: int = 16) -> DataFrame:
-    """(doc_id, start, end) of every unit that a document with a smaller id holds too, in characters of the text."""
+    """(doc_id, key, start, end) of every unit but the first of its digest, in characters of the text.
+
+    Units are in order of document, text (its ``text_key``) and place. Rows that
+    repeat an id and its text are one text.
+    """
     def find(texts):
         found = [units(t, unit_words, reach)[:4] for t in texts]
         one, two, start, end = (np.concatenate(x) for x in zip(*found))
@@ -136,37 +155,42 @@ def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         edges = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32)
         return [pa.ListArray.from_arrays(edges, rows)]
 
-    given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_key(text).alias("key"),
+                        F.col(f"`{text}`").alias("text"))
     found = append_columns(given.where("doc_id is not null"), ["text"],
                            "units array<struct<one:long,two:long,start:int,end:int>>",
-                           find, rows=256, drop=("text",)).select("doc_id", F.explode("units").alias("u"))
-    found = found.select("doc_id", "u.one", "u.two", "u.start", "u.end")
-    shared = (found.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first < last").select("one", "two", "first"))
-    return found.join(shared, ["one", "two"]).where("doc_id <> first").select("doc_id", "start", "end")
+                           find, rows=256, drop=("text",)).select("doc_id", "key", F.explode("units").alias("u"))
+    found = found.select("doc_id", "key", "u.one", "u.two", "u.start", "u.end")
+    place = F.struct("doc_id", "key", "start")
+    shared = (found.groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+              .where("n > 1").select("one", "two", "first"))
+    return found.join(shared, ["one", "two"]).where(place != F.col("first")).select("doc_id", "key", "start", "end")
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     unit_words: int = 35, reach: int = 16, removed: str = "removed") -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; column ``removed`` holds their (start, end) in the old text.
 
-    A passage stays in the document with the smallest id, wherever it stands
-    there and however often; repeats within one document are left alone. A cut
+    A passage stays where it first stands in the document with the smallest id;
+    all others are cut, in that document too. A run that repeats so closely that its units
+    overlap themselves (every ``unit_words - 1`` words or less) is one passage. A cut
     takes the white space behind it along. Passages of at least
     ``unit_words + reach - 1`` words (50) are found for sure, shorter ones than
     ``unit_words`` never. Offsets count code points, of the whole text.
 
     Null and empty texts and short ones stay as they are, with ``removed``
     empty. Rows with a null id are left alone. Rows that repeat an id are one
-    document: they share what is cut, if their texts are the same (of different
-    texts each loses the spans found in any). Column ``removed`` is replaced if it is there.
+    document: with the same text they share what is cut, of different texts
+    each loses its own spans. Column ``removed`` is replaced if it is there.
     A passage in very many documents is counted before the shuffle, and the join that
     brings it back can be split. An empty table stays empty.
     """
     free = free_prefix(docs)
     spans = (repeated_units(docs, doc_id, text, unit_words, reach)
-             .groupBy(F.col("doc_id").alias(f"{free}of")).agg(F.collect_set(F.struct("start", "end")).alias(f"{free}spans")))
-    joined = docs.join(spans, F.col(f"`{doc_id}`").cast("long") == F.col(f"{free}of"), "left").drop(f"{free}of")
+             .groupBy(F.col("doc_id").alias(f"{free}of"), F.col("key").alias(f"{free}key"))
+             .agg(F.collect_set(F.struct("start", "end")).alias(f"{free}spans")))
+    joined = docs.join(spans, (F.col(f"`{doc_id}`").cast("long") == F.col(f"{free}of"))
+                       & (text_key(text) == F.col(f"{free}key")), "left").drop(f"{free}of", f"{free}key")
 
     def apply(texts, found):
         out, gone = [], []
