@@ -323,6 +323,17 @@ def test_url_rules(spark):
     assert {x.verdict for x in url.judge_urls(df, none).collect()} == {"allow"}
 
 
+def test_url_rules_hosts_with_spaces(spark):
+    rules = [*url.PRODUCTION_RULES, ("block", "b c.net", "/"), ("block", "", "/any"), ("block", "net", "")]
+    expected = {"http://a b.example.org/es/x": ("example.org/es/", "block"), "http:// example.org/es/": ("org/", "allow"),
+                "http://example.org /es/": (None, "allow"), "http://b c.net/x y": ("b c.net/", "block"),
+                "http://a\n.b c.net/": ("b c.net/", "block"), "http://xb c.net/": ("net", "block"),
+                "http://a b/any": ("/any", "block"), "http://example.org/es / x": ("org/", "allow"),
+                "http://a b.net\n/": (None, "allow")}
+    df = spark.createDataFrame([(u,) for u in expected], "url string")
+    assert {x.url: (x.rule, x.verdict) for x in url.judge_urls(df, rules).collect()} == expected
+
+
 def test_url_rules_run_no_python(spark):
     plan = url.query(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -55,7 +55,7 @@ def _quoted(text: Column) -> Column:
 
 
 def rule_table(spark, rules) -> DataFrame:
-    """Rules as rows: verdict, rule (host and path as one string), its regular expression and tokens.
+    """Rules as rows: verdict, rule (host and path as one string), its regular expressions for host and path, and tokens.
 
     ``rules`` is a list of (verdict, host, path) or a DataFrame with these columns.
     """
@@ -69,9 +69,9 @@ def rule_table(spark, rules) -> DataFrame:
     host, path = F.translate("host", _UPPER, _LOWER), F.coalesce(F.col("path"), F.lit(""))
     return df.select("verdict", host.alias("rule_host"), path.alias("rule_path")).select(
         "verdict", "rule_host", F.concat("rule_host", "rule_path").alias("rule"),
-        F.concat(F.when(F.col("rule_host") == "", r"(?s)\A[^ ]*").otherwise(
-            F.concat(F.lit(r"(?s)\A(?:[^ ]*\.)?"), _quoted(F.col("rule_host")))),
-            F.lit(" "), _quoted(F.col("rule_path"))).alias("pattern"),
+        F.when(F.col("rule_host") == "", "").otherwise(
+            F.concat(F.lit(r"(?s)\A(?:.*\.)?"), _quoted(F.col("rule_host")), F.lit(r"\z"))).alias("host_pattern"),
+        F.concat(F.lit(r"\A"), _quoted(F.col("rule_path"))).alias("path_pattern"),
         _rule_tokens(F.col("rule_host"), F.col("rule_path")).alias("tokens"))
 
 
@@ -80,7 +80,7 @@ def judge_urls(pages: DataFrame, rules, url: str = "url", default: str = "allow"
 
     Every rule is filed under the one of its literal tokens that the fewest
     of the distinct URLs have; a URL's tokens fetch the rules filed under them
-    and only these run their regular expression. The longest fitting rule
+    and only these run their regular expressions. The longest fitting rule
     (host and path together) wins; of equally long ones the longer host, then
     ``block``, then the smaller string. Without a fitting rule: rule null and
     verdict ``default``.
@@ -89,8 +89,7 @@ def judge_urls(pages: DataFrame, rules, url: str = "url", default: str = "allow"
     default verdict. Rows are kept as they are, repeated ones too; the work is
     done once per distinct URL. An empty table of pages or rules is fine.
     Columns named host, path, rule or verdict in ``pages`` are replaced.
-    A host with a space (U+0020) fits no rule; a rule with an empty host fits
-    every host.
+    A rule with an empty host fits every host.
     """
     spark, free = pages.sparkSession, free_prefix(pages)
     table = rule_table(spark, rules)
@@ -100,11 +99,10 @@ def judge_urls(pages: DataFrame, rules, url: str = "url", default: str = "allow"
     wanted = table.select(F.explode("tokens").alias("token")).distinct()
     counts = seen.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
     filed = (table.withColumn("token", F.explode("tokens")).join(counts, "token", "left")
-             .groupBy("verdict", "rule_host", "rule", "pattern")
+             .groupBy("verdict", "rule_host", "rule", "host_pattern", "path_pattern")
              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token")))
     fits = (seen.join(filed, "token")
-            .where(F.col("_host").contains(" ") == F.lit(False))
-            .where(F.rlike(F.concat("_host", F.lit(" "), "_path"), F.col("pattern"))))
+            .where(F.rlike("_host", F.col("host_pattern")) & F.rlike("_path", F.col("path_pattern"))))
     order = F.struct(-F.length("rule"), -F.length("rule_host"), F.col("verdict") != "block", "rule")
     best = (fits.groupBy("_url").agg(F.min_by(F.struct("rule", "verdict"), order).alias("best"))
             .select(F.col("_url").alias(f"{free}url"), F.col("best.rule").alias(f"{free}rule"),
