@@ -1,6 +1,8 @@
 """Ingest: nothing lost, nothing doubled, whatever arrives and wherever a run breaks off."""
 
+import csv
 import datetime as dt
+import io
 import os
 from decimal import Decimal
 
@@ -109,6 +111,18 @@ def test_each_file_under_its_own_header(spark, tmp):
     assert got == {"o-1": None, "o-2": "Amazon"}
 
 
+@pytest.mark.parametrize("extra", [["one"], ["", "two", "x, y"], ["one", "", 'say "three"', "two\nlines"]])
+def test_wide_rows_stay_whole_in_quarantine(spark, tmp, extra):
+    wide = [*_de(1, "o-2", settlement=""), *(extra if extra[0] else ["a", *extra])]
+    wide[5] = "x, y"
+    path = f"{tmp}/de/germany_sales_2025-03-01.csv"
+    _csv(path, DE_HEADER, [_de(1, "o-1"), [v.replace('"', '""') for v in wide]])
+    s = ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t")[0]
+    assert (s["rows"], s["wide_rows"], s["error"]) == (1, 1, None)
+    held = spark.read.parquet(f"{tmp}/t_quarantine").collect()
+    assert [next(csv.reader(io.StringIO(r["line"], newline=""))) for r in held] == [wide]
+
+
 def test_stray_preamble_goes_to_quarantine(spark, tmp):
     _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", DE_HEADER, [_de(1, "o-1")],
          preamble=["one cell", "Includes marketplace, seller and other transactions", '"x"'])
