@@ -91,3 +91,22 @@ def test_stages_on_odd_rows(spark):
     empty = spark.createDataFrame([], schema)
     for _, stage in pipe.STAGES:
         assert stage(spark, empty, SF).collect() == []
+
+
+def test_near_duplicates_by_row(spark):
+    """Different texts of one id all stay, near copies without an id are reduced."""
+    def some(name, more=""):
+        return " ".join(f"{name}{k}" for k in range(80)) + more
+
+    rows = [(7, some("a"), 1), (7, some("b"), 2), (7, some("b"), 2), (8, some("b", " more"), 3), (None, some("c"), 4),
+            (None, some("c", " more"), 4), (None, some("c"), 4), (None, some("a", " more"), 5), (9, some("d"), 6),
+            (3, some("d", " more"), 7), (None, some("e"), 8), (None, None, 9), (None, None, 9), (None, " ", 10), (5, None, 11),
+            (5, "", 12), (2, some("f"), 13), (2, some("f", " more"), 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int")
+    stage = dict(pipe.STAGES)["near_duplicates"]
+    got = stage(spark, docs, SF)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert sorted(x._key for x in found) == [1, 2, 4, 7, 8, 9, 9, 10, 11, 12, 13]
+    assert {x.doc_id for x in found} == {None, 2, 3, 5, 7}
+    assert stage(spark, docs.limit(0), SF).collect() == []
