@@ -5,7 +5,7 @@ import glob
 
 from test_io_clean import DE_HEADER, US_HEADER, _csv
 
-from tillroll.plans.daily import MarketSource, ingest, run_daily, update_results
+from tillroll.plans.daily import MarketSource, ingest, read_results, run_daily, update_results
 from tillroll.operators.results import RESULTS_SCHEMA
 
 
@@ -40,7 +40,7 @@ def test_daily_run_end_to_end(spark, tmp):
     assert ingest(spark, sources, f"{tmp}/clean") == 0
     s2 = run_daily(spark, sources, f"{tmp}/clean", f"{tmp}/results", "2025-03-21", "EU", f"{tmp}/html")
     assert sorted(map(tuple, s2.collect())) == sorted(map(tuple, first))
-    assert spark.read.parquet(f"{tmp}/results").count() == 2
+    assert read_results(spark, f"{tmp}/results").count() == 2
 
 
 def test_update_results_group_replacement_keeps_other_dates(spark, tmp):
@@ -51,7 +51,7 @@ def test_update_results_group_replacement_keeps_other_dates(spark, tmp):
     new = spark.createDataFrame([(d1, "EU - A", 9.0, 0.0, 9.0)], RESULTS_SCHEMA)
     update_results(spark, f"{tmp}/r", new, group_prefix="EU")
     rows = sorted((r["report_date"], r["market"], r["total_estimation"])
-                  for r in spark.read.parquet(f"{tmp}/r").collect())
+                  for r in read_results(spark, f"{tmp}/r").collect())
     assert rows == [(d1, "EU - A", 9.0), (d1, "US", 5.0), (d2, "EU - A", 3.0)]
 
 
@@ -61,7 +61,7 @@ def test_group_replacement_can_empty_a_date(spark, tmp):
         [(d1, "EU - A", 1.0, 1.0, 2.0), (d2, "US", 3.0, 0.0, 3.0)], RESULTS_SCHEMA))
     update_results(spark, f"{tmp}/r", spark.createDataFrame([], RESULTS_SCHEMA),
                    group_prefix="EU", report_date=d1)
-    rows = sorted((r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/r").collect())
+    rows = sorted((r["report_date"], r["market"]) for r in read_results(spark, f"{tmp}/r").collect())
     assert rows == [(d2, "US")]
 
 

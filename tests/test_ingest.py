@@ -17,7 +17,8 @@ from tillroll.operators import estimate as E
 from tillroll.operators.clean import parse_report_datetime, with_report_datetime
 from tillroll.operators.results import RESULTS_SCHEMA, from_json_text
 from tillroll.plans import daily as D
-from tillroll.plans.daily import MarketSource, ingest, ingest_status, read_day_totals, run_daily, update_results
+from tillroll.plans.daily import (MarketSource, file_states, ingest, ingest_status, read_clean, read_day_totals,
+                                  read_quarantine, read_results, run_daily, update_results)
 from tillroll.sources.reports import read_report
 from tillroll.sources.sinks import publish_all, write_report_html
 
@@ -33,7 +34,7 @@ def _src(folder, market="EU - Germany", profile="de"):
 
 
 def _rows(spark, table):
-    return sorted((r["market"], r["order_id"]) for r in spark.read.parquet(table).collect())
+    return sorted((r["market"], r["order_id"]) for r in read_clean(spark, table).collect())
 
 
 def test_rows_with_blank_cells_are_data(spark, tmp):
@@ -62,16 +63,26 @@ def test_only_report_names_count(spark, tmp):
 def test_crash_before_the_manifest_doubles_nothing(spark, tmp, monkeypatch):
     for d in (1, 2):
         _csv(f"{tmp}/de/germany_sales_2025-03-0{d}.csv", DE_HEADER, [_de(d, f"o-{d}"), _de(d, f"n-{d}", when="??")])
-    good = D.MANIFEST_SCHEMA
-    monkeypatch.setattr(D, "MANIFEST_SCHEMA", "nonsense")  # the manifest's write fails, all before it is done
-    assert ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t", day_table=f"{tmp}/days")[0]["error"]
-    monkeypatch.setattr(D, "MANIFEST_SCHEMA", good)
+    good = D.commit
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    monkeypatch.setattr(D, "commit", broken)               # all is written but for the commit
+    assert "lost" in ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t", day_table=f"{tmp}/days")[0]["error"]
+    assert spark.read.parquet(f"{tmp}/t").count() == 2
+    monkeypatch.setattr(D, "commit", lambda spark, table, *a, **k: (
+        broken() if table.endswith("days") else good(spark, table, *a, **k)))      # the day totals are not reached
+    assert "lost" in ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t", day_table=f"{tmp}/days")[0]["error"]
+    assert read_day_totals(spark, f"{tmp}/days").count() == 0
+    monkeypatch.setattr(D, "commit", good)
     s = ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t", day_table=f"{tmp}/days")[0]
-    assert (s["files"], s["rows"], s["bad_dates"], s["error"]) == (2, 2, 2, None)
+    assert (s["files"], s["error"]) == (0, None)            # taken before; the totals catch up
+    assert [(r["state"], r["rows"], r["bad_dates"]) for r in file_states(spark, f"{tmp}/t").collect()] == [("taken", 1, 1)] * 2
     assert _rows(spark, f"{tmp}/t") == [("EU - Germany", "o-1"), ("EU - Germany", "o-2")]
     assert sorted((r["date"].day, r["cents"]) for r in read_day_totals(spark, f"{tmp}/days").collect()) == [
         (1, 1000), (2, 1000)]
-    assert spark.read.parquet(f"{tmp}/t_quarantine").count() == 2
+    assert read_quarantine(spark, f"{tmp}/t").count() == 2
 
 
 def test_a_new_version_of_a_file_replaces_the_old(spark, tmp):
@@ -84,6 +95,112 @@ def test_a_new_version_of_a_file_replaces_the_old(spark, tmp):
     assert [r["cents"] for r in read_day_totals(spark, f"{tmp}/days").collect()] == [3000]
 
 
+def test_versions_without_good_rows_leave_nothing_behind(spark, tmp):
+    path, days = f"{tmp}/de/germany_sales_2025-03-01.csv", f"{tmp}/days"
+    src = [_src(f"{tmp}/de")]
+    _csv(path, DE_HEADER, [_de(1, "o-1"), _de(1, "o-2"), _de(1, "bad", when="??")])
+    _csv(f"{tmp}/de/germany_sales_2025-03-02.csv", DE_HEADER, [_de(2, "p-1")])
+    s = ingest_status(spark, src, f"{tmp}/t", day_table=days)[0]
+    assert (s["files"], s["rows"], s["bad_dates"]) == (2, 3, 1)
+    _csv(path, DE_HEADER, [_de(1, "bad", when="???")])
+    s = ingest_status(spark, src, f"{tmp}/t", day_table=days)[0]
+    assert (s["files"], s["rows"], s["bad_dates"]) == (1, 0, 1)
+    assert [o for _, o in _rows(spark, f"{tmp}/t")] == ["p-1"]
+    assert [(r["date"].day, r["cents"]) for r in read_day_totals(spark, days).collect()] == [(2, 1000)]
+    _csv(path, ["no", "report"], [("a", "b")])                 # refused: the version before stays in force
+    _csv(f"{tmp}/de/germany_sales_2025-03-02.csv", ["no", "report"], [("a", "b")])
+    s = ingest_status(spark, src, f"{tmp}/t", day_table=days)[0]
+    assert (s["files"], s["refused"]) == (0, 2) and "0 headers" in s["error"] and "1 more" in s["error"]
+    assert [o for _, o in _rows(spark, f"{tmp}/t")] == ["p-1"]
+    os.remove(path)
+    s = ingest_status(spark, src, f"{tmp}/t", day_table=days)[0]
+    assert (s["gone"], s["refused"], s["error"]) == (1, 0, None)      # the other is not read again
+    assert sorted(r["state"] for r in file_states(spark, f"{tmp}/t").collect()) == ["gone", "refused"]
+    _csv(path, DE_HEADER, [_de(3, "o-9")])
+    assert ingest(spark, src, f"{tmp}/t", day_table=days) == 1
+    assert [o for _, o in _rows(spark, f"{tmp}/t")] == ["o-9", "p-1"]
+    full = E.daily_cents(read_clean(spark, f"{tmp}/t").withColumnRenamed("product_sales", "amount"))
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, read_day_totals(spark, days).collect()))
+    folders = [p for p, subs, _ in os.walk(days) if os.path.basename(p).startswith("run_id=")]
+    assert len(folders) <= 2                                  # one month
+
+
+def test_a_refused_file_blocks_neither_stream_nor_market(spark, tmp):
+    from tillroll.streaming.ingest import run_ingest
+    go = lambda: run_ingest(spark, f"{tmp}/de", f"{tmp}/t", f"{tmp}/cp", "de", "EU - Germany", max_files=1)
+    _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", ["broken"], [])
+    go()
+    for d in (2, 3):
+        _csv(f"{tmp}/de/germany_sales_2025-03-0{d}.csv", DE_HEADER, [_de(d, f"o-{d}")])
+    go()
+    assert [o for _, o in _rows(spark, f"{tmp}/t")] == ["o-2", "o-3"]
+    states = sorted((r["state"], r["reason"]) for r in file_states(spark, f"{tmp}/t").collect() if r["state"] == "refused")
+    assert states == [("refused", "0 headers found")]
+    assert ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t")[0]["error"] is None     # the batch form knows it too
+    _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", DE_HEADER, [_de(1, "o-1")])
+    assert ingest(spark, [_src(f"{tmp}/de")], f"{tmp}/t") == 1
+
+
+def test_full_width_reports_are_planned_at_once(spark, tmp):
+    import time
+
+    from conftest import SF_SMALL
+
+    from tillroll.operators.clean import clean
+    from tillroll.operators.dims import sku_first
+    from tillroll.plans import bindings as B
+    dim = sku_first(B.sku_dim_raw(spark, SF_SMALL))
+    for p, width in (("us", 30), ("fr", 27)):
+        raw = B.raw_report(spark, SF_SMALL, p)
+        assert len(raw.columns) == width
+        raw.limit(50).coalesce(1).write.option("header", True).csv(f"{tmp}/{p}")
+        out = clean(read_report(spark, f"{tmp}/{p}"), p, sku_dim=dim).join(dim, "sku")
+        start = time.perf_counter()
+        out._jdf.queryExecution().executedPlan()
+        assert time.perf_counter() - start < 5                # seconds; doubled with every column before
+        assert out.count() > 0
+
+
+def test_a_hundred_thousand_names(spark, tmp):
+    for d in (1, 2, 3):
+        _csv(f"{tmp}/de/germany_sales_2025-03-0{d}.csv", DE_HEADER, [_de(d, f"o-{d}")])
+    real = D.list_files(spark, f"{tmp}/de", market_from_dir=False)
+    path = F.concat(F.lit(f"file://{tmp}/de/old/"), F.col("id").cast("string"), F.lit("/germany_sales_2024-01-01.csv"))
+    many = spark.range(100_000).select(path.alias("path"), F.lit("germany_sales_2024-01-01.csv").alias("file_name"),
+                                       F.lit(dt.datetime(2025, 1, 1)).alias("modified"), F.lit(1).cast("long").alias("size"))
+    s = D.take_files(spark, real.unionByName(many), _src(f"{tmp}/de"), f"{tmp}/t")
+    assert (s["files"], s["refused"], s["rows"]) == (3, 100_000, 3)
+    s = D.take_files(spark, real.unionByName(many), _src(f"{tmp}/de"), f"{tmp}/t")
+    assert (s["files"], s["refused"], s["gone"]) == (0, 0, 0)
+
+
+def test_rows_of_a_table_with_one_filled_cell_are_kept(spark, tmp):
+    _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", DE_HEADER, [_de(1, "o-1"), ("", "", "", "o-2", "", "", "", "", "")])
+    s = ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t")[0]
+    assert (s["rows"], s["sparse_rows"]) == (1, 1)
+    assert "o-2" in read_quarantine(spark, f"{tmp}/t").first()["line"]
+
+
+def test_an_update_of_the_results_shows_whole_or_not_at_all(spark, tmp, monkeypatch):
+    d1, d2 = dt.date(2025, 3, 1), dt.date(2025, 3, 2)
+    make = lambda x: spark.createDataFrame([(d, "EU - A", x, 0.0, x) for d in (d1, d2)], RESULTS_SCHEMA)
+    read = lambda: sorted((r["report_date"], r["actual_sales"]) for r in read_results(spark, f"{tmp}/r").collect())
+    update_results(spark, f"{tmp}/r", make(1.0))
+    good = D.commit
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    monkeypatch.setattr(D, "commit", broken)
+    with pytest.raises(OSError):
+        update_results(spark, f"{tmp}/r", make(2.0))
+    assert read() == [(d1, 1.0), (d2, 1.0)]
+    monkeypatch.setattr(D, "commit", good)
+    update_results(spark, f"{tmp}/r", make(3.0))
+    update_results(spark, f"{tmp}/r", spark.createDataFrame([], RESULTS_SCHEMA), group_prefix="EU", report_date=d1)
+    assert read() == [(d2, 3.0)]
+
+
 def test_unreadable_manifest_is_an_error_not_a_fresh_start(spark, tmp):
     _csv(f"{tmp}/de/germany_sales_2025-03-01.csv", DE_HEADER, [_de(1, "o-1")])
     ingest(spark, [_src(f"{tmp}/de")], f"{tmp}/t")
@@ -107,7 +224,7 @@ def test_each_file_under_its_own_header(spark, tmp):
     _csv(f"{tmp}/de/germany_sales_2025-03-04.csv", ["no", "header"], [("a", "b")])
     s = ingest_status(spark, [_src(f"{tmp}/de")], f"{tmp}/t")[0]
     assert (s["files"], s["rows"], s["wide_rows"]) == (2, 1, 1) and "2025-03-04.csv: 0 headers" in s["error"]
-    got = {r["order_id"]: r["fulfillment"] for r in spark.read.parquet(f"{tmp}/t").collect()}
+    got = {r["order_id"]: r["fulfillment"] for r in read_clean(spark, f"{tmp}/t").collect()}
     assert got == {"o-1": None, "o-2": "Amazon"}
 
 

@@ -48,6 +48,22 @@ def locale_rename(df: DataFrame, profile: LocaleProfile) -> DataFrame:
     return df.withColumnsRenamed(mapping) if mapping else df
 
 
+def canonical_header_names(names: F.Column, profile: LocaleProfile) -> F.Column:
+    """P1-P3, P5 for an array of header names: each name as ``normalize_header`` and ``locale_rename`` leave it."""
+    lookup = {_apostrophes(k): v for k, v in profile.headers.items()}
+    pairs = F.create_map(*[F.lit(x) for kv in lookup.items() for x in kv]) if lookup else None
+
+    def canonical(n):
+        n = F.translate(n, " /", "__")
+        if profile.strip_colon:
+            n = F.replace(n, F.lit(":"), F.lit(""))
+        if profile.lower_headers:
+            n = F.lower(n)
+        return n if pairs is None else F.coalesce(F.element_at(pairs, F.replace(n, F.lit("’"), F.lit("'"))), n)
+
+    return F.transform(names, canonical)
+
+
 def canonical_select(df: DataFrame, columns, extras=("market", "report_date", "source_file"),
                      fill_missing: bool = False, types: dict | None = None) -> DataFrame:
     """Canonical order; only columns that exist (or typed nulls if ``fill_missing``)."""

@@ -74,14 +74,3 @@ def from_json_text(docs: DataFrame, col: str = "json", strict: bool = True) -> D
     rows = entries.select(F.col("k"), F.inline("v"))
     return rows.select(F.to_date("k").alias("report_date"), "market", "actual_sales",
                        "estimated_sales", "total_estimation")
-
-
-def write_results(results: DataFrame, path: str) -> None:
-    """The keyed results table on disk: Parquet partitioned by report date.
-
-    With dynamic partition overwrite only the dates present are rewritten.
-    """
-    from tillroll.sources.sinks import salted
-    (salted(results.select(*RESULT_COLUMNS), ["report_date"])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("report_date").parquet(path))

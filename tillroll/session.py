@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,11 +43,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there. Only a local master may go without
-    (tests): then a fresh scratch folder is used; anywhere else it raises, as a
+    (tests): then a scratch folder of the application is used; anywhere else it raises, as a
     machine's own folder would be lost to the other executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -54,12 +58,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        d = _LOCAL_DIRS.get(app) or _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="tillroll-ckpt-"))
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; all of an application's lie below one folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tillroll-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: what follows neither plans nor runs the steps before again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

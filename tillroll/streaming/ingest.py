@@ -1,11 +1,12 @@
 """Daily pick-up of new report files as a Structured Streaming job.
 
 The stream is the folder's listing: its checkpoint remembers which files were
-taken, so a rerun (``trigger(availableNow=True)``) sees only files that arrived
-since. Each micro-batch hands its files to the same job as the batch form
-(``plans.daily.take_files``): every file is read under its own header and written to
-partitions of its own, so a replayed batch, after a failure between write
-and commit, replaces what it wrote. State is the tables themselves: late files
+listed, so a rerun (``trigger(availableNow=True)``) sees only files that arrived
+since. Each micro-batch hands its part of the listing to the same job as the batch form
+(``plans.daily.take_files``): every file is read under its own header, rows count once the
+run's commit is there, and a replayed batch, after a failure between commit and the
+stream's own checkpoint, finds nothing new. A file that is no report is recorded as refused and
+blocks nothing. State is the tables themselves: late files
 simply land there and the next estimate reads them, so no watermark is needed.
 """
 
@@ -14,12 +15,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillroll.plans.daily import MANIFEST_SCHEMA, MarketSource, side_tables, take_files
+from tillroll.plans.daily import MarketSource, take_files
 from tillroll.session import checkpoint_dir
-from tillroll.sources.files import fresh_files
-from tillroll.sources.sinks import read_if_there
+from tillroll.sources.files import listing_columns
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -32,25 +31,19 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     With ``day_table`` each batch also brings the day totals up to date.
     ``checkpoint`` defaults to a folder under the cluster's shared
     ``spark.checkpoint.dir``. A micro-batch takes at most ``max_files`` files. A file
-    without exactly one header fails the batch, after the others were written: the
-    next start takes it again.
+    without exactly one header goes to the table of file states as refused, with the reason, and
+    is met again when it changes.
     """
     if checkpoint is None:
         safe = "".join(ch if ch.isalnum() else "_" for ch in market)
         checkpoint = os.path.join(checkpoint_dir(spark), "ingest", safe)
     listing = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
-               .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files).load(source_dir)
-               .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"),
-                       F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.lit(market).alias("market")))
+               .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files)
+               .option("recursiveFileLookup", "true").load(source_dir).select(*listing_columns()))
     source = MarketSource(market, profile, source_dir)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        seen = read_if_there(batch.sparkSession, side_tables(table_path)["manifest"], MANIFEST_SCHEMA)
-        files = fresh_files(batch, seen).select("path", "file_id", "version").orderBy("path").collect()
-        if files:
-            status = take_files(batch.sparkSession, files, source, table_path, sku_dim, day_table)
-            if status["error"]:
-                raise ValueError(status["error"])
+        take_files(batch.sparkSession, batch, source, table_path, sku_dim, day_table, whole=False)
 
     w = listing.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
