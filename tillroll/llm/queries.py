@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tillroll.llm import (
-    decontaminate, embedding_dedup, html_text, language_id, lm_score, ngram_join, packing, repeated_passages,
-    token_files, url_rules,
+    decontaminate, embedding_dedup, html_text, language_id, lm_score, mixing, ngram_join, packing, repeated_passages,
+    spelling, token_align, token_files, url_rules,
 )
 
 QUERIES = {
@@ -18,6 +18,9 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_language_id": language_id.query,
     "op10_lm_score": lm_score.query,
+    "op11_spelling": spelling.query,
+    "op12_token_align": token_align.query,
+    "op13_mixing": mixing.query,
 }
 
 ORACLE = {
