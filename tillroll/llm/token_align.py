@@ -32,10 +32,13 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import read, ship, stored
 
 #: Characters' worth of remembered units a worker keeps; beyond, it starts afresh.
-REMEMBERED = 6_000_000
+REMEMBERED = 3_000_000
 #: Bytes of text aligned at a time.
 BATCH = 1 << 20
 
+# Fixed value: the pattern by which byte-level BPE files cut a text.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _UNITS = re.compile(r"(?<=\S) (?=\S)").split
 
 
@@ -67,9 +70,23 @@ class ByteLevel:
         before = config.get("pre_tokenizer") or {}
         self.apart = (config.get("normalizer") is None and before.get("type") == "ByteLevel"
                       and before.get("use_regex", True) and not before.get("add_prefix_space"))
+        self.ranked = self._by_rank(config["model"]) if self.apart else None
+
+    def _by_rank(self, model: dict):
+        """An encoder of the same file for ASCII texts, several times as fast, if its merges are in the order of ids."""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        made = [model["vocab"].get(a + b, -1) for a, b in merges]
+        if model["type"] != "BPE" or model.get("ignore_merges") or made != sorted(set(made)) or made[:1] <= [255]:
+            return None
+        import tiktoken
+        known = set(made)
+        ranks = {b: k for k, b in enumerate(self.bytes) if k in known or len(b) == 1}
+        return tiktoken.Encoding("units", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, units: list[str]) -> list[list[int]]:
         """Ids of units, which begin with the space."""
+        if self.ranked is not None and all(u.isascii() for u in units):
+            return [self.ranked.encode_ordinary(u) for u in units]
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
 
@@ -106,23 +123,47 @@ class Side:
         self.forget()
 
     def forget(self) -> None:
-        self.ids, self.first, self.number = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def learn(self, units: list[str]) -> list[bool]:
-        """Remember the units; which of them give their own bytes again."""
-        found = self.tokenizer.encode(units)
-        table = self.tokenizer.bytes
-        number = np.fromiter(map(len, found), np.int64, len(found))
-        begin = len(self.ids) + np.concatenate([[0], np.cumsum(number)[:-1]]) if len(found) else number
-        self.ids = np.concatenate([self.ids, *[np.array(f, np.int64) for f in found]])
-        self.first, self.number = np.concatenate([self.first, begin]), np.concatenate([self.number, number])
-        return [b"".join([table[k] for k in f]) == u.encode() for f, u in zip(found, units)]
+        self.ids, self.first, self.number = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, units: list[str], data: list[bytes], size: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """Remember the units (``data``: their bytes, ``size``: how many); which of them give their own bytes again.
+
+        Units that may stand next to each other (``apart``) are encoded as one text, which is cut at their ends;
+        where that does not give the bytes again, one by one.
+        """
+        first, number, good = (np.zeros(len(units), t) for t in (np.int64, np.int64, bool))
+        parts, at = [self.ids], len(self.ids)
+        left = [np.flatnonzero(~apart)]
+        plain = np.fromiter(map(str.isascii, units), bool, len(units))
+        for some in (*_chunks(np.flatnonzero(apart & plain), 4000), *_chunks(np.flatnonzero(apart & ~plain), 4000)):
+            ids = np.array(self.tokenizer.encode(["".join([units[k] for k in some])])[0], np.int32)
+            ends, upto = np.cumsum(self.widths[ids]), np.cumsum(size[some])
+            cut = np.searchsorted(ends, upto)
+            if (len(ids) and ends[-1] == upto[-1] and (ends[cut] == upto).all()
+                    and self._written(ids.tolist()) == b"".join([data[k] for k in some])):
+                cut = np.concatenate([[0], cut + 1])
+                first[some], number[some], good[some] = at + cut[:-1], np.diff(cut), True
+                parts.append(ids)
+                at += len(ids)
+            else:
+                left.append(some)
+        for some in _chunks(np.concatenate(left), 4000):
+            for k, ids in zip(some, self.tokenizer.encode([units[k] for k in some])):
+                first[k], number[k], good[k] = at, len(ids), self._written(ids) == data[k]
+                parts.append(np.array(ids, np.int32))
+                at += len(ids)
+        self.ids = np.concatenate(parts)
+        self.first, self.number = np.concatenate([self.first, first]), np.concatenate([self.number, number])
+        return good
+
+    def _written(self, ids) -> bytes:
+        return b"".join(map(self.tokenizer.bytes.__getitem__, ids))
 
     def tokens(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of units and how many each unit has."""
         n = self.number[units]
         at = np.repeat(self.first[units] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return self.ids[at], n
+        return self.ids[at].astype(np.int64), n
 
 
 class Batch:
@@ -182,7 +223,7 @@ class Aligner:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.good = np.empty(0, bool)
+        self.good, self.size = np.empty(0, bool), np.empty(0, np.int64)
         self.room = 0
         self.a.forget()
         self.b.forget()
@@ -200,9 +241,13 @@ class Aligner:
             self.forget()
         new = [u for u in dict.fromkeys(u for t in texts for u in t) if u not in self.place]
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-        self.room += sum(len(u) + 8 for u in new)
-        good = np.array(self.a.learn(new), bool) & np.array(self.b.learn(new), bool)
-        self.good = np.concatenate([self.good, good])
+        self.room += sum(map(len, new)) + 8 * len(new)
+        data = [u.encode() for u in new]
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        if new:
+            apart = np.fromiter((len(u) > 1 and not u[1].isspace() and not u[-1].isspace() for u in new), bool, len(new))
+            good = self.a.learn(new, data, size, apart) & self.b.learn(new, data, size, apart)
+            self.good, self.size = np.concatenate([self.good, good]), np.concatenate([self.size, size])
         return [np.fromiter(map(self.place.__getitem__, t), np.int64, len(t)) for t in texts]
 
     def batch(self, parts: list[np.ndarray]) -> Batch:
@@ -225,24 +270,25 @@ class Aligner:
         pending: list[np.ndarray] = []
         rows: list = []
         size = 0
-        for group in _grouped(texts, 256, BATCH):
+        for group in _grouped(texts, 256, BATCH // 2):
             split = [self.units(t) if t else [] for _, t in group]
             if self.room > REMEMBERED and pending:       # what is remembered is about to go
                 yield self.batch(pending), rows
                 pending, rows, size = [], [], 0
             none = []
-            for (row, text), places, units in zip(group, self.places(split), split):
+            for (row, _), places in zip(group, self.places(split)):
                 if not len(places) or not self.good[places].all():
                     none.append(row)
                     continue
-                width = np.cumsum([len(u.encode()) for u in units])
-                at = 0
+                width = np.cumsum(self.size[places])
+                at = begin = 0
                 while at < len(places):
-                    upto = max(at + 1, int(np.searchsorted(width, (width[at - 1] if at else 0) + BATCH)))
+                    # a long text goes on in the next batch
+                    upto = len(places) if width[-1] - begin <= BATCH else max(at + 1, int(np.searchsorted(width, begin + BATCH)))
                     pending.append(places[at:upto])
                     rows.append(row)
-                    size += int(width[upto - 1] - (width[at - 1] if at else 0))
-                    at = upto
+                    size += int(width[upto - 1] - begin)
+                    at, begin = upto, width[upto - 1]
                     if size >= BATCH:
                         yield self.batch(pending), rows
                         pending, rows, size = [], [], 0
@@ -252,6 +298,11 @@ class Aligner:
             yield self.batch(pending), rows
 
 
+def _chunks(items: np.ndarray, n: int):
+    for at in range(0, len(items), n):
+        yield items[at:at + n]
+
+
 def _grouped(texts, most: int, size: int):
     group, n = [], 0
     for row, text in texts:
@@ -334,7 +385,7 @@ def _blocks(given: DataFrame, a_path: str, b_path: str, block_bytes: int) -> Dat
                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys, pa.int64())),
                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()),
                                          pa.array(np.bincount(at, minlength=len(keys)), pa.int64())),
-                pa.array([at.astype(np.uint32).tobytes()], pa.binary())],
+                pa.array([at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32).tobytes()], pa.binary())],
                 names=["block", "row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha256", "pairs", "counts", "links"])
             parts, pairs, size, block = [], [], 0, block + 1
             return out
@@ -384,7 +435,7 @@ def _give(parts: list, row: int, digest: str) -> None:
 
 
 def alignment(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-              block_bytes: int = 6 << 20) -> DataFrame:
+              block_bytes: int = 3 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     ``a_path`` is a byte-level BPE file of the tokenizers library, ``b_path`` a sentencepiece model. Special tokens' strings are
@@ -409,7 +460,7 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id",
     def score(block: pa.Table, told: pa.Table) -> pa.Table:
         if not block.num_rows:
             return _SCORED.empty_table()
-        links = np.frombuffer(block["links"][0].as_py(), np.uint32)
+        links = np.frombuffer(block["links"][0].as_py(), np.uint16 if told.num_rows <= 1 << 16 else np.uint32)
         order = np.argsort(told["pair"].to_numpy(), kind="stable")      # the block's pairs are in this order
         total = told["total"].to_numpy()[order]
         first = told["best"].to_numpy(zero_copy_only=False)[order].astype(np.int64)
