@@ -56,9 +56,22 @@ def _part_pattern(config: dict) -> str | None:
     return before[0]["pattern"]["Regex"] if ok else None
 
 
-#: Characters that neither composition nor lower-casing by one rule or another tells apart.
-_PLAIN = "\\t\\n\\x0b\\x0c\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u024f"
-_PLAIN_TEXT = re.compile(f"[{_PLAIN}]*").fullmatch
+def _plain_characters() -> list[str]:
+    """Characters below U+0250 that are cut and lower-cased here as the tokenizer does it.
+
+    Each is lower-cased by itself to one character, which is below U+0250 too, so the pattern's letters
+    and numbers are those of this range; none is changed by composition. Of the control characters only white space.
+    """
+    def fits(c: str) -> bool:
+        low = c.lower()
+        return (len(low) == 1 and ord(low) < 0x250 and unicodedata.normalize("NFC", c) == c
+                and (unicodedata.category(c) not in ("Cc", "Cf", "Cn") or c in "\t\n\x0b\x0c\r")
+                and (c == " " or unicodedata.category(c)[0] != "Z"))
+
+    return [chr(k) for k in range(0x250) if fits(chr(k))]
+
+
+_PLAIN_TEXT = re.compile(f"[{re.escape(''.join(_plain_characters()))}]*").fullmatch
 
 
 def _for_plain_text(pattern: str) -> str:
