@@ -1,186 +1,335 @@
-"""Language-model scores by a weighted backoff automaton of word bigrams.
+"""Language-model scores by a weighted backoff automaton of word n-grams (operator 10).
 
-States are the root and each word as history; an arc reads a word and moves
-to that word's state. Arcs of seen bigrams weigh log10 of
+States are the histories seen in training, of up to ``order - 1`` words, and the root, which has none. An arc of
+state h reads a word v that was seen behind h, weighs log10 of the smoothed
 
-    p(v | u) = (c(u, v) + kappa * p(v)) / (c(u) + kappa),
+    p(v | h) = (c(h v) + kappa * p(v | h')) / (c(h) + kappa),        h': h without its oldest word,
 
-a state's failure arc to the root weighs log10 of kappa / (c(u) + kappa), and
-the root's arcs log10 of p(v) = (c(v) + 0.1) / (N + 0.1 * (V + 1)). As the
-state is the word last read, one pass from left to right needs the counts of each word
-and of each pair of neighbours, which the arrays below hold in reading order.
+and leads to the longest history that h v ends with. A state's failure arc reads nothing, weighs log10 of
+kappa / (c(h) + kappa) and leads to h'; the root's arcs weigh log10 of (c(v) + 0.1) / (N + 0.1 * (V + 1)) and
+read any word. One pass from left to right carries the state and adds up the weights.
 
-The counts cover all training documents, so they outgrow any one machine. Documents are
-dealt into blocks of bounded size. Each block sends its distinct n-grams with
-its own counts, sorted and cut into slices by key; a slice's total is made
-in one place and sent back to the blocks that asked for it. A block thus holds just the
-part of the automaton that its own documents walk through.
+The counts cover all training documents, so they outgrow any one machine. Texts are dealt into blocks of
+bounded size where they lie. Each block sends its distinct n-grams with its own counts, sorted and cut into
+slices by key; a slice's total is made in one place and sent back to the blocks that asked for
+it. A block thus builds just the part of the automaton that its own texts walk through. Long texts are cut into
+parts; a part's first state follows from the ``order - 1`` words before it.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
-    crc32_of_id, mix, packed, packed_keys, read, ship, slices, unpacked, unpacked_keys, words,
+    crc32_of_id, mix, packed, packed_keys, read, ship, slices, stored, unpacked, unpacked_keys,
 )
+from tillroll.llm.totals import SENT, corpus_totals, messages, slice_count
 
 #: Hashes of the end of a text and of the history before its first word; no word holds a space.
 END, START = np.uint64(xxhash.xxh64_intdigest(b" end")), np.uint64(xxhash.xxh64_intdigest(b" start"))
-_STEP, _ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
-
-
-def read_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of the texts, each text closed by its end, and where each text begins."""
-    known: dict[bytes, int] = {}
-    parts, sizes = [], []
-    for t in texts:
-        ws = words(t)
-        for w in ws:
-            if w not in known:
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Tokens of a part of a text.
+PART = 4096
+_SPACE = re.compile(rb"[\x20\x09-\x0D]").search
+
+
+def word_runs(text: str | None, room: int = 1 << 22):
+    """The text's words, A-Z lower-cased, in lists from at most about ``room`` bytes each."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    at = 0
+    while at < len(data):
+        cut = _SPACE(data, at + room) if at + room < len(data) else None
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()
+        at = end
+
+
+class Parts:
+    """Parts of texts, end to end: ``tokens`` are hashes, ``starts`` where each part begins, ``lead`` how many of its
+    first tokens are the words before it, which are read but not counted or scored."""
+
+    def __init__(self, order: int):
+        self.order, self.known = order, {}
+        self.pieces, self.sizes, self.lead, self.rows = [], [], [], []
+
+    def add(self, row, text: str | None) -> int:
+        """Cut a text into parts; returns its number of bytes."""
+        known, size = self.known, 0
+        held = np.array([START])
+        begun = False
+
+        def cut(tokens, last):
+            nonlocal held, begun
+            at = 0
+            while len(tokens) - at >= PART or (last and at < len(tokens)):
+                some = tokens[at:at + PART]
+                self.pieces += [held, some]
+                self.sizes.append(len(held) + len(some))
+                self.lead.append(len(held))
+                self.rows.append((row, begun))
+                begun = True
+                held = np.concatenate([held, some])[-(self.order - 1):] if self.order > 1 else held[:0]
+                at += PART
+            return tokens[at:]
+
+        rest = np.empty(0, np.uint64)
+        for words in word_runs(text):
+            for w in set(words).difference(known):
                 known[w] = xxhash.xxh64_intdigest(w)
-        parts += [np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), np.array([END])]
-        sizes.append(len(ws) + 1)
-    if not sizes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-
-
-def histories(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[starts] = START
-    return before
-
+            size += sum(map(len, words)) + len(words)
+            rest = cut(np.concatenate([rest, np.fromiter(map(known.__getitem__, words), np.uint64, len(words))]), False)
+        cut(np.concatenate([rest, np.array([END])]), True)
+        return size
 
-def word_keys(tokens: np.ndarray) -> np.ndarray:
-    """Even keys: single tokens."""
-    return mix(tokens) & ~_ONE
+    def arrays(self):
+        tokens = np.concatenate(self.pieces) if self.pieces else np.empty(0, np.uint64)
+        sizes = np.array(self.sizes, np.int64)
+        return tokens, np.cumsum(sizes) - sizes, np.array(self.lead, np.int64)
 
 
-def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Odd keys: bigrams."""
-    return mix(mix(before * _STEP) + tokens) | _ONE
+def ngram_keys(tokens: np.ndarray, starts: np.ndarray, lead: np.ndarray, order: int):
+    """Keys of the n-grams that end at each place, a row per length from 1 to ``order``, and which of them are there.
 
-
-def block_keys(texts: list[str | None]):
-    """Tokens, text starts, distinct keys in order, and the place among them of each token and bigram."""
-    tokens, starts = read_tokens(texts)
-    both = np.concatenate([word_keys(tokens), pair_keys(histories(tokens, starts), tokens)])
-    keys, at = np.unique(both, return_inverse=True)
-    return tokens, starts, keys, at[:len(tokens)], at[len(tokens):]
-
-
-def walk(starts: np.ndarray, count: np.ndarray, pair: np.ndarray, total: int, distinct: int, kappa: float):
-    """Scores of texts from the counts of their tokens and bigrams in reading order.
-
-    Returns n_tokens, n_known, base_score and score per text.
+    Lengths up to seven have keys of their own (the lowest bits). N-grams do not reach over the start of a part; those that
+    end in its lead are there as histories only (``counted`` is false for these places).
+    """
+    n = len(tokens)
+    sizes = np.diff(np.concatenate([starts, [n]]))
+    place = np.arange(n) - np.repeat(starts, sizes)
+    counted = place >= np.repeat(lead, sizes)
+    keys, there = np.zeros((order, n), np.uint64), np.zeros((order, n), bool)
+    h = np.zeros(n, np.uint64)
+    for k in range(order):
+        # from the last word back: longer n-grams that end here build on shorter ones
+        h[k:] = mix(h[k:] * _STEP + tokens[:n - k] + np.uint64(1)) if k else mix(tokens + np.uint64(1))
+        there[k] = place >= k
+        keys[k] = (h & ~np.uint64(7)) | np.uint64(k)
+    # the start is a history, never a word
+    there[0] &= tokens != START
+    return keys, there, counted
+
+
+class Block:
+    """The n-grams of some parts: distinct ``keys`` in order, ``at[k]`` the place among them of the n-gram of k + 1 words
+    that ends at each token (-1: none), ``counted`` which tokens belong to the parts themselves."""
+
+    def __init__(self, tokens, starts, lead, order: int):
+        self.tokens, self.starts, self.lead, self.order = tokens, starts, lead, order
+        keys, there, self.counted = ngram_keys(tokens, starts, lead, order)
+        self.keys, inverse = np.unique(keys[there], return_inverse=True)
+        self.at = np.full(keys.shape, -1, np.int64)
+        self.at[there] = inverse
+
+    def counts(self, learn: np.ndarray) -> np.ndarray:
+        """How often each n-gram stands in the parts that are learned from."""
+        use = self.counted & np.repeat(learn, np.diff(np.concatenate([self.starts, [len(self.tokens)]])))
+        out = np.zeros(len(self.keys), np.int64)
+        for at in self.at:
+            some = at[use & (at >= 0)]
+            out += np.bincount(some, minlength=len(out))
+        return out
+
+
+class Automaton:
+    """The states and arcs that a block's parts can meet.
+
+    A state is the place of its history among the block's keys, then come the root and the start. ``arcs`` holds
+    state * words + word in order, with ``weight`` and ``to``; ``fail`` and ``fail_weight`` a state's failure arc.
     """
-    root = np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
-    # a word's count as history is its count: each is followed by a word or the end;
-    # the start's is the number of texts, which is the count of the end
-    held = np.empty_like(count)
-    held[1:] = count[:-1]
-    ends = np.concatenate([starts[1:], [len(count)]]) - 1
-    held[starts] = count[ends]
-    fail = np.log10(kappa / (held + kappa))
-    seen = np.log10((pair + kappa * 10.0**root) / (held + kappa))
-    step = np.where(pair > 0, seen, fail + root)
-    return (np.diff(np.concatenate([starts, [len(count)]])), np.add.reduceat((count > 0).astype(np.int64), starts),
-            np.add.reduceat(root, starts), np.add.reduceat(step, starts))
-
-
-def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: str = "text", kappa: float = 4.0,
-                block_bytes: int = 8 << 20) -> DataFrame:
+
+    def __init__(self, block: Block, total: np.ndarray, n_words: int, n_kinds: int, n_texts: int, kappa: float):
+        k_, order = len(block.keys), block.order
+        self.root, self.start = k_, k_ + 1
+        length = (block.keys & np.uint64(7)).astype(np.int64) + 1
+        # one place where each n-gram ends: it gives its last word, its history and its suffix
+        place = np.zeros(k_, np.int64)
+        for at in block.at:
+            has = np.flatnonzero(at >= 0)
+            place[at[has]] = has
+        word_at = block.at[0]
+        self.words = np.cumsum(length == 1) - 1                  # number of a word's key among words
+        self.n = max(1, int((length == 1).sum()))
+        suffix, history = np.full(k_, self.root), np.full(k_, self.root)
+        for k in range(1, order):
+            of = np.flatnonzero(length == k + 1)
+            suffix[of] = block.at[k - 1, place[of]]
+            before = block.at[k - 1, place[of] - 1]
+            history[of] = np.where(before >= 0, before, self.start)
+        held = np.concatenate([total, [0, n_texts]]).astype(np.float64)      # the root's is not used
+        p = np.empty(k_)
+        of = length == 1
+        p[of] = (total[of] + 0.1) / (n_words + 0.1 * (n_kinds + 1))
+        for k in range(1, order):
+            of = np.flatnonzero(length == k + 1)
+            p[of] = (total[of] + kappa * p[suffix[of]]) / (held[history[of]] + kappa)
+        seen = np.flatnonzero((length == 1) | (total > 0))
+        word = self.words[word_at[place]]
+        code = history[seen] * self.n + word[seen]
+        by = np.argsort(code)
+        seen = seen[by]
+        self.arcs, self.weight = code[by], np.log10(p[seen])
+        # to the whole n-gram as history, if it is short enough, else without its oldest word
+        to = np.where(length[seen] < order, seen, suffix[seen])
+        self.to = np.where((total[np.minimum(to, k_ - 1)] > 0) & (to < k_), to, self.root) if k_ else to
+        self.fail = np.concatenate([suffix, [self.root, self.root]])
+        with np.errstate(divide="ignore"):
+            self.fail_weight = np.log10(kappa / (held + kappa))
+        self.order = order
+
+    def walk(self, block: Block) -> np.ndarray:
+        """log10 of each part's probability: all parts step by step, each with a state of its own."""
+        size = np.diff(np.concatenate([block.starts, [len(block.tokens)]]))
+        order = np.argsort(-size, kind="stable")
+        starts, lead, size = block.starts[order], block.lead[order], size[order]
+        word = np.where(block.at[0] >= 0, self.words[block.at[0]], -1)       # -1: the start of a text
+        state, total = np.full(len(order), self.root), np.zeros(len(order))
+        alive = len(order)
+        for step in range(int(size[0]) if len(size) else 0):
+            while alive and size[alive - 1] <= step:
+                alive -= 1
+            read_ = word[starts[:alive] + step]
+            first = np.flatnonzero(read_ < 0)
+            state[first] = self.start if self.order > 1 else self.root
+            todo = np.flatnonzero(read_ >= 0)
+            scored = step >= lead[:alive]
+            while len(todo):
+                code = state[todo] * self.n + read_[todo]
+                arc = np.minimum(np.searchsorted(self.arcs, code), len(self.arcs) - 1)
+                found = self.arcs[arc] == code
+                gain = np.where(found, self.weight[arc], self.fail_weight[state[todo]])
+                total[todo] += np.where(scored[todo], gain, 0.0)
+                state[todo] = np.where(found, self.to[arc], self.fail[state[todo]])
+                todo = todo[~found]
+        out = np.empty(len(order))
+        out[order] = total
+        return out
+
+
+_BLOCK = ("block long, doc_id array<long>, row array<long>, training array<boolean>, lead binary, size binary, "
+          "word binary, hashes binary")
+
+
+def _blocks(given: DataFrame, order: int, block_bytes: int) -> DataFrame:
+    """One row per block of parts: words as numbers into the block's own list of hashes."""
+    def run(batches):
+        task = TaskContext.get().partitionId()
+        parts, meta, size, n_blocks, k = Parts(order), [], 0, 0, 0
+
+        def done():
+            nonlocal parts, meta, size, n_blocks
+            tokens, starts, lead = parts.arrays()
+            hashes, word = np.unique(tokens, return_inverse=True)
+            sizes = np.diff(np.concatenate([starts, [len(tokens)]]))
+            rows = [meta[r] for r, _ in parts.rows]
+            out = pa.RecordBatch.from_arrays([
+                pa.array([(task << 33) + n_blocks], pa.int64()), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
+                pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[2] for r in rows]], pa.list_(pa.bool_())),
+                *[pa.array([v], pa.binary()) for v in (packed(lead.astype(np.uint8)), packed(sizes.astype(np.uint32)),
+                                                       packed(word.astype(np.uint32)), packed_keys(hashes))]],
+                names=["block", "doc_id", "row", "training", "lead", "size", "word", "hashes"])
+            parts, meta, size, n_blocks = Parts(order), [], 0, n_blocks + 1
+            return out
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for ident, text, training in zip(*(part.column(c).to_pylist() for c in range(3))):
+                    meta.append(((task << 33) + k, ident, training))
+                    size += parts.add(len(meta) - 1, text)
+                    k += 1
+                    if size >= block_bytes or len(meta) >= 200_000:
+                        yield done()
+        if meta:
+            yield done()
+
+    return given.mapInArrow(run, _BLOCK)
+
+
+def _unpack(block: pa.Table, order: int) -> Block:
+    size = unpacked(block["size"][0].as_py(), np.uint32).astype(np.int64)
+    hashes = unpacked_keys(block["hashes"][0].as_py())
+    return Block(hashes[unpacked(block["word"][0].as_py(), np.uint32)], np.cumsum(size) - size,
+                 unpacked(block["lead"][0].as_py(), np.uint8).astype(np.int64), order)
+
+
+def _of(block: pa.Table, column: str) -> pa.Array:
+    return block[column].combine_chunks().flatten()
+
+
+def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: str = "text", order: int = 3,
+                kappa: float = 4.0, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, training, n_tokens, n_known, train_tokens, base_score, score.
 
     ``training`` names a boolean column: true where a document is learned from
     (null: not). Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the whole text with
-    A-Z lower-cased, then one end. ``score`` is log10 of the model's probability of the
-    text, ``base_score`` that of the root state alone.
+    A-Z lower-cased, then one end. ``score`` is log10 of the probability that the automaton of n-grams up to
+    ``order`` (1 to 8) gives the text, ``base_score`` that of the root alone.
 
     Null and empty texts are the end alone; null ids are scored like others; repeated rows
     count as often as they stand there; without training documents p(v) is 1. An empty
     table gives an empty one; other columns are left out.
 
-    A frequent n-gram comes once from each block, however often it stands there. Blocks are
-    dealt by a hash of id and text.
+    A frequent n-gram comes once from each block, however often it stands there. Blocks hold about ``block_bytes`` of
+    words, of texts that lie together; longer texts are parts of more steps of the walk, never one. Totals
+    are 64-bit numbers.
     """
-    ship(docs.sparkSession)
+    spark = ship(docs.sparkSession)
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"),
                         F.coalesce(F.col(f"`{training}`"), F.lit(False)).alias("training"))
-    size = given.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"]
-    n = max(1, -(-(size or 0) // block_bytes))
-    blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
-
-    def count(table: pa.Table) -> pa.Table:
-        tokens, starts, keys, word_at, pair_at = block_keys(table["text"].to_pylist())
-        learn = np.repeat(table["training"].to_numpy(zero_copy_only=False).astype(bool),
-                          np.diff(np.concatenate([starts, [len(tokens)]])))
-        counts = (np.bincount(word_at[learn], minlength=len(keys))
-                  + np.bincount(pair_at[learn], minlength=len(keys))).astype(np.uint32)
-        edge = slices(keys, n)
-        full = np.flatnonzero(np.diff(edge))
-        cut = [slice(edge[k], edge[k + 1]) for k in full]
-        return pa.table({"slice": pa.array(full, pa.int32()),
-                         "block": pa.array([table["block"][0].as_py()] * len(full), pa.int32()),
-                         "keys": pa.array([packed_keys(keys[c]) for c in cut], pa.binary()),
-                         "counts": pa.array([packed(counts[c]) for c in cut], pa.binary())})
-
-    sent = blocks.groupBy("block").applyInArrow(count, "slice int, block int, keys binary, counts binary")
-
-    def answer(table: pa.Table) -> pa.Table:
-        keys = [unpacked_keys(k) for k in table["keys"].to_pylist()]
-        counts = np.concatenate([unpacked(c, np.uint32) for c in table["counts"].to_pylist()])
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, counts, len(found))
-        edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        back = [packed(total[at[a:b]].astype(np.uint32)) for a, b in zip(edge[:-1], edge[1:])]
-        return pa.table({"block": table["block"], "slice": table["slice"], "totals": pa.array(back, pa.binary()),
-                         "n": pa.nulls(len(back), pa.int64()), "v": pa.nulls(len(back), pa.int64())})
-
-    def of_words(table: pa.Table) -> pa.Table:
-        n_words, one = 0, []
-        for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist()):
-            k, c = unpacked_keys(k), unpacked(c, np.uint32)
-            word = (k & _ONE) == 0
-            n_words += int(c[word].sum(dtype=np.int64))
-            one.append(k[word & (c > 0)])
-        return pa.table({"n": [n_words], "v": [len(np.unique(np.concatenate(one)))]})
-
-    answers = sent.groupBy("slice").applyInArrow(answer, "block int, slice int, totals binary, n long, v long")
-    sums = (sent.groupBy("slice").applyInArrow(of_words, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-            .select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.lit(-1).alias("slice"),
-                    F.lit(None).cast("binary").alias("totals"), "n", "v"))
-
-    def score(table: pa.Table, told: pa.Table) -> pa.Table:
-        ids = table["doc_id"]
-        if not len(ids):
-            return OUT.empty_table()
-        _, starts, keys, word_at, pair_at = block_keys(table["text"].to_pylist())
-        total = np.zeros(len(keys), np.int64)
-        edge = slices(keys, n)
-        n_words = n_kinds = 0
-        for k, t, a, b in zip(*(told[c].to_pylist() for c in ("slice", "totals", "n", "v"))):
-            if k < 0:
-                n_words, n_kinds = a or 0, b or 0
-            else:
-                total[edge[k]:edge[k + 1]] = unpacked(t, np.uint32)
-        size, known, base, full = walk(starts, total[word_at], total[pair_at], n_words, n_kinds, kappa)
-        return pa.table([ids, table["training"], pa.array(size, pa.int64()), pa.array(known, pa.int64()),
-                         pa.array(np.full(len(size), n_words), pa.int64()), pa.array(base), pa.array(full)], schema=OUT)
-
-    return (blocks.groupBy("block").cogroup(answers.union(sums).groupBy("block"))
-            .applyInArrow(score, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, "
-                                 "base_score double, score double"))
-
-
-OUT = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                 ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    blocks = stored(_blocks(given, order, block_bytes), "lm_blocks")
+    n_blocks = blocks.count()
+    n = slice_count(n_blocks)
+    texts = blocks.select(F.explode(F.arrays_zip("row", "training")).alias("r")).where("r.training").agg(
+        F.count_distinct("r.row")).first()[0] if n_blocks else 0
+
+    def count(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = pa.Table.from_batches([batch.slice(k, 1)])
+                block = _unpack(row, order)
+                counts = block.counts(_of(row, "training").to_numpy(zero_copy_only=False).astype(bool))
+                yield messages(row["block"][0].as_py(), block.keys, counts, n)
+
+    def of_words(keys, totals):
+        word = (keys & np.uint64(7)) == 0
+        return totals[word].sum(), (totals[word] > 0).sum()
+
+    answers, (n_words, n_kinds) = corpus_totals(blocks.mapInArrow(count, SENT), n_blocks, np.int64, of_words)
+
+    def score(row: pa.Table, told: pa.Table) -> pa.Table:
+        if not row.num_rows:
+            return _SCORED.empty_table()
+        block = _unpack(row, order)
+        total = np.zeros(len(block.keys), np.int64)
+        edge = slices(block.keys, n)
+        for s, t in zip(told["slice"].to_pylist(), told["totals"].to_pylist()):
+            total[edge[s]:edge[s + 1]] = unpacked(t, np.int64)
+        found = Automaton(block, total, n_words, n_kinds, texts, kappa).walk(block)
+        own = block.counted
+        count_ = np.where(block.at[0] >= 0, total[block.at[0]], 0)
+        root = np.where(own, np.log10((count_ + 0.1) / (n_words + 0.1 * (n_kinds + 1))), 0.0)
+        add = lambda v: np.add.reduceat(v, block.starts)
+        return pa.table([_of(row, "row"), _of(row, "doc_id"), _of(row, "training"), pa.array(add(own.astype(np.int64))),
+                         pa.array(add((own & (count_ > 0)).astype(np.int64))), pa.array(add(root)), pa.array(found)],
+                        schema=_SCORED)
+
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
+        score, "row long, doc_id long, training boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.bool_or("training").alias("training"),
+        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]).select(
+        "doc_id", "training", "n_tokens", "n_known", F.lit(n_words).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()),
+                     ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def query(spark, sf_dir):

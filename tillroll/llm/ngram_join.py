@@ -25,6 +25,7 @@ from tillroll.llm.common import (
     word_hashes, words,
 )
 from tillroll.llm.components import connected_components
+from tillroll.llm.totals import SENT, corpus_totals, messages, slice_count
 
 #: Upper end of a size band over its lower end.
 BAND = 1.35
@@ -78,6 +79,7 @@ def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int
     starts = band_starts(1 << 40)
     size = given.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"]
     blocks_n = max(1, -(-(size or 0) // block_bytes))
+    slices_n = slice_count(blocks_n)
     cut_bits = np.uint64(16)
     blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks_n)).cast("int"))
 
@@ -95,28 +97,14 @@ def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int
 
     def count(table: pa.Table) -> pa.Table:
         keys, counts = block_keys(*block_sets(table["text"].to_pylist()))
-        edge = slices(keys << cut_bits, blocks_n)
-        full = np.flatnonzero(np.diff(edge))
-        cut = [slice(edge[k], edge[k + 1]) for k in full]
-        return pa.table({"slice": pa.array(full, pa.int32()),
-                         "block": pa.array([table["block"][0].as_py()] * len(full), pa.int32()),
-                         "keys": pa.array([packed_keys(keys[c]) for c in cut], pa.binary()),
-                         "counts": pa.array([packed(np.minimum(counts[c], 255).astype(np.uint8)) for c in cut], pa.binary())})
-
-    def answer(table: pa.Table) -> pa.Table:
-        keys = [unpacked_keys(k) for k in table["keys"].to_pylist()]
-        counts = np.concatenate([unpacked(c, np.uint8) for c in table["counts"].to_pylist()])
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.minimum(np.bincount(at, counts, len(found)), 255).astype(np.uint8)[at]
-        edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        return pa.table({"block": table["block"], "slice": table["slice"],
-                         "totals": pa.array([packed(total[a:b]) for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
+        sent = messages(table["block"][0].as_py(), keys << cut_bits, np.minimum(counts, 255).astype(np.uint8), slices_n)
+        return pa.Table.from_batches([sent])
 
     def describe(table: pa.Table, told: pa.Table) -> pa.Table:
         sets, digests = block_sets(table["text"].to_pylist())
         keys, _ = block_keys(sets, digests)
         total = np.zeros(len(keys), np.uint8)
-        edge = slices(keys << cut_bits, blocks_n)
+        edge = slices(keys << cut_bits, slices_n)
         for k, t in zip(told["slice"].to_pylist(), told["totals"].to_pylist()):
             total[edge[k]:edge[k + 1]] = unpacked(t, np.uint8)
         parts = [rare_part(s, total[np.searchsorted(keys, s >> cut_bits)], num, den) if len(s) else s for s in sets]
@@ -127,9 +115,9 @@ def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int
             "parts": pa.array([signed(p) for p in parts], pa.list_(pa.int64())),
             "text": pa.array([t if len(p) else None for t, p in zip(table["text"].to_pylist(), parts)], pa.string())})
 
-    sent = blocks.groupBy("block").applyInArrow(count, "slice int, block int, keys binary, counts binary")
-    answers = sent.groupBy("slice").applyInArrow(answer, "block int, slice int, totals binary")
-    return (blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    sent = blocks.groupBy("block").applyInArrow(count, SENT)
+    answers, _ = corpus_totals(sent, blocks_n, np.uint8)
+    return (blocks.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
         describe, "doc_id long, n_shingles long, digest binary, bands array<int>, parts array<long>, text string"))
 
 
