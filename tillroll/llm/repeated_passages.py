@@ -1,11 +1,11 @@
-"""Substring dedup: passages that repeat across documents, by hashing units of text.
-
-A unit is a whole line or a paragraph of ``unit_words`` words. Lines alone
-would miss a passage that stands in the middle of a line, so paragraphs begin
-where the text itself says: at the word whose hash is the smallest of
-``reach`` neighbours. Equal passages of ``unit_words + reach - 1`` words or
-more therefore hold an equal paragraph wherever they stand, and as paragraphs
-are longer than their distance, the paragraphs of a passage cover it without gaps
+"""Substring dedup: lines, paragraphs and passages that repeat, by hashing units of text (operator 3).
+
+Units are whole lines and whole paragraphs (between blank lines) of ``line_words`` words or more, as they
+stand. These alone would miss a passage in the middle of a line, so there are also passages of
+``unit_words`` words that begin where the text itself says: at the word whose hash is the smallest of
+``reach`` neighbours. Equal runs of ``unit_words + reach - 1`` words or
+more therefore hold an equal passage wherever they stand, and as passages
+are longer than their distance, those of a run cover it without gaps
 (up to ``reach - 1`` words at either end).
 
 Units are normalised (A-Z lower-cased, white space as one space), their
@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import append_columns, free_prefix, mix, read, signed
 
+#: Words of the shortest line or paragraph that is a unit: shorter ones recur in clean texts too.
+LINE_WORDS = 15
+
 _BASE = 0x9E3779B97F4A7C15
 #: Odd numbers for two independent halves of a digest.
 _HALF = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -72,22 +75,37 @@ def picked(weights: np.ndarray, reach: int) -> np.ndarray:
     return np.unique(np.arange(len(near)) + reach - 1 - near.argmin(axis=1))
 
 
-def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, ...]:
-    """Digest (two halves), start, end and kind (whole line or not) of the units of a text.
+def units(text: str | None, unit_words: int, reach: int, line_words: int = LINE_WORDS) -> tuple[np.ndarray, ...]:
+    """Digest (two halves), start, end and kind (whole line or paragraph, or not) of the units of a text.
 
-    Units are the paragraphs that begin at picked words, and the whole lines of
-    ``unit_words`` words or more. A unit reaches to the next word behind it. Equal
-    paragraphs that follow each other, as in a run of one word, or that overlap,
-    as in a text that repeats every few words, are one unit.
+    A unit reaches to the next word behind it. Equal
+    passages that follow each other, as in a run of one word, or that overlap,
+    as in a text that repeats every few words, are one unit; lines and paragraphs never overlap their like.
     """
-    none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    if not text:
-        return none
-    h, begin, line = hashed_words(text)
+    h, begin, line = hashed_words(text or "")
+    after = np.concatenate([begin[1:], [len(text or "")]]) if len(h) else begin
+    one, two, start, end = _passages(h, begin, after, unit_words, reach)
+    whole = len(one)
+    lines = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(h) else np.empty(0, np.int64)
+    # white space with two line feeds or more holds a blank line
+    paragraphs = np.flatnonzero(np.concatenate([[True], line[1:] - line[:-1] > 1])) if len(h) else lines
+    for firsts, more_than_a_line in ((lines, False), (paragraphs, True)):
+        a, b = firsts, np.concatenate([firsts[1:], [len(h)]])[:len(firsts)]
+        ok = b - a >= line_words
+        if more_than_a_line:
+            ok &= line[b - 1] != line[a]
+        a, b = a[ok], b[ok]
+        if len(a):
+            one, two = (np.concatenate([x, mix(range_hashes(h * half, a, b))]) for x, half in zip((one, two), _HALF))
+            start, end = np.concatenate([start, begin[a]]), np.concatenate([end, after[b - 1]])
+    return one, two, start, end, np.arange(len(one)) >= whole
+
+
+def _passages(h, begin, after, unit_words: int, reach: int) -> tuple[np.ndarray, ...]:
+    """Digests, starts and ends of the passages that begin at picked words."""
     n = len(h) - unit_words + 1
     if n <= 0:
-        return none
-    after = np.concatenate([begin[1:], [len(text)]])
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     at = np.arange(n)
     one, two = (range_hashes(h * half, at, at + unit_words) for half in _HALF)
     at = picked(mix(one ^ two), reach)
@@ -103,15 +121,7 @@ def units(text: str | None, unit_words: int, reach: int) -> tuple[np.ndarray, ..
     last = np.concatenate([first[1:], [len(order)]]) - 1 if len(first) else first
     one, two, start, end = one[first], two[first], start[first], end[last]
     order = np.argsort(start)
-    one, two, start, end = one[order], two[order], start[order], end[order]
-    # whole lines: first word and the one behind the last, of those that are long enough
-    a = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-    b = np.concatenate([a[1:], [len(h)]])
-    a, b = a[b - a >= unit_words], b[b - a >= unit_words]
-    if len(a):
-        one, two = (np.concatenate([x, mix(range_hashes(h * half, a, b))]) for x, half in zip((one, two), _HALF))
-        start, end = np.concatenate([start, begin[a]]), np.concatenate([end, after[b - 1]])
-    return one, two, start, end, np.arange(len(one)) >= len(first)
+    return one[order], two[order], start[order], end[order]
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -140,14 +150,14 @@ def text_key(text: str) -> Column:
 
 
 def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   unit_words: int = 35, reach: int = 16) -> DataFrame:
+                   unit_words: int = 35, reach: int = 16, line_words: int = LINE_WORDS) -> DataFrame:
     """(doc_id, key, start, end) of every unit but the first of its digest, in characters of the text.
 
     Units are in order of document, text (its ``text_key``) and place. Rows that
     repeat an id and its text are one text.
     """
     def find(texts):
-        found = [units(t, unit_words, reach)[:4] for t in texts]
+        found = [units(t, unit_words, reach, line_words)[:4] for t in texts]
         one, two, start, end = (np.concatenate(x) for x in zip(*found))
         rows = pa.StructArray.from_arrays(
             [pa.array(signed(one)), pa.array(signed(two)), pa.array(start.astype(np.int32)),
@@ -168,15 +178,16 @@ def repeated_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    unit_words: int = 35, reach: int = 16, removed: str = "removed") -> DataFrame:
+                    unit_words: int = 35, reach: int = 16, line_words: int = LINE_WORDS,
+                    removed: str = "removed") -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; column ``removed`` holds their (start, end) in the old text.
 
-    A passage stays where it first stands in the document with the smallest id;
-    all others are cut, in that document too. A run that repeats so closely that its units
-    overlap themselves (every ``unit_words - 1`` words or less) is one passage. A cut
-    takes the white space behind it along. Passages of at least
-    ``unit_words + reach - 1`` words (50) are found for sure, shorter ones than
-    ``unit_words`` never. Offsets count code points, of the whole text.
+    A line, paragraph or passage stays where it first stands in the document with the smallest id;
+    all others are cut, in that document too. Whole lines and paragraphs of ``line_words`` words or more are
+    all found. Inside a line, a run that repeats so closely that its passages
+    overlap themselves (every ``unit_words - 1`` words or less) is one passage, runs of at least
+    ``unit_words + reach - 1`` words (50) are found for sure, and shorter ones than
+    ``unit_words`` never. A cut takes the white space behind it along. Offsets count code points, of the whole text.
 
     Null and empty texts and short ones stay as they are, with ``removed``
     empty. Rows with a null id are left alone. Rows that repeat an id are one
@@ -186,7 +197,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     brings it back can be split. An empty table stays empty.
     """
     free = free_prefix(docs)
-    spans = (repeated_units(docs, doc_id, text, unit_words, reach)
+    spans = (repeated_units(docs, doc_id, text, unit_words, reach, line_words)
              .groupBy(F.col("doc_id").alias(f"{free}of"), F.col("key").alias(f"{free}key"))
              .agg(F.collect_set(F.struct("start", "end")).alias(f"{free}spans")))
     joined = docs.join(spans, (F.col(f"`{doc_id}`").cast("long") == F.col(f"{free}of"))
