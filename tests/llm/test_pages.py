@@ -1,0 +1,133 @@
+"""Main text of whole pages (operator 7) against a plain version with its own parser."""
+
+from html.parser import HTMLParser
+
+from tillroll.llm import html_text as htm
+
+SF = "/root/testdata/sf0.001"
+RAW = {"script", "style", "textarea", "noscript", "template", "svg", "iframe", "xmp"}
+
+
+class Plain(HTMLParser):
+    """Runs of text and tags of a page, each with its block and whether it is left out, by the rules' words alone."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.parts, self.stack, self.raw = [], [], None
+
+    def _left_out(self):
+        return any(kind for _, kind in self.stack)
+
+    def _block(self):
+        blocks = [n for n, _ in self.stack if n not in htm.INLINE]
+        return blocks[-1] if blocks else "body"
+
+    def _kind(self, name, attrs):
+        found = {k: (v or "").lower() for k, v in attrs}
+        words = set()
+        for k in ("class", "id", "role"):
+            words |= set("".join(c if c.isalnum() and c.isascii() else " " for c in found.get(k, "")).split())
+        if words & htm.READERS:
+            return "readers"
+        in_article = any(n in htm.ARTICLE and not k for n, k in self.stack)
+        hidden = ("hidden" in found or found.get("aria-hidden") == "true"
+                  or found.get("style", "").replace(" ", "").find("display:none") >= 0)
+        if words & htm.MARKS or hidden or name in htm.NEVER or (name == "header" and not in_article):
+            return "no"
+        return ""
+
+    def handle_starttag(self, name, attrs):
+        if self.raw:
+            return
+        if name in RAW:
+            self.raw = name
+            return
+        kind = self._kind(name, attrs)
+        if name in htm.ARTICLE and not kind and self._left_out() and not any(k == "readers" for _, k in self.stack):
+            self.stack = [(n, "") for n, _ in self.stack]
+        self.parts.append(("tag", name, "", self._left_out() or bool(kind)))
+        if name not in htm.VOID:
+            self.stack.append((name, kind))
+
+    def handle_startendtag(self, name, attrs):
+        if not self.raw and name not in RAW:
+            self.parts.append(("tag", name, "", self._left_out() or bool(self._kind(name, attrs))))
+
+    def handle_endtag(self, name):
+        if self.raw:
+            self.raw = None if name == self.raw else self.raw
+            return
+        if any(n == name for n, _ in self.stack):
+            while self.stack.pop()[0] != name:
+                pass
+        self.parts.append(("tag", "/" + name, "", self._left_out()))
+
+    def _text(self, text):
+        if not self.raw:
+            self.parts.append(("text", self._block(), text, self._left_out()))
+
+    handle_data = _text
+
+    def handle_entityref(self, name):
+        self._text(f"&{name};")
+
+    def handle_charref(self, name):
+        self._text(f"&#{name};")
+
+
+def joined(parts):
+    """Text that only its references tore apart is one run."""
+    out = []
+    for p in parts:
+        if out and p[0] == "text" == out[-1][0] and out[-1][1] == p[1] and out[-1][3] == p[3]:
+            out[-1] = (*p[:2], out[-1][2] + p[2], p[3])
+        else:
+            out.append(p)
+    return out
+
+
+def plain_text(page, w):
+    parser = Plain()
+    parser.feed(page or "")
+    parser.close()
+    parts = joined(parser.parts)
+    scores = []
+    for kind, key, text, out in parts:
+        if kind == "text":
+            scores.append(0.0 if out else len(text.split()) * w.word.get(key, w.other_word))
+        else:
+            scores.append(0.0 if key.lstrip("/") in htm.INLINE else w.tag.get(key, w.other_tag))
+    best, region = 0.0, (0, 0)
+    for a in range(len(scores)):                     # every region, the first of equals
+        total = 0.0
+        for b in range(a, len(scores)):
+            total += scores[b]
+            if total > best + 1e-9:
+                best, region = total, (a, b + 1)
+    blocks = [""]
+    for kind, key, text, out in parts[region[0]:region[1]]:
+        name = key.lstrip("/")
+        if kind == "text":
+            blocks[-1] += "" if out else htm.html_lib.unescape(text)
+        elif name == "br":
+            blocks[-1] += " "
+        elif name not in htm.INLINE:
+            blocks.append("")
+    return "\n\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+
+
+def test_main_text_of_whole_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html")
+    weights = htm.fit_weights(pages)
+    got = {r["page_id"]: r["text"] for r in htm.extract_main_text(pages, weights).collect()}
+    rows = pages.orderBy("page_id").limit(120).collect()
+    wrong = [r["page_id"] for r in rows if got[r["page_id"]] != plain_text(r["html"], weights)]
+    assert len(rows) >= 50 and wrong == []
+
+
+def test_main_text_of_small_pages():
+    w = htm.Weights()
+    for page in ("", None, "plain words", "<p>one<p>two &amp; three<br>four", "<div class='ad'>buy</div><p>text of it</p>",
+                 "<nav><article>never closed nav <b>bold</b> words</article>", "<div id=comments><article>a reader</article></div>x y z",
+                 "<p>a &lt;b&gt; c</p><script>var x = '<p>';</script><p>d</p>", "<header>h</header><main><header>title words</header></main>"):
+        assert htm.main_text(page, w) == plain_text(page, w), page

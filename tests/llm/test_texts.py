@@ -4,6 +4,7 @@ import html as html_lib
 import itertools
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -22,6 +23,7 @@ from tillroll.llm import lm_score as lm
 from tillroll.llm import packing as pck
 from tillroll.llm import repeated_passages as rep
 from tillroll.llm import token_files as tok
+from tillroll.llm import totals as tot
 from tillroll.llm import url_rules as url
 from tillroll.llm.common import scratch_path, words
 from tillroll.llm.token_ids import Encoder, production_path
@@ -56,28 +58,10 @@ def test_passages_found_wherever_they_stand(spark):
         assert got[k].text == rep.cut(texts[k], [(s.start, s.end) for s in got[k].removed])
 
 
-def brute_units(rows, unit_words, reach):
-    """Spans to remove, by comparing the units' normalised words themselves."""
-    found = []
-    for i, t in rows:
-        _, _, start, end, line = rep.units(t, unit_words, reach)
-        for a, b, whole in zip(start.tolist(), end.tolist(), line):
-            w = tuple(words(t[a:b]))
-            found.append(((whole, w if whole else w[:unit_words]), i, a, b))
-    first = {}
-    for u, i, _, _ in found:
-        first[u] = min(i, first.get(u, i))
-    out = {}
-    for u, i, a, b in found:
-        if first[u] != i:
-            out.setdefault(i, []).append((a, b))
-    return {i: rep.merged(s) for i, s in out.items()}
-
-
 def test_passages_equal_brute_force(spark):
     df = docs_of(spark).select("doc_id", "text")
     got = {x.doc_id: [(s.start, s.end) for s in x.removed] for x in rep.remove_repeated(df).collect() if x.removed}
-    assert got == brute_units([tuple(x) for x in df.collect()], 35, 16)
+    assert got == brute_occurrences([tuple(x) for x in df.collect()], 35, 16)
     assert got
 
 
@@ -103,6 +87,42 @@ def test_picked_covers_every_window(values, reach):
         assert max(k for k in range(a, a + reach) if values[k] == min(near)) in got
 
 
+def brute_lines(rows, floor):
+    """Spans of repeated lines and paragraphs, by splitting the texts."""
+    found = []
+    for i, t in rows:
+        for block in re.finditer(r"[^\n]+", t):
+            found.append((i, block.start(), tuple(block[0].lower().split()), block[0]))
+        at = 0
+        for block in re.split(r"(\n\s*\n)", t):
+            lines = [x for x in block.split("\n") if x.strip()]
+            if len(lines) > 1:
+                found.append((i, at + len(block) - len(block.lstrip()), tuple(block.lower().split()), block))
+            at += len(block)
+    seen, gone = set(), {}
+    for i, start, w, block in sorted(found):
+        if len(w) >= floor:
+            if w in seen:
+                start += len(block) - len(block.lstrip()) if block[0] == " " else 0
+                gone.setdefault(i, set()).update(range(start, start + len(block.strip())))
+            seen.add(w)
+    return gone
+
+
+@pytest.mark.parametrize("floor", [1, 4])
+def test_lines_and_paragraphs_of_any_length(spark, floor):
+    r = random.Random(8)
+    pool = [" ".join(r.choice("abcdefgh") * r.randint(1, 3) for _ in range(r.randint(1, 9))) for _ in range(25)]
+    rows = [(i, "".join(r.choice(pool).capitalize() + r.choice(["\n", "\n", "\n\n", "\n \n"]) for _ in range(r.randint(1, 9))))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    space = lambda i, places: {k for k in places if not texts[i][k].isspace()}
+    got = {x.doc_id: space(x.doc_id, {k for s in x.removed for k in range(s.start, s.end)})
+           for x in rep.remove_repeated(df, line_words=floor).collect() if x.removed}
+    assert got == {i: space(i, p) for i, p in brute_lines(rows, floor).items()} and len(got) > 20
+
+
 def test_passage_edge_cases(spark):
     same = " ".join(f"x{k}" for k in range(60))
     rows = [(None, same), (1, None), (2, ""), (3, "short"), (4, same), (4, same), (5, same), (5, same), (6, same * 2)]
@@ -162,7 +182,6 @@ def test_passages_equal_occurrences_by_brute_force(spark):
     rows = [tuple(x) for x in df.collect()]
     got = {x.doc_id: [(s.start, s.end) for s in x.removed] for x in rep.remove_repeated(df).collect() if x.removed}
     assert got == brute_occurrences(rows, 35, 16)
-    assert got != brute_units(rows, 35, 16)  # a first holder repeats a passage
 
 
 # --- decontamination
@@ -209,7 +228,7 @@ def test_contamination(spark):
     assert [k for k in (1, 2, 3, 4, 5, 6, 7, None) if by[k].contaminated] == [1, 2, 7, None]
     assert by[1].coverage == by[2].coverage == 1 and by[1].item_id == 1 and by[3].coverage == 15 / 40
     assert by[4].item_id is None and by[4].coverage == 0 and by[7].item_id == 5
-    one_by_one = dec.find_contamination(df, bench, block_chars=10)  # an item per block
+    one_by_one = dec.find_contamination(df, bench, group_items=1)  # an item per group
     assert sorted(map(str, one_by_one.collect())) == sorted(map(str, got.collect()))
     assert not any(x.contaminated for x in dec.find_contamination(df, bench.limit(0)).collect())
     assert dec.find_contamination(df.limit(0), bench).collect() == []
@@ -471,27 +490,79 @@ def test_language_scores_equal_the_kernel():
     assert np.allclose(lng.score(sets, model), lng.kernel(sets, sets) @ alpha, atol=1e-4)
 
 
+def test_stray_labels_are_not_learned(spark):
+    df = docs_of(spark).select("doc_id", "text", "lang")
+    stray = df.withColumn("lang", F.concat(F.lit("x"), F.col("doc_id").cast("string"))).limit(120)
+    model = lng.fit(df.unionByName(stray), max_labels=4, landmarks=20)
+    assert model.languages == sorted(r[0] for r in df.where("lang is not null").select("lang").distinct().collect())[:4]
+
+
+# --- hostile pages and items
+
+def test_unclosed_tags_take_linear_time():
+    page = "<div class=x><p>" * 40_000 + "words of the text " * 10 + "</section>" * 30_000 + "</div>" * 40_000
+    start = time.perf_counter()
+    assert "words of the text" in htm.main_text(page, htm.Weights())
+    page = "<div class=ad><article>" * 40_000 + "words of the text " * 10
+    htm.main_text(page, htm.Weights())
+    assert time.perf_counter() - start < 20
+
+
+def test_equal_words_are_tiled_in_time():
+    start = time.perf_counter()
+    code = dec.Coder()
+    found = dec.Block([(1, code("same " * 20_000)), (2, code("same " * 7))], 5).coverage(code("same " * 20_000))
+    assert sorted(found) == [(1, 1.0, 20_000), (2, 1.0, 7)]
+    assert time.perf_counter() - start < 20
+
+
+def test_tiles_by_length_equal_tiles_by_seeds():
+    r = random.Random(9)
+    for _ in range(200):
+        a = np.array([r.choice([1, 1, 1, 2, 3]) for _ in range(r.randint(3, 25))], np.uint64)
+        b = np.array([r.choice([1, 1, 2, 2, 3]) for _ in range(r.randint(3, 40))], np.uint64)
+        n = r.randint(1, 4)
+        i, j = np.nonzero(dec.seeds(a, n)[:, None] == dec.seeds(b, n)[None, :])
+        assert dec.tiles(i, j, n) == dec.tiles_by_length(a, b, n)
+
+
+def test_a_short_item_needs_enough_words(spark):
+    docs = spark.createDataFrame([(1, "yes it is so"), (2, "one two three four five six")], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, "yes"), (2, "two three four five six")], "item_id int, text string")
+    got = {r.doc_id: (r.item_id, r.coverage, r.covered, r.contaminated) for r in dec.find_contamination(docs, bench).collect()}
+    assert got == {1: (1, 1.0, 1, False), 2: (2, 1.0, 5, True)}
+
+
 # --- language-model scores
 
-def brute_scores(rows, kappa):
-    """rows: (id, text, training). By the formulas, one token after the other."""
-    lists = [(i, [*words(t), "end"], learn) for i, t, learn in rows]
-    one, two = Counter(), Counter()
-    for _, ws, learn in lists:
+def smoothed(rows, kappa, order=3):
+    """p(v | history) by the formulas, and the counts of the words and of all tokens."""
+    seen, total = Counter(), 0
+    for _, t, learn in rows:
         if learn:
-            one.update(ws)
-            two.update(zip(["start", *ws], ws))
-    total, kinds = sum(one.values()), len(one)
-    texts = sum(bool(learn) for _, _, learn in lists)
+            run = ["start", *words(t), "end"]
+            total += len(run) - 1
+            seen.update(tuple(run[a:b]) for b in range(2, len(run) + 1) for a in range(max(0, b - order), b))
+            seen["start",] += 1
+    one = {g[0]: n for g, n in seen.items() if len(g) == 1 and g[0] != "start"}
+
+    def p(history, v):
+        if not history:
+            return (one.get(v, 0) + .1) / (total + .1 * (len(one) + 1))
+        return (seen[*history, v] + kappa * p(history[1:], v)) / (seen[history] + kappa)
+
+    return p, one, total
+
+
+def brute_scores(rows, kappa, order=3):
+    """rows: (id, text, training). One token after the other."""
+    p, one, total = smoothed(rows, kappa, order)
     out = []
-    for i, ws, learn in lists:
-        base = score = 0.0
-        for u, v in zip(["start", *ws], ws):
-            p = (one[v] + .1) / (total + .1 * (kinds + 1))
-            history = texts if u == "start" else one[u]
-            base += math.log10(p)
-            score += math.log10((two[u, v] + kappa * p) / (history + kappa))
-        out.append((i, bool(learn), len(ws), sum(one[v] > 0 for v in ws), total, base, score))
+    for i, t, learn in rows:
+        run = ["start", *words(t), "end"]
+        score = sum(math.log10(p(tuple(run[max(0, k - order + 1):k]), run[k])) for k in range(1, len(run)))
+        out.append((i, bool(learn), len(run) - 1, sum(v in one for v in run[1:]), total,
+                    sum(math.log10(p((), v)) for v in run[1:]), score))
     return out
 
 
@@ -503,34 +574,93 @@ def close(got, expected):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 24, 20_000])
-def test_scores_equal_brute_force(spark, block_bytes):
-    df = docs_of(spark).select("doc_id", "text").withColumn("learn", F.col("doc_id") % 3 != 0)
-    got = lm.score_texts(df, "learn", block_bytes=block_bytes).collect()
-    close(got, brute_scores([tuple(x) for x in df.collect()], 4.0))
-
-
-def test_score_edge_cases(spark):
-    rows = [(1, None, True), (2, "", True), (3, "A b a", True), (3, "A b a", True), (None, "b c", True), (4, "zz", False),
-            (5, "a b", None), (6, "w " * 100_000, False)]
-    df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, learn boolean, SCORE int")
-    close(lm.score_texts(df, "learn").collect(), brute_scores(rows, 4.0))
-    nothing = [(i, t, False) for i, t, _ in rows]
-    df = spark.createDataFrame(nothing, "doc_id long, text string, learn boolean")
-    close(lm.score_texts(df, "learn").collect(), brute_scores(nothing, 4.0))
-    assert lm.score_texts(df.limit(0), "learn").collect() == []
+@pytest.mark.parametrize("block_bytes, order", [(1 << 24, 3), (20_000, 3), (20_000, 2)])
+def test_scores_equal_brute_force(spark, block_bytes, order):
+    df = docs_of(spark).select("doc_id", "text").withColumn("learn", F.col("doc_id") % 3 != 0).repartition(3)
+    got = lm.score_texts(df, "learn", block_bytes=block_bytes, order=order).collect()
+    close(got, brute_scores([tuple(x) for x in df.collect()], 4.0, order))
+
+
+def automaton_scores(rows, kappa, order):
+    """One block of all rows, by the operator's own parts, without Spark."""
+    parts = lm.Parts(order)
+    for k, (_, t, _) in enumerate(rows):
+        parts.add(k, t)
+    block = lm.Block(*parts.arrays(), order)
+    row = np.array([r for r, _ in parts.rows])
+    learn = np.array([bool(x[2]) for x in rows])
+    total = block.counts(learn[row])
+    word = (block.keys & np.uint64(7)) == 0
+    n_words, n_kinds = int(total[word].sum()), int((total[word] > 0).sum())
+    found = lm.Automaton(block, total, n_words, n_kinds, int(learn.sum()), kappa).walk(block)
+    return np.bincount(row, found, len(rows)), (n_words, n_kinds)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4, 5])
+def test_one_pass_over_parts_equals_brute_force(order, monkeypatch):
+    monkeypatch.setattr(lm, "PART", 7)
+    rng = random.Random(order)
+    rows = [(k, " ".join(rng.choice("aaabbcdé") for _ in range(rng.randint(0, 60))), rng.random() < .6) for k in range(60)]
+    rows += [(98, "new words only here", False), (99, "a b new a b c a b", False)]
+    got, _ = automaton_scores(rows, 4.0, order)
+    assert got == pytest.approx([x[6] for x in brute_scores(rows, 4.0, order)], rel=1e-9)
+
+
+def test_long_texts_are_read_in_runs():
+    text = "Ab  cd\n" * 50 + "x" * 100
+    assert [w for run in lm.word_runs(text, room=17) for w in run] == words(text)
+    assert list(lm.word_runs(None)) == [] and [w for run in lm.word_runs(" \x0b ", 1) for w in run] == []
+
+
+def test_totals_go_beyond_32_bits():
+    keys = [np.array([8, 9, 16], np.uint64), np.array([8, 16], np.uint64)]
+    counts = [np.array([2**32 - 1, 5, 1], np.int64), np.array([2**32 - 1, 2], np.int64)]
+    found, total, places = tot.add_up(keys * 3, counts * 3, np.int64)
+    assert found.tolist() == [8, 9, 16] and total.tolist() == [6 * (2**32 - 1), 15, 9]
+    assert places[1].tolist() == [0, 2] and tot.add_up(keys, counts, np.uint8)[1].tolist() == [255, 5, 3]
+
+
+@pytest.mark.parametrize("direct", [0, 1000])
+def test_totals_over_blocks(spark, direct):
+    r = np.random.default_rng(1)
+    messages, totals = {}, Counter()
+    for n_blocks in (30, 120):
+        rows, totals, held = [], Counter(), {}
+        n = tot.slice_count(n_blocks, direct)
+        for b in range(n_blocks):
+            keys = np.unique(r.integers(0, 1 << 64, 3000, np.uint64, endpoint=False) | np.uint64(1 << 63 if b % 2 else 0))
+            keys = np.unique(np.concatenate([keys[:2990], np.arange(0, 10, dtype=np.uint64) << np.uint64(60)]))
+            counts = r.integers(0, 9, len(keys)).astype(np.int64)
+            held[b] = keys
+            totals.update(dict(zip(keys.tolist(), counts.tolist())))
+            rows += tot.messages(b, keys, counts, n).to_pylist()
+        sent = spark.createDataFrame(rows, tot.SENT)
+        answers, (sums, kinds) = tot.corpus_totals(sent, n_blocks, np.int64, lambda k, t: (t.sum(), len(k)), direct)
+        got = answers.collect()
+        assert (sums, kinds) == (sum(totals.values()), len(totals)) and len(got) == len(rows)
+        for b, keys in held.items():
+            mine = sorted((x["slice"], x["totals"]) for x in got if x["of_block"] == b)
+            assert np.concatenate([tot.unpacked(t, np.int64) for _, t in mine]).tolist() == [totals[k] for k in keys.tolist()]
+        messages[n_blocks] = len(rows)
+    # four times the blocks: sixteen times the messages, or less than ten
+    assert messages[120] / messages[30] < 10 or direct
 
 
 def test_the_model_is_a_distribution():
     """Over all known words and one unknown, the probabilities after any history add up to one."""
-    rows = [(1, "a b a c", True), (2, "b a", True)]
-    kinds = ["a", "b", "c", "end", "unknown"]
-    lists = [["start", *t.split(), "end"] for _, t, _ in rows]
-    one = Counter(w for x in lists for w in x[1:])
-    two = Counter(p for x in lists for p in zip(x, x[1:]))
-    for u in ("a", "b", "c", "start"):
-        held = 2 if u == "start" else one[u]
-        assert sum((two[u, v] + 4 * (one[v] + .1) / (8 + .1 * 5)) / (held + 4) for v in kinds) == pytest.approx(1)
+    p, one, _ = smoothed([(1, "a b a c a b b", True), (2, "b a", True)], 4.0)
+    for history in ((), ("a",), ("b",), ("start",), ("a", "b"), ("start", "b"), ("c", "c"), ("z", "a")):
+        assert sum(p(history, v) for v in [*one, "unknown"]) == pytest.approx(1)
+
+
+def test_ids_of_every_character_below_250_hex():
+    e = Encoder(production_path())
+    r = random.Random(6)
+    texts = [form.format(chr(k)) for k in range(1, 0x250) for form in ("{}", "a{}", "{}b", "a{}b", " {} x", "1{}2")]
+    pool = [chr(k) for k in range(1, 0x250)] + [" "] * 60
+    texts += ["".join(r.choice(pool) for _ in range(r.randint(1, 30))) for _ in range(8000)]
+    whole = e.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert e.encode(texts) == [np.array(w.ids, "<u4").tobytes() for w in whole]
 
 
 def test_scores_beat_the_base_on_held_out_texts(spark):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from tillroll.session import scratch_path, staged  # noqa: F401 - scratch_path is for the operators
+
 
 _SHIPPED: set[str] = set()
 
@@ -37,36 +38,13 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only a local master may run without it (tests); then a temporary folder
-    is used and remembered in the session.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="tillroll-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; all of an application's lie in one folder."""
-    return f"{shared_dir(spark)}/tillroll-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: what follows survives the loss of any executor without
     running the steps before again.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df, name)
 
 
 def crc32_of_id(col):
@@ -162,8 +140,9 @@ def append_columns(df: DataFrame, inputs: list[str], added: str, fn, rows: int =
     names = [f.name for f in kept]
     types = [to_arrow_type(f.dataType) for f in new]
     # inputs that are replaced are read under another name
+    free = free_prefix(df)
     source = df.select(*[F.col(f"`{n}`") for n in names],
-                       *[F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(inputs)])
+                       *[F.col(f"`{c}`").alias(f"{free}{k}") for k, c in enumerate(inputs)])
     schema = StructType(kept + list(new))
 
     def run(batches):

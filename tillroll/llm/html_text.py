@@ -87,7 +87,9 @@ def tokens(page: str):
     can't hold article text.
     """
     stack: list[tuple[str, str]] = []  # (name, "" | "no" | "readers")
-    out = article = 0
+    open_: Counter = Counter()         # names on the stack
+    forgiven = 0                       # elements below this height count as "", whatever their kind
+    out = article = readers = 0
     block = ["body"]
     at = 0
     for m in _TOKEN.finditer(page):
@@ -102,22 +104,27 @@ def tokens(page: str):
             kind = _marked(m["attrs"])
             if name in NEVER or (name == "header" and not article):
                 kind = kind or "no"
-            if name in ARTICLE and not kind and out and not any(k == "readers" for _, k in stack):
-                stack = [(n, "") for n, _ in stack]  # an element before it was never closed
-                out = 0
+            if name in ARTICLE and not kind and out and not readers:
+                forgiven, out = len(stack), 0        # an element before it was never closed
             yield "tag", name, "", article > 0, out > 0 or kind != ""
             if name in VOID or m["attrs"].endswith("/"):
                 continue
             stack.append((name, kind))
+            open_[name] += 1
             out += kind != ""
+            readers += kind == "readers"
             article += name in ARTICLE and kind == ""
             if name not in INLINE:
                 block.append(name)
         else:
-            known = any(n == name for n, _ in stack)
+            known = open_[name] > 0
             while known and stack:
                 n, kind = stack.pop()
+                open_[n] -= 1
+                if len(stack) < forgiven:
+                    kind, forgiven = "", len(stack)
                 out -= kind != ""
+                readers -= kind == "readers"
                 article -= n in ARTICLE and kind == ""
                 if n not in INLINE and len(block) > 1:
                     block.pop()

@@ -72,18 +72,20 @@ def _rows(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        fit_docs: int = 800, landmarks: int = 64, ridge: float = 0.05) -> Model | None:
+        fit_docs: int = 800, landmarks: int = 64, ridge: float = 0.05, max_labels: int = 40) -> Model | None:
     """Learn from about ``fit_docs`` texts of each language, ``landmarks`` of each as landmarks.
 
-    The two bounds hold for each distinct non-null language and fix what reaches the
-    driver; the texts are chosen by a hash of their key, all of a language that
+    Learned are the ``max_labels`` languages with most texts (of equals the one that sorts first); others, such as the stray
+    values of a dirty column, are not. The three bounds fix what reaches the
+    driver and the size of the system solved there; the texts are chosen by a hash of their key, all of a language that
     has fewer. Rows without text or letters teach nothing. None if nothing is left.
     """
     ship(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"),
         F.pmod(F.xxhash64(F.col(key), F.lit(9)), F.lit(1 << 30)).alias("draw"))
-    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_labels)
+    totals = {r["lang"]: r["count"] for r in most.collect()}
     if not totals:
         return None
     names = sorted(totals)
@@ -111,6 +113,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                 cross += phi.T @ (np.array(part["lang"])[:, None] == np.array(names)[None, :])
         yield pa.RecordBatch.from_pydict({"gram": [gram.tobytes()], "cross": [cross.tobytes()]})
 
+    # the sample is bounded, and so are its few tasks' sums, which come to the driver
     found = (rows.where(F.col("draw") < share(fit_docs)).select("text", "lang").repartition(6)
              .mapInArrow(sums, "gram binary, cross binary").collect())
     gram = sum(np.frombuffer(r.gram).reshape(m, m) for r in found)
