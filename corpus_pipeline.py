@@ -58,9 +58,14 @@ def _one_of_each_row(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds are cut out of the text; ``n_chars`` follows."""
-    found = repeated_passages.remove_repeated(docs, removed=f"{free_prefix(docs)}removed")
-    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Lines, paragraphs and passages that stand earlier are cut out of the text; ``n_chars`` follows.
+
+    A document that holds nothing else goes.
+    """
+    gone = f"{free_prefix(docs)}removed"
+    found = repeated_passages.remove_repeated(docs, removed=gone)
+    left = (F.size(gone) == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
+    return found.where(left).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
