@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import read, ship, stored
 
 #: Characters' worth of remembered units a worker keeps; beyond, it starts afresh.
-REMEMBERED = 3_000_000
+REMEMBERED = 2_000_000
 #: Bytes of text aligned at a time.
-BATCH = 1 << 20
+BATCH = 1 << 18
 
 # Fixed value: the pattern by which byte-level BPE files cut a text.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -435,7 +435,7 @@ def _give(parts: list, row: int, digest: str) -> None:
 
 
 def alignment(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-              block_bytes: int = 3 << 20) -> DataFrame:
+              block_bytes: int = 2 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     ``a_path`` is a byte-level BPE file of the tokenizers library, ``b_path`` a sentencepiece model. Special tokens' strings are
