@@ -11,6 +11,7 @@ from tillroll.functions.headers import locale_rename, normalize_headers
 from tillroll.functions.locales import PROFILES
 from tillroll.operators.clean import bad_dates, clean, daily_extract
 from tillroll.operators.dims import sku_first, with_asin
+from tillroll.plans.daily import read_clean, read_day_totals
 from tillroll.sources import files as FL
 from tillroll.sources.reports import read_report
 from tillroll.sources.sinks import append_new_files
@@ -128,11 +129,11 @@ def test_stream_ingest_batches_equal_one_run(spark, tmp):
     for d in (1, 2, 3):
         _csv(f"{tmp}/in2/germany_sales_2025-03-0{d}.csv", DE_HEADER, rows(d))
     run_ingest(spark, f"{tmp}/in2", f"{tmp}/tbl2", f"{tmp}/ck2", "de", "EU - Germany")
-    a = sorted((r["order_id"], r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/tbl").collect())
-    b = sorted((r["order_id"], r["report_date"], r["market"]) for r in spark.read.parquet(f"{tmp}/tbl2").collect())
+    a = sorted((r["order_id"], r["report_date"], r["market"]) for r in read_clean(spark, f"{tmp}/tbl").collect())
+    b = sorted((r["order_id"], r["report_date"], r["market"]) for r in read_clean(spark, f"{tmp}/tbl2").collect())
     assert a == b and len(a) == 3
     assert a[0][1] == dt.date(2025, 3, 1)
-    days = sorted((r["date"], r["cents"]) for r in spark.read.parquet(f"{tmp}/days").collect())
+    days = sorted((r["date"], r["cents"]) for r in read_day_totals(spark, f"{tmp}/days").collect())
     assert days == [(dt.date(2025, 3, d), 1000) for d in (1, 2, 3)]
 
 

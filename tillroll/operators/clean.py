@@ -117,22 +117,6 @@ def bad_dates(raw: DataFrame, profile) -> DataFrame:
             .filter(F.col("date_time").isNotNull() & F.col("_ts").isNull()).drop("_ts"))
 
 
-def market_status(good: DataFrame, bad: DataFrame) -> DataFrame:
-    """H4/H6: per market the files, rows and missing amounts of the clean rows, and the
-    quarantined lines by reason. ``good`` has market, file_id and product_sales, ``bad``
-    market, file_id and reason."""
-    both = good.select("market", "file_id", F.lit(None).cast("string").alias("reason"),
-                       F.col("product_sales").isNull().alias("lost")).unionByName(
-        bad.select("market", "file_id", "reason", F.lit(False).alias("lost")))
-    count = lambda cond: F.count(F.when(cond, 1))
-    # one row per file first: a market with very many rows is summed before it meets
-    per_file = both.groupBy("market", "file_id").agg(
-        count(F.col("reason").isNull()).alias("rows"), count(F.col("reason") == "date").alias("bad_dates"),
-        count(F.col("reason") == "wide").alias("wide_rows"), count(F.col("lost")).alias("null_amounts"))
-    return per_file.groupBy("market").agg(
-        F.count("file_id").alias("files"), *[F.sum(c).alias(c) for c in ("rows", "bad_dates", "wide_rows", "null_amounts")])
-
-
 def null_counts(clean_df: DataFrame, columns) -> DataFrame:
     """H4: how many values of each numeric column did not parse (one row)."""
     present = [c for c in columns if c in clean_df.columns]

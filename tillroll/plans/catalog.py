@@ -7,8 +7,6 @@ Column names match between the two; money is exact cents shown as
 
 from __future__ import annotations
 
-import functools
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +19,7 @@ from tillroll.operators.clean import clean, daily_extract
 from tillroll.operators.dims import sku_dimension, sku_first, sku_map_json, with_asin
 from tillroll.plans import bindings as B
 from tillroll.plans import sql_mirror as M
-from tillroll.session import checkpoint_dir, load_table
+from tillroll.session import load_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -695,28 +693,70 @@ SELECT m.market, count(DISTINCT l_returnflag) AS files,
        CAST(0 AS BIGINT) AS wide_rows, count(*) FILTER (WHERE l_linenumber = 6) AS null_amounts
 FROM {_LINE} CROSS JOIN (VALUES {', '.join(f"('{v}')" for v in _MARKETS.values())}) m(market) GROUP BY m.market""")
 def q_ingest_status(spark, d):
-    """Status of the EU markets' reports (one file per return flag): every line number 7 has no
-    readable date, every line number 6 no readable amount."""
-    from tillroll.operators.clean import market_status
-    good, bad = [], []
-    for p, m in _MARKETS.items():
-        rep = B.raw_report_from(B.line_tx(spark, d), p, keep=["l_linenumber", F.col("l_returnflag").alias("file_id")])
-        day, amount = B.raw_header(p, "date_time"), B.raw_header(p, "product_sales")
-        line = F.col("l_linenumber")
-        rep = rep.withColumns({day: F.when(line == 7, F.lit("n/a")).otherwise(F.col(day)),
-                               amount: F.when(line == 6, F.lit("n/a")).otherwise(F.col(amount))})
-        rows = standardize(rep.drop("l_linenumber"), p).withColumn("market", F.lit(m))
-        good.append(rows.filter(F.col("date").isNotNull()).select("market", "file_id", "product_sales"))
-        bad.append(rows.filter(F.col("date").isNull()).select("market", "file_id", F.lit("date").alias("reason")))
-    union = lambda parts: functools.reduce(DataFrame.unionByName, parts)
-    return market_status(union(good), union(bad))
+    """The ingest job's own record of the EU markets' report files (one per return flag, at full width): every line
+    number 7 has no readable date, every line number 6 no readable amount."""
+    from tillroll.plans.daily import MarketSource, file_states
+    land, table = _written(spark, "land"), _written(spark, "clean")
+    for p in _MARKETS:
+        _report_files(spark, d, p, f"{land}/{p}", spoil=True)
+    _ingest(spark, [MarketSource(m, p, f"{land}/{p}") for p, m in _MARKETS.items()], table)
+    counts = [F.sum(c).alias(c) for c in ("rows", "bad_dates", "wide_rows", "null_amounts")]
+    return (file_states(spark, table).filter("state = 'taken'").groupBy("market")
+            .agg(F.count("*").alias("files"), *counts))
+
+
+def _report_files(spark, d, profile: str, folder: str, only=None, spoil: bool = False) -> None:
+    """One report file per return flag, as landed names; ``only`` filters the line items."""
+    from tillroll.sources.sinks import publish_file
+    line = F.col("l_linenumber")
+    for k, flag in enumerate("ANR"):
+        tx = B.line_tx(spark, d).filter(F.col("l_returnflag") == flag)
+        rep = B.raw_report_from(tx if only is None else tx.filter(only), profile, keep=["l_linenumber"])
+        if spoil:
+            day, amount = B.raw_header(profile, "date_time"), B.raw_header(profile, "product_sales")
+            rep = rep.withColumns({day: F.when(line == 7, F.lit("n/a")).otherwise(F.col(day)),
+                                   amount: F.when(line == 6, F.lit("n/a")).otherwise(F.col(amount))})
+        publish_file(rep.drop("l_linenumber"), folder, f"market_sales_2025-03-0{k + 1}.csv")
+
+
+def _ingest(spark, sources, table: str, **kw) -> None:
+    from tillroll.plans.daily import ingest_status
+    failed = [r["error"] for r in ingest_status(spark, sources, table, **kw) if r["error"]]
+    if failed:
+        raise RuntimeError("; ".join(failed))
+
+
+@query("ingest_clean_us", B.clean_expected_sql("us", with_asin=True))
+def q_ingest_clean_us(spark, d):
+    """Report files of 30 columns through the job, with the SKU lookup; every file arrives short
+    first and whole in its second version, which replaces the first."""
+    from tillroll.plans.daily import MarketSource, read_clean
+    land, table = _written(spark, "land"), _written(spark, "clean")
+    for only in ("l_linenumber < 3", None):
+        _report_files(spark, d, "us", land, only)
+        _ingest(spark, [MarketSource("US", "us", land)], table, sku_dim=_sku_dim(spark, d))
+    return read_clean(spark, table).drop("file_id", "version", "run_id", "market", "report_date", "source_file")
+
+
+@query("ingest_day_totals", f"""
+SELECT 'EU - Germany' AS market, CAST(ts AS DATE) AS date, CAST(sum(ps) AS DECIMAL(22,2)) AS cents FROM {_LINE}
+WHERE l_linenumber > 2 GROUP BY CAST(ts AS DATE)""")
+def q_ingest_day_totals(spark, d):
+    """A1: day totals after every file was replaced by a version without its first two lines per order: the old
+    version's rows go out as negative deltas, the new one's come in."""
+    from tillroll.plans.daily import MarketSource, read_day_totals
+    land, table = _written(spark, "land"), _written(spark, "clean")
+    for only in (None, "l_linenumber > 2"):
+        _report_files(spark, d, "de", land, only)
+        _ingest(spark, [MarketSource("EU - Germany", "de", land)], table, day_table=f"{table}_days")
+    return read_day_totals(spark, f"{table}_days")
 
 
 # ---------------------------------------------------------------- files written and read back
 
 def _written(spark, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tillroll-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 @query("read_master", _raw_select("us", lambda c: B.raw_header("us", c)))
@@ -728,6 +768,75 @@ def q_read_master(spark, d):
     return read_master(spark, path)
 
 
+# Part columns as a master sheet writes them: whole numbers with gaps, decimals, mixed forms, dates, flags, padded codes.
+_MASTER = {
+    "part": "CAST(p_partkey AS {text})",
+    "size": "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_size AS {text}) END",
+    "price": "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS {text})",
+    "half": "CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS {text}) ELSE concat(CAST(p_partkey AS {text}), '.5') END",
+    "mixed": "CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE CAST(p_partkey AS {text}) END",
+    "code": "lpad(CAST(p_partkey AS {text}), 9, '0')",
+    "day": "CAST(DATE '2024-01-01' + CAST(p_partkey % 300 AS INT) AS {text})",
+    "big": "CASE WHEN p_size > 25 THEN 'true' ELSE 'FALSE' END",
+    "name": "p_name",
+    "blank": "''",
+}
+_MASTER_SQL = f"SELECT {', '.join(x.format(text="VARCHAR") + ' AS ' + c for c, x in _MASTER.items())} FROM part"
+
+
+def _infer_sql(c: str) -> str:
+    """One column's type: the first in the list that fits every value that is there."""
+    fits = {"bigint": "'-?(0|[1-9][0-9]{0,17})'", "double": "'-?(0|[1-9][0-9]*)?(\\.[0-9]+)?'",
+            "boolean": "'(?i)(true|false)'", "date": "'[0-9]{4}-[0-9]{2}-[0-9]{2}'"}
+    cases = " ".join(f"WHEN bool_and(regexp_full_match({c}, {p})) THEN '{t}'" for t, p in fits.items())
+    return f"SELECT '{c}' AS column_name, CASE {cases} ELSE 'string' END AS type FROM m WHERE {c} <> ''"
+
+
+@query("master_types", f"WITH m AS ({_MASTER_SQL}) " + " UNION ALL ".join(_infer_sql(c) for c in _MASTER))
+def q_master_types(spark, d):
+    """The types of a master sheet's columns, inferred from all their values."""
+    from tillroll.sources.infer import infer_types
+    from tillroll.sources.reports import read_master
+    return infer_types(read_master(spark, _master_file(spark, d)))
+
+
+def _master_file(spark, d) -> str:
+    path = _written(spark, "master")
+    (load_table(spark, d, "part").select(*[F.expr(x.format(text="string")).alias(c) for c, x in _MASTER.items()])
+     .write.option("header", True).csv(path))
+    return path
+
+
+@query("read_master_typed", f"""
+SELECT CAST(part AS BIGINT) AS part, CASE WHEN size <> '' THEN CAST(size AS BIGINT) END AS size, CAST(price AS DOUBLE) AS price,
+       CAST(half AS DOUBLE) AS half, mixed, code, CAST(day AS DATE) AS day, lower(big) = 'true' AS big, name
+FROM ({_MASTER_SQL})""")
+def q_read_master_typed(spark, d):
+    """The master sheet read with its inferred types."""
+    from tillroll.sources.reports import read_master
+    return read_master(spark, _master_file(spark, d), types=True).drop("blank")
+
+
+@query("publish_status", """
+SELECT o_orderpriority || '.csv' AS name, o_orderpriority <> '5-LOW' AS ok,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN count(*) ELSE 0 END AS "rows",
+       CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(sum(o_orderkey) AS BIGINT) END AS keys FROM orders GROUP BY o_orderpriority""")
+def q_publish_status(spark, d):
+    """One flat file per order priority, of which one fails; the status table beside what the files hold."""
+    from tillroll.sources.sinks import publish_all
+    path = _written(spark, "published")
+    orders = load_table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    names = [r[0] for r in orders.select("o_orderpriority").distinct().collect()]      # five priorities
+    broken = F.when(F.col("o_orderpriority") == "5-LOW", F.raise_error(F.lit("no report"))).otherwise(F.col("o_orderstatus"))
+    frames = {f"{n}.csv": orders.filter(F.col("o_orderpriority") == n).withColumn("o_orderstatus", broken) for n in names}
+    publish_all(frames, path, status_path=f"{path}_status", flat=True)
+    held = (spark.read.schema("o_orderkey long, o_orderpriority string, o_orderstatus string").option("header", True).csv(path)
+            .groupBy(F.concat("o_orderpriority", F.lit(".csv")).alias("name"))
+            .agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys")))
+    return spark.read.parquet(f"{path}_status").join(held, "name", "left").select(
+        "name", "ok", F.coalesce("rows", F.lit(0)).alias("rows"), "keys")
+
+
 @query("overwrite_clean", """
 SELECT o_orderkey, o_orderpriority AS market,
        CASE WHEN o_orderpriority = '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders""")
