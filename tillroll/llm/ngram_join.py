@@ -81,7 +81,7 @@ def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int
     blocks_n = max(1, -(-(size or 0) // block_bytes))
     slices_n = slice_count(blocks_n)
     cut_bits = np.uint64(16)
-    blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks_n)).cast("int"))
+    blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks_n)).cast("long"))
 
     def block_sets(texts):
         sets = []
