@@ -589,7 +589,7 @@ def automaton_scores(rows, kappa, order):
     block = lm.Block(*parts.arrays(), order)
     row = np.array([r for r, _ in parts.rows])
     learn = np.array([bool(x[2]) for x in rows])
-    total = block.counts(learn[row])
+    total, _ = block.totals(block.counts(learn[row]), {}, 1)
     word = (block.keys & np.uint64(7)) == 0
     n_words, n_kinds = int(total[word].sum()), int((total[word] > 0).sum())
     found = lm.Automaton(block, total, n_words, n_kinds, int(learn.sum()), kappa).walk(block)
@@ -615,7 +615,8 @@ def test_long_texts_are_read_in_runs():
 def test_totals_go_beyond_32_bits():
     keys = [np.array([8, 9, 16], np.uint64), np.array([8, 16], np.uint64)]
     counts = [np.array([2**32 - 1, 5, 1], np.int64), np.array([2**32 - 1, 2], np.int64)]
-    found, total, places = tot.add_up(keys * 3, counts * 3, np.int64)
+    found, total, places, held = tot.add_up(keys * 3, counts * 3, np.int64)
+    assert held.tolist() == [2, 2, 2] and tot.add_up(keys, counts, np.int64)[3].tolist() == [2, 1, 2]
     assert found.tolist() == [8, 9, 16] and total.tolist() == [6 * (2**32 - 1), 15, 9]
     assert places[1].tolist() == [0, 2] and tot.add_up(keys, counts, np.uint8)[1].tolist() == [255, 5, 3]
 
@@ -635,12 +636,15 @@ def test_totals_over_blocks(spark, direct):
             totals.update(dict(zip(keys.tolist(), counts.tolist())))
             rows += tot.messages(b, keys, counts, n).to_pylist()
         sent = spark.createDataFrame(rows, tot.SENT)
-        answers, (sums, kinds) = tot.corpus_totals(sent, n_blocks, np.int64, lambda k, t: (t.sum(), len(k)), direct)
+        answers, (sums, kinds) = tot.corpus_totals(sent, n_blocks, np.int64, lambda k, t: (t.sum(), len(k)), direct, marked=True)
+        holders = Counter(k for keys in held.values() for k in keys.tolist())
         got = answers.collect()
         assert (sums, kinds) == (sum(totals.values()), len(totals)) and len(got) == len(rows)
         for b, keys in held.items():
             mine = sorted((x["slice"], x["totals"]) for x in got if x["of_block"] == b)
-            assert np.concatenate([tot.unpacked(t, np.int64) for _, t in mine]).tolist() == [totals[k] for k in keys.tolist()]
+            told = np.concatenate([tot.unpacked(t, np.int64) for _, t in mine])
+            assert (told & ~tot.SHARED).tolist() == [totals[k] for k in keys.tolist()]
+            assert (told < 0).tolist() == [holders[k] > 1 for k in keys.tolist()]
         messages[n_blocks] = len(rows)
     # four times the blocks: sixteen times the messages, or less than ten
     assert messages[120] / messages[30] < 10 or direct

@@ -12,7 +12,8 @@ read any word. One pass from left to right carries the state and adds up the wei
 The counts cover all training documents, so they outgrow any one machine. Texts are dealt into blocks of
 bounded size where they lie. Each block sends its distinct n-grams with its own counts, sorted and cut into
 slices by key; a slice's total is made in one place and sent back to the blocks that asked for
-it. A block thus builds just the part of the automaton that its own texts walk through. Long texts are cut into
+it. N-grams of three words or more are sent length by length, and only those that other blocks may hold: both of
+the n-grams of one word less in them are held by others. A block thus builds just the part of the automaton that its own texts walk through. Long texts are cut into
 parts; a part's first state follows from the ``order - 1`` words before it.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import (
     crc32_of_id, mix, packed, packed_keys, read, ship, slices, stored, unpacked, unpacked_keys,
 )
-from tillroll.llm.totals import SENT, corpus_totals, messages, slice_count
+from tillroll.llm.totals import SENT, SHARED, corpus_totals, messages, slice_count
 
 #: Hashes of the end of a text and of the history before its first word; no word holds a space.
 END, START = np.uint64(xxhash.xxh64_intdigest(b" end")), np.uint64(xxhash.xxh64_intdigest(b" start"))
@@ -124,8 +125,14 @@ class Block:
         self.tokens, self.starts, self.lead, self.order = tokens, starts, lead, order
         keys, there, self.counted = ngram_keys(tokens, starts, lead, order)
         self.keys, inverse = np.unique(keys[there], return_inverse=True)
-        self.at = np.full(keys.shape, -1, np.int64)
+        self.at = np.full(keys.shape, -1, np.int32)
         self.at[there] = inverse
+        self.length = (self.keys & np.uint64(7)).astype(np.int8) + 1
+        # one place where each n-gram ends: it gives its last word, its history and its suffix
+        self.place = np.zeros(len(self.keys), np.int32)
+        for at in self.at:
+            has = np.flatnonzero(at >= 0)
+            self.place[at[has]] = has
 
     def counts(self, learn: np.ndarray) -> np.ndarray:
         """How often each n-gram stands in the parts that are learned from."""
@@ -136,6 +143,36 @@ class Block:
             out += np.bincount(some, minlength=len(out))
         return out
 
+    def levels(self) -> list[int]:
+        """Lengths up to which n-grams go in one exchange each: two, then one more each."""
+        return [2, *range(3, self.order + 1)]
+
+    def sent(self, level: int, shared: np.ndarray) -> np.ndarray:
+        """The places of the keys that this block sends in the exchange of a level, in order.
+
+        ``shared`` tells of shorter n-grams which of them other blocks hold too: a longer one with an n-gram inside
+        that no other block holds is in no other block, and its total is the block's own.
+        """
+        if level == 2:
+            return np.flatnonzero(self.length <= 2)
+        of = np.flatnonzero(self.length == level)
+        place = self.place[of]
+        return of[shared[self.at[level - 2, place]] & shared[self.at[level - 2, place - 1]]]
+
+    def totals(self, local: np.ndarray, told: dict[int, dict[int, np.ndarray]], n: int,
+               upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All keys' totals, from the answers (by level and slice) to what was sent, and which are shared."""
+        total, shared = local.copy(), np.zeros(len(local), bool)
+        for level in self.levels():
+            if upto is not None and level >= upto:
+                break
+            of = self.sent(level, shared)
+            edge = slices(self.keys[of], n)
+            for k, t in told.get(level, {}).items():
+                some = of[edge[k]:edge[k + 1]]
+                total[some], shared[some] = t & ~SHARED, t < 0
+        return total, shared
+
 
 class Automaton:
     """The states and arcs that a block's parts can meet.
@@ -147,12 +184,7 @@ class Automaton:
     def __init__(self, block: Block, total: np.ndarray, n_words: int, n_kinds: int, n_texts: int, kappa: float):
         k_, order = len(block.keys), block.order
         self.root, self.start = k_, k_ + 1
-        length = (block.keys & np.uint64(7)).astype(np.int64) + 1
-        # one place where each n-gram ends: it gives its last word, its history and its suffix
-        place = np.zeros(k_, np.int64)
-        for at in block.at:
-            has = np.flatnonzero(at >= 0)
-            place[at[has]] = has
+        length, place = block.length, block.place
         word_at = block.at[0]
         self.words = np.cumsum(length == 1) - 1                  # number of a word's key among words
         self.n = max(1, int((length == 1).sum()))
@@ -264,7 +296,7 @@ def _of(block: pa.Table, column: str) -> pa.Array:
 
 
 def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: str = "text", order: int = 3,
-                kappa: float = 4.0, block_bytes: int = 8 << 20) -> DataFrame:
+                kappa: float = 4.0, block_bytes: int = 4 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, training, n_tokens, n_known, train_tokens, base_score, score.
 
     ``training`` names a boolean column: true where a document is learned from
@@ -289,28 +321,53 @@ def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: st
     texts = blocks.select(F.explode(F.arrays_zip("row", "training")).alias("r")).where("r.training").agg(
         F.count_distinct("r.row")).first()[0] if n_blocks else 0
 
-    def count(batches):
+    def opened(row: pa.Table) -> tuple[Block, np.ndarray]:
+        block = _unpack(row, order)
+        return block, block.counts(_of(row, "training").to_numpy(zero_copy_only=False).astype(bool))
+
+    def by_level(told: pa.Table) -> dict:
+        found: dict = {}
+        for level, k, t in zip(*(told[c].to_pylist() for c in ("level", "slice", "totals"))):
+            found.setdefault(level, {})[k] = unpacked(t, np.int64)
+        return found
+
+    def ask(row: pa.Table, block: Block, local: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
+        return messages(row["block"][0].as_py(), block.keys[of], local[of], n)
+
+    def first(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 row = pa.Table.from_batches([batch.slice(k, 1)])
-                block = _unpack(row, order)
-                counts = block.counts(_of(row, "training").to_numpy(zero_copy_only=False).astype(bool))
-                yield messages(row["block"][0].as_py(), block.keys, counts, n)
+                block, local = opened(row)
+                yield ask(row, block, local, block.sent(2, np.zeros(0, bool)))
 
     def of_words(keys, totals):
         word = (keys & np.uint64(7)) == 0
         return totals[word].sum(), (totals[word] > 0).sum()
 
-    answers, (n_words, n_kinds) = corpus_totals(blocks.mapInArrow(count, SENT), n_blocks, np.int64, of_words)
+    answers, (n_words, n_kinds) = corpus_totals(blocks.mapInArrow(first, SENT), n_blocks, np.int64, of_words,
+                                                 marked=True)
+    answers = answers.withColumn("level", F.lit(2))
+    def asks(level: int):
+        def longer(row: pa.Table, told: pa.Table) -> pa.Table:
+            if not row.num_rows:
+                return _SENT.empty_table()
+            block, local = opened(row)
+            _, shared = block.totals(local, by_level(told), n, upto=level)
+            return pa.Table.from_batches([ask(row, block, local, block.sent(level, shared))])
+
+        return longer
+
+    for level in range(3, order + 1):
+        sent = blocks.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(asks(level), SENT)
+        more, _ = corpus_totals(sent, n_blocks, np.int64, marked=True)
+        answers = stored(answers.unionByName(more.withColumn("level", F.lit(level))), "lm_totals")
 
     def score(row: pa.Table, told: pa.Table) -> pa.Table:
         if not row.num_rows:
             return _SCORED.empty_table()
-        block = _unpack(row, order)
-        total = np.zeros(len(block.keys), np.int64)
-        edge = slices(block.keys, n)
-        for s, t in zip(told["slice"].to_pylist(), told["totals"].to_pylist()):
-            total[edge[s]:edge[s + 1]] = unpacked(t, np.int64)
+        block, local = opened(row)
+        total, _ = block.totals(local, by_level(told), n)
         found = Automaton(block, total, n_words, n_kinds, texts, kappa).walk(block)
         own = block.counted
         count_ = np.where(block.at[0] >= 0, total[block.at[0]], 0)
@@ -328,6 +385,7 @@ def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: st
         "doc_id", "training", "n_tokens", "n_known", F.lit(n_words).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+_SENT = pa.schema([("slice", pa.int32()), ("of_block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("training", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 

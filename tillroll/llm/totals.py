@@ -41,33 +41,44 @@ def messages(block: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Rec
         names=["slice", "of_block", "keys", "counts"])
 
 
-def add_up(keys: list[np.ndarray], counts: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys in order, their totals (64-bit, at most what ``dtype`` holds), and each sender's places among them."""
+#: Set in a marked total: more than one block holds the key.
+SHARED = np.int64(-1 << 63)
+
+
+def add_up(keys: list[np.ndarray], counts: list[np.ndarray], dtype, held: list[np.ndarray] | None = None):
+    """Distinct keys in order, their totals (64-bit, at most what ``dtype`` holds), each sender's places among them, and
+    how many blocks hold each (2 for more); ``held`` says so for each sender's keys, else a sender is a block."""
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
     edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
     places = [at[a:b] for a, b in zip(edge[:-1], edge[1:])]
-    total = np.zeros(len(found), np.int64)
-    for p, c in zip(places, counts):
+    total, blocks = np.zeros(len(found), np.int64), np.zeros(len(found), np.uint8)
+    for k, (p, c) in enumerate(zip(places, counts)):
         total[p] += c.astype(np.int64)              # a sender has a key once
-    return found, np.minimum(total, np.iinfo(dtype).max).astype(dtype), places
+        blocks[p] = np.minimum(blocks[p] + (np.uint8(1) if held is None else held[k]), 2)
+    return found, np.minimum(total, np.iinfo(dtype).max).astype(dtype), places, blocks
 
 
 def _read(table: pa.Table, dtype):
-    return ([unpacked_keys(k) for k in table["keys"].to_pylist()], [unpacked(c, dtype) for c in table["counts"].to_pylist()])
+    held = [unpacked(h, np.uint8) for h in table["held"].to_pylist()] if "held" in table.column_names else None
+    return ([unpacked_keys(k) for k in table["keys"].to_pylist()], [unpacked(c, dtype) for c in table["counts"].to_pylist()],
+            dtype, held)
 
 
-def corpus_totals(sent: DataFrame, n_blocks: int, dtype, sums=None, direct: int | None = None) -> tuple[DataFrame, list[int]]:
+def corpus_totals(sent: DataFrame, n_blocks: int, dtype, sums=None, direct: int | None = None,
+                  marked: bool = False) -> tuple[DataFrame, list[int]]:
     """``(of_block, slice, totals)`` for every row of ``sent``, in the order of its keys, and the sums asked for.
 
     ``sent`` are ``messages`` with ``slice_count`` slices and counts of type ``dtype``, which totals have too (no more than
-    it holds). ``sums(keys, totals)`` gives numbers that are added up over all distinct keys.
+    it holds). ``sums(keys, totals)`` gives numbers that are added up over all distinct keys. With ``marked`` (64-bit
+    totals) those of keys that more than one block sent have the bit ``SHARED`` set.
     """
     n = slice_count(n_blocks, direct)
     size = np.dtype(dtype)
 
     def answer(table: pa.Table, by: str) -> pa.Table:
-        found, total, places = add_up(*_read(table, size), size)
+        found, total, places, blocks = add_up(*_read(table, size))
         extra = [int(x) for x in sums(found, total)] if sums else []
+        total = total | np.where(blocks > 1, SHARED, 0) if marked else total
         rows = table.num_rows
         # the sums stand in one row
         return pa.table({by: table[by], "slice": table["slice"], **({"fine": table["fine"]} if by == "part" else {}),
@@ -98,7 +109,7 @@ def corpus_totals(sent: DataFrame, n_blocks: int, dtype, sums=None, direct: int
                                [len(keys)]])
 
     def gather(table: pa.Table) -> pa.Table:
-        found, total, _ = add_up(*_read(table, size), size)
+        found, total, _, blocks = add_up(*_read(table, size))
         k, part = table["slice"][0].as_py(), table["part"][0].as_py()
         edge = finer(found, k)
         full = np.flatnonzero(np.diff(edge))
@@ -106,19 +117,20 @@ def corpus_totals(sent: DataFrame, n_blocks: int, dtype, sums=None, direct: int
         return pa.table({"slice": pa.array([k] * len(full), pa.int32()), "fine": pa.array(full, pa.int32()),
                          "part": pa.array([part] * len(full), pa.int32()),
                          "keys": pa.array([packed_keys(found[c]) for c in cut], pa.binary()),
-                         "counts": pa.array([packed(total[c]) for c in cut], pa.binary())})
+                         "counts": pa.array([packed(total[c]) for c in cut], pa.binary()),
+                         "held": pa.array([packed(blocks[c]) for c in cut], pa.binary())})
 
     def back(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.schema([("of_block", pa.int64()), ("slice", pa.int32()), ("totals", pa.binary())]).empty_table()
-        found, total, places = add_up(*_read(table, size), size)
+        found, total, places, _ = add_up(*_read(table, size))
         edge = finer(found, table["slice"][0].as_py())
         for f, t in zip(told["fine"].to_pylist(), told["totals"].to_pylist()):
             total[edge[f]:edge[f + 1]] = unpacked(t, size)
         return pa.table({"of_block": table["of_block"], "slice": table["slice"],
                          "totals": pa.array([packed(total[p]) for p in places], pa.binary())})
 
-    gathered = sent.groupBy("part", "slice").applyInArrow(gather, "slice int, fine int, part int, keys binary, counts binary")
+    gathered = sent.groupBy("part", "slice").applyInArrow(gather, "slice int, fine int, part int, keys binary, counts binary, held binary")
     met = gathered.groupBy("slice", "fine").applyInArrow(
         lambda t: answer(t, "part"), "part int, slice int, fine int, totals binary, sums array<long>")
     met, got = added(met)
