@@ -11,7 +11,7 @@ import unicodedata
 import numpy as np
 
 #: Words, and parts of words, whose ids a worker remembers at most; beyond, it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 
 def _apart_at_spaces(config: dict) -> bool:
