@@ -26,3 +26,29 @@ def test_cleaners_are_narrow_and_jvm_only(spark):
 def test_estimate_scan_reads_three_columns(spark):
     plan = _plan(E.estimate(B.orders_tx(spark, SF_SMALL), B.CUTOFF))
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+
+
+def test_report_plans_have_no_method_that_the_jvm_interprets(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    try:
+        clean(B.raw_report(spark, SF_SMALL, "es"), "es")
+        assert int(spark.conf.get(key)) == 8000
+        spark.conf.set(key, "4000")         # a lower limit stays
+        B.raw_report(spark, SF_SMALL, "us")
+        assert spark.conf.get(key) == "4000"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_money_texts_of_all_sizes(spark):
+    cents = [0, 5, 99, 100, -1, 99999, 100000, -123456, 99999999, 100000000, -123456789012, 10**17]
+    df = spark.createDataFrame([(c,) for c in cents], "c long")
+    rows = df.select("c", B._money_eu("c").alias("eu"), B._money_us("c").alias("us")).collect()
+    for r in rows:
+        whole, rest = divmod(abs(r["c"]), 100)
+        sign = "-" if r["c"] < 0 else ""
+        assert r["us"] == f"{sign}{whole}.{rest:02d}"
+        assert r["eu"] == f"{sign}{whole:,}".replace(",", ".") + f",{rest:02d}"
+    # the places of up to six digits are cut by arithmetic: no padding to 18 digits for each of them
+    assert "< 1000000" in _plan(df.select(B._money_eu("c")))

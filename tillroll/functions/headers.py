@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.locales import LocaleProfile
+from tillroll.session import compiled_rows
 
 
 def _apostrophes(s: str) -> str:
@@ -27,6 +28,7 @@ def normalize_headers(df: DataFrame, profile: LocaleProfile | None = None) -> Da
 
     Columns are picked by position, so duplicate source names are no problem.
     """
+    compiled_rows(df.sparkSession)
     names = [normalize_header(c, profile) for c in df.columns]
     first = {}
     for i, n in enumerate(names):

@@ -101,7 +101,8 @@ def with_month_token(df, text: str, months: dict):
 
 def collapse_spaces(c) -> Column:
     """Runs of plain spaces -> one space, trimmed (text with plain spaces only)."""
-    return F.trim(F.regexp_replace(_col(c), " {2,}", " "))
+    text = _col(c)
+    return F.trim(F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text))
 
 
 # -- date and time ---------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.locales import PROFILES
-from tillroll.session import load_table
+from tillroll.session import compiled_rows, load_table
 
 # Cutoffs used by the queries (parameters, never the clock).
 CUTOFF = "1998-06-16"             # mid-month: report 1998-06-15
@@ -123,31 +123,37 @@ FROM (SELECT l_shipdate + to_seconds({_TS_SECS}) AS ts, l_orderkey, l_linenumber
 """
 
 
-def _money_us(c: str):
+def _whole_and_rest(c: str):
+    """Sign, whole units and two digits of cents, by integer arithmetic."""
     v = F.col(c)
-    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")),
-                    (F.abs(v) / 100).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad((F.abs(v) % 100).cast("string"), 2, "0"))
+    a = F.abs(v)
+    return (F.when(v < 0, F.lit("-")).otherwise(F.lit("")), F.call_function("div", a, F.lit(100)),
+            F.lpad((a % 100).cast("string"), 2, "0"))
+
+
+def _money_us(c: str):
+    sign, whole, rest = _whole_and_rest(c)
+    return F.concat(sign, whole.cast("string"), F.lit("."), rest)
 
 
 def grouped_digits(v, sep: str):
     """Non-negative integer (< 10^18) -> digits with a separator every three places.
 
-    Branch-free: zero-pad to 18 digits, join six groups, trim leading zeros
-    and separators (0 stays ``0``).
+    Up to six digits are cut by arithmetic; more are zero-padded to 18 digits, of which six
+    groups are joined and leading zeros and separators trimmed.
     """
     padded = F.lpad(v.cast("string"), 18, "0")
     groups = F.concat_ws(sep, *[F.substring(padded, 1 + 3 * k, 3) for k in range(6)])
-    return F.when(v == 0, F.lit("0")).otherwise(F.ltrim(groups, F.lit("0" + sep)))
+    return (F.when(v < 1000, v.cast("string"))
+            .when(v < 1000000, F.concat(F.call_function("div", v, F.lit(1000)).cast("string"), F.lit(sep),
+                                        F.lpad((v % 1000).cast("string"), 3, "0")))
+            .otherwise(F.ltrim(groups, F.lit("0" + sep))))
 
 
 def money_text(c: str, thousands: str, decimal: str):
     """Cents -> ``-1.234,56`` style text by integer arithmetic (no per-row formatter)."""
-    v = F.col(c)
-    a = F.abs(v)
-    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")),
-                    grouped_digits((a / 100).cast("bigint"), thousands), F.lit(decimal),
-                    F.lpad((a % 100).cast("string"), 2, "0"))
+    sign, whole, rest = _whole_and_rest(c)
+    return F.concat(sign, grouped_digits(whole, thousands), F.lit(decimal), rest)
 
 
 def _money_eu(c: str):
@@ -229,6 +235,7 @@ def raw_report(spark: SparkSession, d: str, profile: str, with_duplicate_header:
 def raw_report_from(tx: DataFrame, profile: str, with_duplicate_header: bool = False,
                     keep=()) -> DataFrame:
     """``raw_report`` over a given ``line_tx`` frame; ``keep`` columns ride along."""
+    compiled_rows(tx.sparkSession)
     eu = profile not in ("us", "us2")
     money = _money_eu if eu else _money_us
     sep = F.when(F.col("l_linenumber") == 2, F.lit(NBSP)).otherwise(F.lit(" ")) if profile == "fr" else None

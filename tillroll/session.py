@@ -43,6 +43,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+#: Bytes of bytecode beyond which HotSpot leaves a method to its interpreter.
+METHOD_BYTES = 8000
+
+
+def compiled_rows(spark: SparkSession) -> None:
+    """Let plans over the 30 columns of a report run compiled.
+
+    Whole-stage code puts all columns of a projection into one method. Beyond ``METHOD_BYTES`` the JVM interprets
+    such a method, ten times slower, yet Spark keeps it up to 65,535 bytes. With this limit Spark runs a
+    stage with such a method operator by operator, in short methods; other stages stay as they are.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key, "65535")) > METHOD_BYTES:
+        spark.conf.set(key, str(METHOD_BYTES))
+
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
