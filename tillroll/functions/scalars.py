@@ -128,13 +128,13 @@ def weekday_name(d) -> Column:
 # -- numbers ---------------------------------------------------------------
 
 def to_number_us(c, dtype: str = MONEY) -> Column:
-    """Dot-decimal text -> number, else null (``1,234.56`` is null, as in the source)."""
-    return F.trim(_col(c)).try_cast(dtype)
+    """Dot-decimal text -> number, else null (``1,234.56`` is null, as in the source); the cast trims."""
+    return _col(c).try_cast(dtype)
 
 
 def to_number_eu(c, dtype: str = MONEY) -> Column:
     """Decimal-comma text -> number: drop every ``.``, then ``,`` -> ``.``; else null."""
-    text = F.replace(F.replace(F.trim(_col(c)), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    text = F.replace(F.replace(_col(c), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     return text.try_cast(dtype)
 
 

@@ -73,18 +73,18 @@ def standardize(raw: DataFrame, profile, strict: bool = False,
     """
     p = _profile(profile)
     df = locale_rename(normalize_headers(raw, p), p)
-    df = with_report_datetime(df, p)
+    # Numbers first: the steps of the date then carry 8 bytes a number, not its text.
+    nums = {c: to_number(c, p, strip_thousands) for c in p.numeric_columns if c in df.columns}
+    if strict:
+        nums = {c: _strict(v, F.col(c), c) for c, v in nums.items()}
+    if not p.decimal_comma and "product_sales" in nums:
+        nums["product_sales"] = round_half_even(nums["product_sales"], 2).cast(MONEY)
+    df = with_report_datetime(df.withColumns(nums) if nums else df, p)
     if strict:
         df = df.withColumn("_ts", _strict(F.col("_ts"), F.col("date_time"), "date"))
     df = df.select(
         "*", date_part("_ts").alias("date"), time_part("_ts").alias("time"),
         weekday_name("_ts").alias("weekday"))
-    nums = {c: to_number(c, p, strip_thousands) for c in p.numeric_columns if c in df.columns}
-    if strict:
-        nums = {c: _strict(v, F.col(c), c) for c, v in nums.items()}
-    df = df.withColumns(nums) if nums else df
-    if not p.decimal_comma and "product_sales" in df.columns:
-        df = df.withColumn("product_sales", round_half_even("product_sales", 2).cast(MONEY))
     return df.drop("_ts", "data_time", *([] if keep_text else ["date_time"]))
 
 

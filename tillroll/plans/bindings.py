@@ -123,12 +123,16 @@ FROM (SELECT l_shipdate + to_seconds({_TS_SECS}) AS ts, l_orderkey, l_linenumber
 """
 
 
+#: ``00`` to ``99``: a constant array, so two digits take no number formatting.
+TWO_DIGITS = " ".join(f"{k:02d}" for k in range(100))
+
+
 def _whole_and_rest(c: str):
     """Sign, whole units and two digits of cents, by integer arithmetic."""
     v = F.col(c)
     a = F.abs(v)
     return (F.when(v < 0, F.lit("-")).otherwise(F.lit("")), F.call_function("div", a, F.lit(100)),
-            F.lpad((a % 100).cast("string"), 2, "0"))
+            F.get(F.split(F.lit(TWO_DIGITS), " "), (a % 100).cast("int")))
 
 
 def _money_us(c: str):
