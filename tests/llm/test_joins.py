@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -207,3 +208,20 @@ def test_vector_edge_cases(spark):
     assert sorted(map(tuple, emb.near_duplicates(twice).collect()), key=str) == sorted(
         [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, False)], key=str)
     assert emb.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_words_of_a_crowded_tile_are_cut_a_part_at_a_time():
+    """pipeline: a tile's texts are not all lists of words at once, nor its bitmaps whole bytes a bit."""
+    r = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 5000, 2000)) for _ in range(400)] + [None, "", " "]
+    expected = [ngr.set_of(h, 5) for h in ngr.word_hashes([words(t) for t in texts])]
+    tracemalloc.start()
+    sets = ngr.word_sets(texts, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    some = ngr.tile_forest(list(range(400)), sets[:400], np.zeros(400, int), np.ones(400, bool), 80, 100, False)
+    bits = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(sets, expected)) and len(sets) == 403 and not some
+    assert peak < 30 << 20 and bits < 3 << 20, (peak, bits)

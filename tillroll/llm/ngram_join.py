@@ -46,8 +46,16 @@ def set_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(ngram_hashes(hashes, min(n, len(hashes))))
 
 
-def word_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
-    return [set_of(h, n) for h in word_hashes([words(t) for t in texts])]
+def word_sets(texts: list[str | None], n: int, room: int = 1 << 20) -> list[np.ndarray]:
+    """The sets of the texts, cut into words some ``room`` characters at a time: lists of words take ten times a text's room."""
+    sets, some, size = [], [], 0
+    for k, text in enumerate(texts):
+        some.append(words(text))
+        size += len(text or "")
+        if size >= room or k == len(texts) - 1:
+            sets += [set_of(h, n) for h in word_hashes(some)]
+            some, size = [], 0
+    return sets
 
 
 def bands_of(size: int, num: int, den: int, starts: np.ndarray) -> list[int]:
@@ -84,9 +92,7 @@ def describe_sets(given: DataFrame, n: int, num: int, den: int, block_bytes: int
     blocks = given.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks_n)).cast("long"))
 
     def block_sets(texts):
-        sets = []
-        for at in range(0, len(texts), 256):
-            sets += word_sets(texts[at:at + 256], n)
+        sets = word_sets(texts, n)
         return sets, [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
 
     def block_keys(sets, digests):
@@ -201,11 +207,12 @@ def tile_forest(ids: list[int], sets: list[np.ndarray], mine: np.ndarray, home:
     width = 64
     while width < min(4 * size.max(initial=1), 1 << 14):
         width *= 2
-    bits = np.zeros((len(sets), width), bool)
+    maps = np.empty((len(sets), width // 64), np.uint64)
+    bits = np.zeros(width, bool)
     for k, s in enumerate(sets):
-        bits[k, (mix(s) >> np.uint64(20)).astype(np.int64) % width] = True
-    maps = np.packbits(bits, axis=1).view(np.uint64)
-    del bits
+        bits[:] = False
+        bits[(mix(s) >> np.uint64(20)).astype(np.int64) % width] = True
+        maps[k] = np.packbits(bits).view(np.uint64)
     part, forest = np.arange(len(sets)), []
     for i in range(len(sets) - 1):
         end = int(np.searchsorted(size, size[i] * den // num, "right"))
@@ -273,9 +280,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                  .join(dealt, (F.col("id") == F.col("rep")) & (F.col("of") == F.col("digest"))).drop("id", "of"))
 
     def match(table: pa.Table) -> pa.Table:
-        t = table.sort_by("rep").to_pydict()
+        table = table.sort_by("rep")
+        t = table.drop_columns(["text"]).to_pydict()
         ids, sets, where, seen = [], [], [], set()
-        for k, (s, d) in enumerate(zip(word_sets(t["text"], n), t["digest"])):
+        for k, (s, d) in enumerate(zip(word_sets(table["text"].to_pylist(), n), t["digest"])):
             if d not in seen and xxhash.xxh128_digest(s.tobytes()) == d:  # not another row of that id
                 seen.add(d)
                 ids.append(t["rep"][k])
