@@ -25,7 +25,7 @@ from tillroll.llm import repeated_passages as rep
 from tillroll.llm import token_files as tok
 from tillroll.llm import totals as tot
 from tillroll.llm import url_rules as url
-from tillroll.llm.common import scratch_path, words
+from tillroll.llm.common import packed, scratch_path, unpacked, words
 from tillroll.llm.token_ids import Encoder, production_path
 
 SF = "/root/testdata/sf0.001"
@@ -671,3 +671,31 @@ def test_scores_beat_the_base_on_held_out_texts(spark):
     held, base, full = lm.query(spark, "/root/testdata/sf0.01").where("held_out").agg(
         F.count("*"), F.sum("base_score"), F.sum("score")).first()
     assert held > 50 and full > base
+
+
+def test_answers_are_written_once(spark, monkeypatch):
+    """op10: the totals of a level are not written again with those of the next."""
+    written, stored = [], lm.stored
+
+    def kept(df, name):
+        out = stored(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(lm, "stored", kept)
+    docs = spark.createDataFrame([(k, f"the cat sat on the mat {k % 7} and the dog ran {k}", k % 3 > 0) for k in range(60)],
+                                 "doc_id long, text string, training boolean")
+    lm.score_texts(docs, "training", order=4, block_bytes=400).count()
+    sizes = [n for name, n in written if name == "lm_totals"]
+    blocks = dict(written)["lm_blocks"]
+    # of each longer level at most one answer a block and slice
+    assert len(sizes) == 2 and all(n <= blocks * tot.slice_count(blocks) for n in sizes)
+    assert sizes[1] <= sizes[0]
+
+
+@pytest.mark.parametrize("dtype", [np.uint8, np.uint32, np.int64])
+def test_packed_numbers_are_compressed(dtype):
+    values = np.minimum(np.random.default_rng(4).geometric(0.4, 20_000), 200).astype(dtype)
+    data = packed(values)
+    assert (unpacked(data, dtype) == values).all() and len(data) < 0.4 * len(values)
+    assert len(unpacked(packed(values[:0]), dtype)) == 0 and unpacked(packed(values[:1]), dtype).tolist() == [values[0]]

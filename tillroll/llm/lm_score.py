@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import (
     crc32_of_id, mix, packed, packed_keys, read, ship, slices, stored, unpacked, unpacked_keys,
 )
-from tillroll.llm.totals import SENT, SHARED, corpus_totals, messages, slice_count
+from tillroll.llm.totals import DIRECT, SENT, SHARED, corpus_totals, messages, slice_count
 
 #: Hashes of the end of a text and of the history before its first word; no word holds a space.
 END, START = np.uint64(xxhash.xxh64_intdigest(b" end")), np.uint64(xxhash.xxh64_intdigest(b" start"))
@@ -347,7 +347,9 @@ def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: st
 
     answers, (n_words, n_kinds) = corpus_totals(blocks.mapInArrow(first, SENT), n_blocks, np.int64, of_words,
                                                  marked=True)
-    answers = answers.withColumn("level", F.lit(2))
+    # each level's answers are written once, those of the first, if sent directly, by corpus_totals
+    answers = (answers if n_blocks <= DIRECT else stored(answers, "lm_totals")).withColumn("level", F.lit(2))
+
     def asks(level: int):
         def longer(row: pa.Table, told: pa.Table) -> pa.Table:
             if not row.num_rows:
@@ -361,7 +363,7 @@ def score_texts(docs: DataFrame, training: str, doc_id: str = "doc_id", text: st
     for level in range(3, order + 1):
         sent = blocks.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(asks(level), SENT)
         more, _ = corpus_totals(sent, n_blocks, np.int64, marked=True)
-        answers = stored(answers.unionByName(more.withColumn("level", F.lit(level))), "lm_totals")
+        answers = answers.unionByName(stored(more, "lm_totals").withColumn("level", F.lit(level)))
 
     def score(row: pa.Table, told: pa.Table) -> pa.Table:
         if not row.num_rows:
