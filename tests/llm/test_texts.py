@@ -699,3 +699,16 @@ def test_packed_numbers_are_compressed(dtype):
     data = packed(values)
     assert (unpacked(data, dtype) == values).all() and len(data) < 0.4 * len(values)
     assert len(unpacked(packed(values[:0]), dtype)) == 0 and unpacked(packed(values[:1]), dtype).tolist() == [values[0]]
+
+
+def test_walk_reads_all_tokens_at_once(monkeypatch):
+    """op10: the steps of a walk do not grow with a part's tokens."""
+    parts = lm.Parts(3)
+    parts.add(0, "a b c d e " * 800)
+    block = lm.Block(*parts.arrays(), 3)
+    total = block.counts(np.array([True]))
+    found = lm.Automaton(block, total, 4001, 6, 1, 4.0)
+    calls = []
+    where = np.where
+    monkeypatch.setattr(np, "where", lambda *a: calls.append(1) or where(*a))
+    assert len(found.walk(block)) == 1 and len(calls) < 50

@@ -124,9 +124,12 @@ class Block:
     def __init__(self, tokens, starts, lead, order: int):
         self.tokens, self.starts, self.lead, self.order = tokens, starts, lead, order
         keys, there, self.counted = ngram_keys(tokens, starts, lead, order)
-        self.keys, inverse = np.unique(keys[there], return_inverse=True)
+        # words repeat most: their distinct keys alone are sorted among those of the longer n-grams
+        words, word = np.unique(keys[0, there[0]], return_inverse=True)
+        self.keys, inverse = np.unique(np.concatenate([words, keys[1:][there[1:]]]), return_inverse=True)
         self.at = np.full(keys.shape, -1, np.int32)
-        self.at[there] = inverse
+        self.at[0, there[0]] = inverse[:len(words)][word]
+        self.at[1:][there[1:]] = inverse[len(words):]
         self.length = (self.keys & np.uint64(7)).astype(np.int8) + 1
         # one place where each n-gram ends: it gives its last word, its history and its suffix
         self.place = np.zeros(len(self.keys), np.int32)
@@ -177,38 +180,31 @@ class Block:
 class Automaton:
     """The states and arcs that a block's parts can meet.
 
-    A state is the place of its history among the block's keys, then come the root and the start. ``arcs`` holds
-    state * words + word in order, with ``weight`` and ``to``; ``fail`` and ``fail_weight`` a state's failure arc.
+    A state is the place of its history among the block's keys, then come the root and the start. An arc is the place of the
+    n-gram that its state's history and its word make: ``arc`` tells which there are, ``weight``, ``source`` and ``to`` what
+    they weigh and join. ``fail`` and ``fail_weight`` are a state's failure arc.
     """
 
     def __init__(self, block: Block, total: np.ndarray, n_words: int, n_kinds: int, n_texts: int, kappa: float):
         k_, order = len(block.keys), block.order
         self.root, self.start = k_, k_ + 1
         length, place = block.length, block.place
-        word_at = block.at[0]
-        self.words = np.cumsum(length == 1) - 1                  # number of a word's key among words
-        self.n = max(1, int((length == 1).sum()))
         suffix, history = np.full(k_, self.root), np.full(k_, self.root)
-        for k in range(1, order):
-            of = np.flatnonzero(length == k + 1)
-            suffix[of] = block.at[k - 1, place[of]]
-            before = block.at[k - 1, place[of] - 1]
-            history[of] = np.where(before >= 0, before, self.start)
         held = np.concatenate([total, [0, n_texts]]).astype(np.float64)      # the root's is not used
         p = np.empty(k_)
-        of = length == 1
+        of = np.flatnonzero(length == 1)
         p[of] = (total[of] + 0.1) / (n_words + 0.1 * (n_kinds + 1))
         for k in range(1, order):
             of = np.flatnonzero(length == k + 1)
+            suffix[of] = block.at[k - 1, place[of]]
+            before = block.at[k - 1, place[of] - 1]
+            history[of] = np.where(before >= 0, before, self.start)
             p[of] = (total[of] + kappa * p[suffix[of]]) / (held[history[of]] + kappa)
-        seen = np.flatnonzero((length == 1) | (total > 0))
-        word = self.words[word_at[place]]
-        code = history[seen] * self.n + word[seen]
-        by = np.argsort(code)
-        seen = seen[by]
-        self.arcs, self.weight = code[by], np.log10(p[seen])
+        self.arc = (length == 1) | (total > 0)
+        self.weight = np.log10(p)
+        self.source = history
         # to the whole n-gram as history, if it is short enough, else without its oldest word
-        to = np.where(length[seen] < order, seen, suffix[seen])
+        to = np.where(length < order, np.arange(k_), suffix)
         self.to = np.where((total[np.minimum(to, k_ - 1)] > 0) & (to < k_), to, self.root) if k_ else to
         self.fail = np.concatenate([suffix, [self.root, self.root]])
         with np.errstate(divide="ignore"):
@@ -216,32 +212,36 @@ class Automaton:
         self.order = order
 
     def walk(self, block: Block) -> np.ndarray:
-        """log10 of each part's probability: all parts step by step, each with a state of its own."""
-        size = np.diff(np.concatenate([block.starts, [len(block.tokens)]]))
-        order = np.argsort(-size, kind="stable")
-        starts, lead, size = block.starts[order], block.lead[order], size[order]
-        word = np.where(block.at[0] >= 0, self.words[block.at[0]], -1)       # -1: the start of a text
-        state, total = np.full(len(order), self.root), np.zeros(len(order))
-        alive = len(order)
-        for step in range(int(size[0]) if len(size) else 0):
-            while alive and size[alive - 1] <= step:
-                alive -= 1
-            read_ = word[starts[:alive] + step]
-            first = np.flatnonzero(read_ < 0)
-            state[first] = self.start if self.order > 1 else self.root
-            todo = np.flatnonzero(read_ >= 0)
-            scored = step >= lead[:alive]
-            while len(todo):
-                code = state[todo] * self.n + read_[todo]
-                arc = np.minimum(np.searchsorted(self.arcs, code), len(self.arcs) - 1)
-                found = self.arcs[arc] == code
-                gain = np.where(found, self.weight[arc], self.fail_weight[state[todo]])
-                total[todo] += np.where(scored[todo], gain, 0.0)
-                state[todo] = np.where(found, self.to[arc], self.fail[state[todo]])
-                todo = todo[~found]
-        out = np.empty(len(order))
-        out[order] = total
-        return out
+        """log10 of each part's probability: all tokens at once.
+
+        The arc that reads a token is that of the longest n-gram seen that ends with it: the state before holds the
+        longest history seen, and failure arcs lead from it through all shorter ones. Where the arc leads
+        is the state before the next token.
+        """
+        n = len(block.tokens)
+        taken = np.full(n, -1)
+        for at in block.at:
+            taken = np.where((at >= 0) & self.arc[at], at, taken) if len(self.arc) else taken
+        # a token without an arc is the start of a text
+        read_ = taken >= 0
+        after = np.full(n, self.start if self.order > 1 else self.root)
+        after[read_] = self.to[taken[read_]]
+        before = np.concatenate([[self.root], after[:-1]])
+        before[block.starts] = self.root
+        scored = np.flatnonzero(read_ & block.counted)
+        arc, state = taken[scored], before[scored]
+        # what a token adds: its failure arcs one after the other, then the arc
+        gain = np.zeros((n, self.order))
+        todo = np.arange(len(scored))
+        for step in range(self.order):
+            todo = todo[state[todo] != self.source[arc[todo]]]
+            if not len(todo):
+                break
+            gain[scored[todo], step] = self.fail_weight[state[todo]]
+            state[todo] = self.fail[state[todo]]
+        gain[scored, -1] += self.weight[arc]
+        part = np.repeat(np.arange(len(block.starts)), np.diff(np.concatenate([block.starts, [n]])) * self.order)
+        return np.bincount(part, weights=gain.ravel(), minlength=len(block.starts))
 
 
 _BLOCK = ("block long, doc_id array<long>, row array<long>, training array<boolean>, lead binary, size binary, "
