@@ -462,6 +462,21 @@ def test_language_accuracy_on_held_out(spark):
     assert n > 200 and right / n > .97
 
 
+def test_language_landmarks_travel_as_buckets():
+    """pipeline, op9: the function sent to the tasks holds no matrix of landmarks by buckets, and adds up the same."""
+    from pyspark.cloudpickle import dumps
+    rng = np.random.default_rng(1)
+    marks = [np.unique(rng.integers(0, lng.BUCKETS, 900)) for _ in range(64)]
+    root = rng.random((64, 64))
+    sums = lng._sums(marks, root, ["a", "b"])
+    assert len(dumps(sums)) < 1 << 18 < lng._rows(marks).nbytes
+    texts = ["some words here", "d'autres mots", "", "123"]
+    got = next(sums([pa.RecordBatch.from_pydict({"text": texts, "lang": list("abab")})])).to_pydict()
+    phi = lng.kernel([lng.ngrams(t) for t in texts], marks).astype(float) @ root
+    assert np.allclose(np.frombuffer(got["gram"][0]).reshape(64, 64), phi.T @ phi)
+    assert np.allclose(np.frombuffer(got["cross"][0]).reshape(64, 2), np.stack([phi[0] + phi[2], phi[1] + phi[3]], 1))
+
+
 def test_language_edge_cases(spark):
     docs = docs_of(spark)
     model = lng.fit_production(docs)

@@ -101,7 +101,26 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     root = vector * (np.clip(value, 0, None) + 1e-6) ** -0.5  # K^-1/2 up to a rotation
     m, c = len(marks), len(names)
 
+    # the sample is bounded, and so are its few tasks' sums, which come to the driver
+    found = (rows.where(F.col("draw") < share(fit_docs)).select("text", "lang").repartition(6)
+             .mapInArrow(_sums(marks, root, names), "gram binary, cross binary").collect())
+    gram = sum(np.frombuffer(r.gram).reshape(m, m) for r in found)
+    cross = sum(np.frombuffer(r.cross).reshape(m, c) for r in found)
+    learned = np.linalg.solve(gram + ridge * np.eye(m), cross)
+    return Model(names, (base.T.astype(float) @ (root @ learned)).astype(np.float32))
+
+
+def _sums(marks: list[np.ndarray], root: np.ndarray, names: list[str]):
+    """What a task adds up over its texts: the products of their features with each other and with their languages.
+
+    Landmarks travel as buckets and become rows in the task: the matrix is some hundred times as large, and
+    sent with the function it would stay in each executor and worker, twice.
+    """
+    grams = [s.astype(np.uint16).tobytes() for s in marks]
+
     def sums(batches):
+        base = _rows([np.frombuffer(g, np.uint16).astype(np.int64) for g in grams])
+        m, c = len(grams), len(names)
         gram, cross = np.zeros((m, m)), np.zeros((m, c))
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -113,13 +132,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                 cross += phi.T @ (np.array(part["lang"])[:, None] == np.array(names)[None, :])
         yield pa.RecordBatch.from_pydict({"gram": [gram.tobytes()], "cross": [cross.tobytes()]})
 
-    # the sample is bounded, and so are its few tasks' sums, which come to the driver
-    found = (rows.where(F.col("draw") < share(fit_docs)).select("text", "lang").repartition(6)
-             .mapInArrow(sums, "gram binary, cross binary").collect())
-    gram = sum(np.frombuffer(r.gram).reshape(m, m) for r in found)
-    cross = sum(np.frombuffer(r.cross).reshape(m, c) for r in found)
-    learned = np.linalg.solve(gram + ridge * np.eye(m), cross)
-    return Model(names, (base.T.astype(float) @ (root @ learned)).astype(np.float32))
+    return sums
 
 
 def _packed(texts):
