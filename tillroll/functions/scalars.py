@@ -81,22 +81,23 @@ def translate_month_token(c, months: dict, plain: bool = False) -> Column:
 
 
 def with_month_token(df, text: str, months: dict):
-    """``translate_months`` on column ``text`` (plain spaces only), step by step.
+    """``translate_months`` on column ``text`` (plain spaces only), word by word.
 
-    Each step is a column of its own, so none is computed twice: the month
-    name in context, its place, then the splice. A text holding a second
-    month name in context (never a date-time) takes the chained replacements.
+    Between plain spaces a month name in context is a whole word behind a word that ends with a digit, and not the last.
+    In texts of up to five words, the month at most the second of them, it is put
+    in its place without a pattern. All others (never a date-time) take ``translate_month_token``.
     """
-    pat = _month_alternation(months, unicode=False)
     lookup = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
-    df = df.withColumns({
-        "_month": F.regexp_extract(text, pat, 1),
-        "_twice": F.col(text).rlike(_month_alternation(months, unicode=False, twice=True))})
-    df = df.withColumn("_at", F.when(F.col("_month") != "", F.regexp_instr(F.col(text), F.lit(pat))))
-    spliced = F.overlay(F.col(text), F.element_at(lookup, F.col("_month")), F.col("_at"), F.length("_month"))
-    done = (F.when(F.col("_twice"), translate_months(text, months))
-            .when(F.col("_month") != "", spliced).otherwise(F.col(text)))
-    return df.withColumn(text, done).drop("_month", "_twice", "_at")
+    df = df.withColumn("_words", F.split(text, " "))
+    word = [F.get("_words", F.lit(k)) for k in range(5)]
+    later = F.coalesce(word[2].isin(*months), F.lit(False)) | F.coalesce(word[3].isin(*months), F.lit(False))
+    behind_digit = F.substring(word[0], -1, 1).between("0", "9")
+    # the last of the words has no space behind it
+    month = F.when(behind_digit & (F.size("_words") > 2), F.element_at(lookup, word[1]))
+    short = F.concat_ws(" ", word[0], F.coalesce(month, word[1]), *word[2:])
+    done = (F.when((F.size("_words") <= 5) & ~later, short)
+            .otherwise(translate_month_token(F.array_join("_words", " "), months, plain=True)))
+    return df.withColumn(text, F.when(F.col("_words").isNotNull(), done)).drop("_words")
 
 
 def collapse_spaces(c) -> Column:
