@@ -27,7 +27,7 @@ def tables(spark, tmp):
     return tmp
 
 
-@pytest.mark.parametrize("name, landed", [("ingest_status", [3] * 4), ("ingest_day_totals", [1] * 6)])
+@pytest.mark.parametrize("name, landed", [("ingest_status", [3] * 4), ("ingest_day_totals", [1] * 6), ("ingest_clean_us", [1] * 6)])
 def test_reports_land_when_their_turn_comes(spark, tables, monkeypatch, name, landed):
     paths, seen, ingest = [], [], C._ingest
     monkeypatch.setattr(C, "_written", lambda s, n: paths.append(f"{tables}/{n}") or paths[-1])
