@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.plans import catalog as C
 from tillroll.plans import daily as D
 from tillroll.session import scratch_path, shuffles_removed
+from tillroll.sources import reports as RP
 
 
 @pytest.fixture()
@@ -75,3 +76,22 @@ def test_shuffle_files_go_with_the_write(spark, tmp):
             break
         time.sleep(0.25)
     assert held() <= before and spark.read.parquet(f"{tmp}/a").count() == 1000
+
+
+def test_a_master_is_stored_compressed(spark, tables, monkeypatch):
+    path = f"{tables}/master"
+    monkeypatch.setattr(C, "_written", lambda s, n: path)
+    monkeypatch.setattr(RP, "SPLIT_BYTES", 1)               # also the pass over the text of large files
+    df = C.QUERIES["read_master"](spark, tables)
+    rows = df.collect()
+    text = sum(len(",".join(v or "" for v in r)) + 1 for r in rows)
+    assert len(rows) == 420 and len(df.columns) == 30
+    assert sum(os.path.getsize(p) for p in glob.glob(f"{path}/part-*")) < text / 2
+
+
+@pytest.mark.parametrize("least", [1, 1 << 40])
+def test_a_compressed_master_keeps_line_breaks(spark, tmp, monkeypatch, least):
+    monkeypatch.setattr(RP, "SPLIT_BYTES", least)
+    (spark.createDataFrame([("1", "a\nb"), ("2", "c")], "no string, name string").coalesce(1)
+     .write.option("header", True).option("compression", "gzip").csv(f"{tmp}/m"))
+    assert sorted(map(tuple, RP.read_master(spark, f"{tmp}/m").collect())) == [("1", "a\nb"), ("2", "c")]

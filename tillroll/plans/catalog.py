@@ -771,10 +771,12 @@ def _written(spark, name: str) -> str:
 
 @query("read_master", _raw_select("us", lambda c: B.raw_header("us", c)))
 def q_read_master(spark, d):
-    """A master CSV read back as text, column by column."""
+    """A master CSV read back as text, column by column. It is written compressed, in files of a bounded number
+    of lines, as each is then read by one task."""
     from tillroll.sources.reports import read_master
     path = _written(spark, "master")
-    B.raw_report(spark, d, "us").write.option("header", True).csv(path)
+    (B.raw_report(spark, d, "us").write.option("header", True).option("compression", "gzip")
+     .option("maxRecordsPerFile", 2_000_000).csv(path))
     return read_master(spark, path)
 
 
